@@ -198,19 +198,20 @@ def as_models(states: DataFrame, series: Sequence[str]) -> DataFrame:
     )
 
 
-def arima_states(rows: SeriesRows) -> DataFrame:
+def arima_states(rows: SeriesRows, coefs: DataFrame | None = None) -> DataFrame:
     """Coefficients and end state of every series that could be fitted.
 
     One row per series; written out, since scoring and prediction read it again.
     """
-    coefs = fit_arima(rows.with_lags(range(5)), rows.series)
-    coefs = cut_lineage(coefs.where(F.col("phi").isNotNull() & F.col("theta").isNotNull()))
+    if coefs is None:
+        coefs = fit_arima(rows.with_lags(range(5)), rows.series)
+        coefs = cut_lineage(coefs.where(F.col("phi").isNotNull() & F.col("theta").isNotNull()))
     return cut_lineage(end_state(rows, coefs))
 
 
-def arima_models(rows: SeriesRows) -> DataFrame:
-    """Model rows of kind ``arima``."""
-    states = arima_states(rows)
+def arima_models(rows: SeriesRows, coefs: DataFrame | None = None) -> DataFrame:
+    """Model rows of kind ``arima``, from sums alone or from the given coefficients."""
+    states = arima_states(rows, coefs)
     return as_models(states.join(score_arima(rows, states), rows.series, "left"), rows.series)
 
 

@@ -96,6 +96,15 @@ def fit_sarima(long: DataFrame, series: Sequence[str]) -> DataFrame:
     )
 
 
+def undo(x: np.ndarray, coef: float, step: int) -> np.ndarray:
+    """y with y[t] + coef * y[t - step] = x[t], by doubling: 1/(1+q) = (1-q)(1+q^2)(1+q^4)..."""
+    y, factor, lag = x.astype(float), -coef, step
+    while lag < len(y) and abs(factor) > 1e-18:
+        y[lag:] += factor * y[:-lag]
+        factor, lag = factor * factor, lag * 2
+    return y
+
+
 def step_matrix(phi: float, theta: float, sphi: float, stheta: float) -> np.ndarray:
     """One step of the state (y[t..t-12], w[t..t-12], e[t..t-12]) with no new shock."""
     d = DEPTH
@@ -117,19 +126,11 @@ def state_of(values: np.ndarray, phi: float, theta: float, sphi: float, stheta:
     """State at the end of a train tail in time order; residuals before it count as zero."""
     y = np.asarray(values, dtype=float)
     y = y[~np.isnan(y)]
-    if len(y) < 2 * (P + 1) + 1:
+    if len(y) < 3 * DEPTH:
         return None
     w = np.diff(y)[P:] - np.diff(y)[:-P]
     z = w[P + 1:] - phi * w[P:-1] - sphi * w[1:-P] + phi * sphi * w[:-P - 1]
-    v = z.copy()
-    for i in range(P, len(z), P):
-        end = min(i + P, len(z))
-        v[i:end] -= stheta * v[i - P:i - P + (end - i)]
-    e = np.zeros(len(v) + DEPTH)
-    last = 0.0
-    for i, x in enumerate(v):
-        last = x - theta * last
-        e[DEPTH + i] = last
+    e = np.concatenate([np.zeros(DEPTH), undo(undo(z, theta, 1), stheta, P)])
     return np.concatenate([y[-DEPTH:][::-1], w[-DEPTH:][::-1], e[-DEPTH:][::-1]])
 
 
@@ -184,6 +185,9 @@ def score_sarima(long: DataFrame, states: DataFrame, series: Sequence[str], bloc
     ).withColumn("_block", F.floor((F.col("h") - 1) / block).cast("long"))
     blocks = test.groupBy(*series, "_block").agg(F.count("*").alias("_m")).drop("_m")
     starts = blocks.join(states.select(*series, "state", *COEFS), list(series))
+    # Own key names: both sides of the cogroup come from the same rows.
+    keys = [*series, "_block"]
+    starts = starts.withColumnsRenamed({k: f"_start_{k}" for k in keys})
     schema = T.StructType([
         *[long.schema[k] for k in series], T.StructField("n", T.LongType()),
         T.StructField("n_bad", T.LongType()), T.StructField("sse", T.DoubleType()),
@@ -200,7 +204,7 @@ def score_sarima(long: DataFrame, states: DataFrame, series: Sequence[str], bloc
         bad = int(np.isnan(errors).sum())
         return pd.DataFrame([(*names, len(h), bad, float(np.nansum(errors ** 2)))], columns=schema.fieldNames())
 
-    parts = test.groupBy(*series, "_block").cogroup(starts.groupBy(*series, "_block")).applyInPandas(partial, schema)
+    parts = test.groupBy(*keys).cogroup(starts.groupBy(*[f"_start_{k}" for k in keys])).applyInPandas(partial, schema)
     return parts.groupBy(*series).agg(
         F.when(F.sum("n_bad") == 0, F.sqrt(F.sum("sse") / F.sum("n"))).alias("rmse")
     )
@@ -221,10 +225,11 @@ def next_values(states: DataFrame, series: Sequence[str], steps: int) -> DataFra
     return states.mapInPandas(step, schema)
 
 
-def sarima_models(rows: SeriesRows) -> DataFrame:
-    """Model rows of kind ``sarimax``, one per series that could be fitted."""
+def sarima_models(rows: SeriesRows, coefs: DataFrame | None = None) -> DataFrame:
+    """Model rows of kind ``sarimax``, from sums alone or from the given coefficients."""
     series, plain = rows.series, rows.with_lags([])
-    coefs = cut_lineage(fit_sarima(rows.with_lags(Y_LAGS), series))
+    if coefs is None:
+        coefs = cut_lineage(fit_sarima(rows.with_lags(Y_LAGS), series))
     states = cut_lineage(end_state(plain, coefs, series))
     scores = score_sarima(plain, states, series)
     pairs = [x for c in COEFS for x in (F.lit(c), F.col(c))]

@@ -254,11 +254,11 @@ def long_to_wide(spark, sf):
 
 
 @query("missing_keys", """
-select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)""")
+select c_custkey, c_name from customer where not exists (select 1 from events where user_id = c_custkey)""")
 def keys_without_rows(spark, sf):
     """listed keys without data."""
-    orders = views.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return missing_keys(views.table(spark, sf, "customer").select("c_custkey", "c_name"), orders, ["c_custkey"])
+    seen = views.table(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))
+    return missing_keys(views.table(spark, sf, "customer").select("c_custkey", "c_name"), seen, ["c_custkey"])
 
 
 @query("series_filter", """

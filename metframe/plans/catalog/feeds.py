@@ -141,7 +141,7 @@ def csv_history(spark, sf):
 
 
 @query("read_or_empty", """
-select 'missing' as part, 0 as n, 0 as width union all
+select 'missing' as part, 0::bigint as n, 5 as width union all
 select 'present', count(*), 5 from lineitem""")
 def read_or_empty(spark, sf):
     """Data that is there, and data that is not, with the same columns."""

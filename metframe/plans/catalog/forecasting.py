@@ -8,7 +8,7 @@ from metframe import schemas
 from metframe.functions.expr import time_text
 from metframe.operators import forecast as fc
 from metframe.operators import seasonal
-from metframe.operators.series import latest_per
+from metframe.operators.refine import ARIMA, SARIMA, fit_css
 from metframe.operators.skew import HOT_ROWS
 from metframe.plans import charts, views
 from metframe.plans.catalog.ordered import SMALL_PIECE
@@ -330,10 +330,29 @@ def sarima_sums(spark, sf):
     ])
 
 
+def long_rows(spark, sf):
+    """Five long series, each a fifth of all rows."""
+    return fc.series_rows(views.history(spark, sf, "event_type"), KEYS, "time", VARIABLES)
+
+
+@query("arima_css")
+def arima_css(spark, sf):
+    """G1 by least squares instead of sums; a search in numpy, so no SQL."""
+    return fit_css(long_rows(spark, sf), ARIMA).select(*SERIES, "phi", "theta", "n")
+
+
+@query("sarima_css")
+def sarima_css(spark, sf):
+    """G2 by least squares."""
+    return fit_css(long_rows(spark, sf), SARIMA).select(
+        *SERIES, "phi", "theta", "seasonal_phi", "seasonal_theta", "n"
+    )
+
+
 @query("sarima_models")
 def sarima_models(spark, sf):
-    """Seasonal models; the fit is solved per series in numpy, so there is no SQL."""
-    models = seasonal.sarima_models(rows_of(spark, sf))
+    """Seasonal models from sums; the system is solved in numpy, so no SQL."""
+    models = seasonal.sarima_models(long_rows(spark, sf))
     return models.select(*SERIES, "model", "n_train", "next_value", "rmse")
 
 
@@ -341,5 +360,5 @@ def sarima_models(spark, sf):
 def train_models(spark, sf):
     """Both kinds fitted, the better one kept and stored."""
     path = scratch_path(spark, "models")
-    writers.write_models(train(views.history(spark, sf)), path)
+    writers.write_models(train(views.history(spark, sf, "event_type")), path)
     return readers.read_table(spark, path).select(*SERIES, "model", "n_train", "next_value", "rmse")

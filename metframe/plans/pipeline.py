@@ -14,6 +14,7 @@ from metframe import schemas
 from metframe.operators.blend import blend_sources, flatten_a, flatten_b
 from metframe.operators.forecast import arima_models, predict, select_model, series_rows
 from metframe.operators.quality import decode_messages
+from metframe.operators.refine import ARIMA, SARIMA, fit_css
 from metframe.operators.seasonal import sarima_models
 from metframe.operators.series import latest_per, top_n
 from metframe.operators.skew import HOT_ROWS
@@ -57,9 +58,11 @@ def merge(raw_a: DataFrame, raw_b: DataFrame) -> DataFrame:
 
 
 def train(history: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
-    """Both kinds of model per city and variable, the better one kept."""
+    """Both kinds of model per city and variable fitted by least squares, the better one kept."""
     rows = series_rows(history, ["city_name"], "time", schemas.FORECAST_VARIABLES, hot=hot)
-    return select_model(arima_models(rows).unionByName(sarima_models(rows)), rows.series)
+    plain, with_season = fit_css(rows, ARIMA), fit_css(rows, SARIMA)
+    both = arima_models(rows, plain).unionByName(sarima_models(rows, with_season))
+    return select_model(both, rows.series)
 
 
 def train_from_csv(spark: SparkSession, path: str, models: str) -> None:

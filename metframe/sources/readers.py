@@ -45,14 +45,16 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType = schemas.
 def read_predictions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All ``*.csv`` parts of a prediction folder, and the lines that could not be read.
 
-    A part file that is broken as a whole (such as a truncated archive) is passed over.
+    A part file that is broken as a whole is passed over. The lines are parsed as an expression,
+    because the CSV scan does not answer questions about its rejected lines alone.
     """
     with_mark = T.StructType([*schemas.PREDICTIONS.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(with_mark).option("header", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True)
-        .option("pathGlobFilter", "*.csv").csv(folder)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_mark)
+    lines = (
+        spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv").text(folder)
+        .where(F.col("value") != ",".join(schemas.PREDICTIONS.fieldNames()))
     )
+    rows = lines.select(F.from_csv("value", ddl, {"columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
     good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
