@@ -13,7 +13,7 @@ pass shuffles them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metframe.operators import forecast, seasonal
 from metframe.operators.forecast import SeriesRows
+from metframe.operators.seasonal import P, undo
 from metframe.operators.series import POS
 from metframe.operators.skew import lookup_join
 from metframe.session import cut_lineage
@@ -36,41 +37,35 @@ CENTRE = T.StructType([T.StructField("theta", T.DoubleType()), T.StructField("se
 class Kind:
     """What the search needs to know of a model."""
 
+    difference: Callable[[int], Column]
     lags: tuple[int, ...]      # lags whose products are summed
-    y_lags: tuple[int, ...]
+    y_lags: tuple[int, ...]    # lags of the values that one difference needs
     limit: float
-    run_in: int                # limit ** (run_in / period) is below what matters
+    run_in: int                # limit ** (run_in / period) no longer matters
     points: int                # coarse grid points per coefficient
     seasonal: bool
     min_obs: int
 
-    def w(self) -> Column:
-        return seasonal.w_lag(0) if self.seasonal else forecast.w_lag(0)
 
-
-ARIMA = Kind((0, 1), (0, 1), forecast.LIMIT, 3_700, 41, False, forecast.MIN_OBS)
+ARIMA = Kind(forecast.w_lag, (0, 1), (0, 1), forecast.LIMIT, 3_700, 41, False, forecast.MIN_OBS)
 SARIMA = Kind(
-    (0, 1, seasonal.P, seasonal.P + 1), (0, 1, seasonal.P, seasonal.P + 1), seasonal.LIMIT, seasonal.TAIL,
-    13, True, seasonal.MIN_OBS,
+    seasonal.w_lag, (0, 1, P, P + 1), (0, 1, P, P + 1), seasonal.LIMIT, seasonal.TAIL, 13, True, seasonal.MIN_OBS,
 )
 
 
-def grid(kind: Kind, level: int, centre: tuple[float, float] | None) -> list[tuple[float, float]]:
-    """Moving-average coefficients to try."""
-    spacing = 2 * kind.limit / (kind.points - 1)
+def axis(limit: float, points: int, level: int, centre: float | None) -> list[float]:
+    """Values of one coefficient to try."""
     if centre is None:
-        axis = np.linspace(-kind.limit, kind.limit, kind.points)
-        return [(t, s) for t in axis for s in (axis if kind.seasonal else [0.0])]
-    offsets = np.arange(-2, 3) * spacing / SHRINK ** level
-    near = [np.unique(np.clip(c + offsets, -kind.limit, kind.limit)) for c in centre]
-    return [(t, s) for t in near[0] for s in (near[1] if kind.seasonal else [0.0])]
+        return list(np.linspace(-limit, limit, points))
+    step = 2 * limit / (points - 1) / SHRINK ** level
+    return list(np.unique(np.clip(centre + np.arange(-2, 3) * step, -limit, limit)))
 
 
 def pack(rows: SeriesRows, kind: Kind, block: int = BLOCK) -> DataFrame:
     """One row per series and block of its train part: values in time order, and how many at the
     head are the run-in. A block holds at most ``block + run_in`` values."""
     values = rows.with_lags(kind.y_lags).where(F.col(POS) <= F.col("n_train")).select(
-        *rows.series, POS, kind.w().alias("w")
+        *rows.series, POS, kind.difference(0).alias("w")
     ).dropna(subset=["w"])
     own = F.floor((F.col(POS) - 1) / block).cast("long")
     reach = min(kind.run_in, block)
@@ -93,32 +88,32 @@ def grid_sums(blocks: DataFrame, series: Sequence[str], kind: Kind, level: int)
         *[blocks.schema[k] for k in series], *CENTRE.fields, T.StructField("n", T.LongType()),
         *[T.StructField(n, T.DoubleType()) for n in names],
     ])
-    reach = max(kind.lags)
+    # Plain values only: what the function below holds is sent to the workers.
+    lags, limit, points, is_seasonal = kind.lags, kind.limit, kind.points, kind.seasonal
+    reach, names_of_key, columns = max(lags), list(series), schema.fieldNames()
+    at = [(lags.index(a), lags.index(b)) for a, b in pairs]
 
-    def block_sums(values: np.ndarray, skip: int, centre: tuple[float, float] | None) -> Iterator[tuple]:
+    def block_sums(values: np.ndarray, skip: int, centre: tuple) -> Iterator[tuple]:
         first = max(skip, reach)
         n = len(values) - first
         if n <= 0:
             return
-        theta_of, inner = None, values
-        for theta, stheta in grid(kind, level, centre):
-            if theta != theta_of:
-                theta_of, inner = theta, seasonal.undo(values, theta, 1)
-            u = seasonal.undo(inner, stheta, seasonal.P) if kind.seasonal else inner
-            lagged = np.stack([u[first - k:len(u) - k] for k in kind.lags])
-            gram = lagged @ lagged.T
-            index = {k: i for i, k in enumerate(kind.lags)}
-            yield (theta, stheta, n, *[float(gram[index[a], index[b]]) for a, b in pairs])
+        for theta in axis(limit, points, level, centre[0]):
+            inner = undo(values, theta, 1)
+            for stheta in axis(limit, points, level, centre[1]) if is_seasonal else [0.0]:
+                u = undo(inner, stheta, P) if is_seasonal else inner
+                lagged = np.stack([u[first - k:len(u) - k] for k in lags])
+                gram = lagged @ lagged.T
+                yield (float(theta), float(stheta), n, *[float(gram[i, j]) for i, j in at])
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.to_dict("records"):
-                centre = None if level == 0 else (row["theta"], row["seasonal_theta"])
-                key = tuple(row[k] for k in series)
-                found = [
-                    (*key, *s) for s in block_sums(np.asarray(row["w"], dtype=float), int(row["skip"]), centre)
-                ]
-                yield pd.DataFrame(found, columns=schema.fieldNames())
+                key = tuple(row[k] for k in names_of_key)
+                centre = (row.get("theta"), row.get("seasonal_theta"))
+                values = np.asarray(row["w"], dtype=float)
+                found = [(*key, *s) for s in block_sums(values, int(row["skip"]), centre)]
+                yield pd.DataFrame(found, columns=columns)
 
     per_block = blocks.mapInPandas(sums, schema)
     return per_block.groupBy(*series, *CENTRE.fieldNames()).agg(
@@ -135,9 +130,9 @@ def solve_arima(sums: DataFrame, kind: Kind) -> DataFrame:
 
 def solve_sarima(sums: DataFrame, kind: Kind) -> DataFrame:
     """phi and seasonal phi by turns, each a division of sums; vectorised over the rows."""
-    p = seasonal.P
+    p, lags, limit = P, kind.lags, kind.limit
     out = T.StructType([T.StructField(c, T.DoubleType()) for c in ("phi", "seasonal_phi", "sse")])
-    names = [f"s_{a}_{b}" for i, a in enumerate(kind.lags) for b in kind.lags[i:]]
+    names = [f"s_{a}_{b}" for i, a in enumerate(lags) for b in lags[i:]]
 
     @F.pandas_udf(out)
     def solved(*columns: pd.Series) -> pd.DataFrame:
@@ -148,7 +143,7 @@ def solve_sarima(sums: DataFrame, kind: Kind) -> DataFrame:
 
         def ratio(top: np.ndarray, bottom: np.ndarray) -> np.ndarray:
             safe = np.where(bottom > 0, bottom, 1.0)
-            return np.clip(np.where(bottom > 0, top / safe, 0.0), -kind.limit, kind.limit)
+            return np.clip(np.where(bottom > 0, top / safe, 0.0), -limit, limit)
 
         f = np.zeros_like(g(0, 0))
         q = np.zeros_like(f)
@@ -162,7 +157,7 @@ def solve_sarima(sums: DataFrame, kind: Kind) -> DataFrame:
                 g(p, p) - 2 * f * g(p, p + 1) + f * f * g(p + 1, p + 1),
             )
         weights = {0: np.ones_like(f), 1: -f, p: -q, p + 1: f * q}
-        sse = sum(weights[a] * weights[b] * g(a, b) for a in kind.lags for b in kind.lags)
+        sse = sum(weights[a] * weights[b] * g(a, b) for a in lags for b in lags)
         return pd.DataFrame({"phi": f, "seasonal_phi": q, "sse": sse})
 
     return sums.withColumn("_s", solved(*names)).select("*", "_s.*").drop("_s")

@@ -149,8 +149,9 @@ def end_state(long: DataFrame, coefs: DataFrame, series: Sequence[str]) -> DataF
         T.StructField("state", T.ArrayType(T.DoubleType())),
     ])
 
+    columns = schema.fieldNames()
+
     def states(key: tuple, rows: pd.DataFrame, fit: pd.DataFrame) -> pd.DataFrame:
-        columns = schema.fieldNames()
         if rows.empty or fit.empty:
             return pd.DataFrame(columns=columns)
         rows = rows.sort_values(POS)
@@ -193,16 +194,18 @@ def score_sarima(long: DataFrame, states: DataFrame, series: Sequence[str], bloc
         T.StructField("n_bad", T.LongType()), T.StructField("sse", T.DoubleType()),
     ])
 
+    columns = schema.fieldNames()
+
     def partial(key: tuple, rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or start.empty:
-            return pd.DataFrame(columns=schema.fieldNames())
+            return pd.DataFrame(columns=columns)
         *names, number = key
         m = step_matrix(*[float(start[c].iloc[0]) for c in COEFS])
         state = jump(np.asarray(start["state"].iloc[0], dtype=float), m, int(number) * block)
         h = rows["h"].to_numpy() - int(number) * block
         errors = rows["y"].to_numpy(dtype=float) - walk(state, m, int(h.max()))[h - 1]
         bad = int(np.isnan(errors).sum())
-        return pd.DataFrame([(*names, len(h), bad, float(np.nansum(errors ** 2)))], columns=schema.fieldNames())
+        return pd.DataFrame([(*names, len(h), bad, float(np.nansum(errors ** 2)))], columns=columns)
 
     parts = test.groupBy(*keys).cogroup(starts.groupBy(*[f"_start_{k}" for k in keys])).applyInPandas(partial, schema)
     return parts.groupBy(*series).agg(
