@@ -88,10 +88,10 @@ def w_lag(k: int) -> Column:
 
 def lag_sums(long: DataFrame, series: Sequence[str]) -> DataFrame:
     """Per series: number of complete lag rows of the train part, and the sums s_ij."""
-    rows = long.where(F.col(POS) <= F.col("n_train")).select(
+    values = ["y", *[f"y_{k}" for k in range(1, len(GRAM_LAGS) + 1)]]
+    rows = long.where(F.col(POS) <= F.col("n_train")).dropna(subset=values).select(
         *series, *[w_lag(k).alias(f"w{k}") for k in GRAM_LAGS]
     )
-    rows = rows.dropna(subset=[f"w{k}" for k in GRAM_LAGS])
     return rows.groupBy(*series).agg(
         F.count("*").alias("n_obs"),
         *[F.sum(F.col(f"w{i}") * F.col(f"w{j}")).alias(f"s{i}{j}")
