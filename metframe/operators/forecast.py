@@ -56,11 +56,11 @@ class SeriesRows:
         lags = [k for k in lags if k]
         wanted = {f"{v}__{k}": (v, k) for v in self.variables for k in lags}
         got = with_lags(self.df, self.keys, ["time"], wanted, hot=self.cuts)
-        stacked = F.inline(F.array(*[
-            F.struct(F.lit(v).alias("variable"), F.col(v).alias("y"),
-                     *[F.col(f"{v}__{k}").alias(f"y_{k}") for k in lags])
+        rows = [
+            ", ".join([f"'{v}' AS variable", f"`{v}` AS y", *[f"`{v}__{k}` AS y_{k}" for k in lags]])
             for v in self.variables
-        ]))
+        ]
+        stacked = F.expr(f"inline(array({', '.join(f'struct({r})' for r in rows)}))")
         return got.select(
             *self.keys, "time", POS, SIZE, (F.col(SIZE) - held_out(SIZE, self.share)).alias("n_train"), stacked,
         )
@@ -89,14 +89,11 @@ def w_lag(k: int) -> Column:
 def lag_sums(long: DataFrame, series: Sequence[str]) -> DataFrame:
     """Per series: number of complete lag rows of the train part, and the sums s_ij."""
     values = ["y", *[f"y_{k}" for k in range(1, len(GRAM_LAGS) + 1)]]
-    rows = long.where(F.col(POS) <= F.col("n_train")).dropna(subset=values).select(
-        *series, *[w_lag(k).alias(f"w{k}") for k in GRAM_LAGS]
-    )
-    return rows.groupBy(*series).agg(
-        F.count("*").alias("n_obs"),
-        *[F.sum(F.col(f"w{i}") * F.col(f"w{j}")).alias(f"s{i}{j}")
-          for i in GRAM_LAGS for j in GRAM_LAGS if i <= j],
+    rows = long.where(F.col(POS) <= F.col("n_train")).dropna(subset=values).selectExpr(
+        *series, *[f"{a} - {b} AS w{k}" for k, (a, b) in enumerate(zip(values, values[1:]))]
     )
+    sums = [f"sum(w{i} * w{j}) AS s{i}{j}" for i in GRAM_LAGS for j in GRAM_LAGS if i <= j]
+    return rows.groupBy(*series).agg(F.count("*").alias("n_obs"), *[F.expr(x) for x in sums])
 
 
 def clamp(c: Column, limit: float = LIMIT) -> Column:
@@ -104,31 +101,27 @@ def clamp(c: Column, limit: float = LIMIT) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(-limit), F.least(F.lit(limit), c)))
 
 
-def solve2(a: Column, b: Column, d: Column, r1: Column, r2: Column) -> tuple[Column, Column]:
-    """Solution of the symmetric system [a b; b d] x = [r1; r2], null if (nearly) singular."""
-    det = F.when(F.abs(a * d - b * b) > F.lit(NEAR_ZERO) * F.abs(a * d), a * d - b * b)
-    return (r1 * d - r2 * b) / det, (r2 * a - r1 * b) / det
+def solve2(a: str, b: str, d: str, r1: str, r2: str) -> tuple[str, str]:
+    """Solution of the symmetric system [a b; b d] x = [r1; r2] in SQL, null if (nearly) singular."""
+    det = f"CASE WHEN abs({a} * {d} - {b} * {b}) > {NEAR_ZERO}D * abs({a} * {d}) THEN {a} * {d} - {b} * {b} END"
+    return f"({r1} * {d} - {r2} * {b}) / ({det})", f"({r2} * {a} - {r1} * {b}) / ({det})"
 
 
 def fit_from_sums(sums: DataFrame, series: Sequence[str]) -> DataFrame:
     """phi and theta of each series; null where the fit fails."""
-    s = {(i, j): F.col(f"s{min(i, j)}{max(i, j)}") for i in GRAM_LAGS for j in GRAM_LAGS}
-    a1, a2 = solve2(s[1, 1], s[1, 2], s[2, 2], s[0, 1], s[0, 2])
-    first = sums.withColumns({"_a1": a1, "_a2": a2})
-    a1, a2 = F.col("_a1"), F.col("_a2")
-    s_we = s[1, 1] - a1 * s[1, 2] - a2 * s[1, 3]
-    s_ee = (
-        s[1, 1] + a1 * a1 * s[2, 2] + a2 * a2 * s[3, 3]
-        - F.lit(2.0) * a1 * s[1, 2] - F.lit(2.0) * a2 * s[1, 3] + F.lit(2.0) * a1 * a2 * s[2, 3]
-    )
-    s_ye = s[0, 1] - a1 * s[0, 2] - a2 * s[0, 3]
-    second = first.withColumns({"_we": s_we, "_ee": s_ee, "_ye": s_ye})
-    phi, theta = solve2(s[1, 1], F.col("_we"), F.col("_ee"), s[0, 1], F.col("_ye"))
-    enough = F.col("n_obs") >= MIN_OBS
-    return second.select(
+    a1, a2 = solve2("s11", "s12", "s22", "s01", "s02")
+    phi, theta = solve2("s11", "_we", "_ee", "s01", "_ye")
+    second = sums.selectExpr("*", f"{a1} AS _a1", f"{a2} AS _a2").selectExpr(
+        *series, "n_obs", "s11", "s01",
+        "s11 - _a1 * s12 - _a2 * s13 AS _we",
+        "s11 + _a1 * _a1 * s22 + _a2 * _a2 * s33 - 2D * _a1 * s12 - 2D * _a2 * s13 + 2D * _a1 * _a2 * s23 AS _ee",
+        "s01 - _a1 * s02 - _a2 * s03 AS _ye",
+    ).selectExpr(
         *series, "n_obs",
-        F.when(enough, clamp(phi)).alias("phi"), F.when(enough, clamp(theta)).alias("theta"),
+        f"CASE WHEN n_obs >= {MIN_OBS} THEN {phi} END AS phi",
+        f"CASE WHEN n_obs >= {MIN_OBS} THEN {theta} END AS theta",
     )
+    return second.withColumns({"phi": clamp(F.col("phi")), "theta": clamp(F.col("theta"))})
 
 
 def fit_arima(long: DataFrame, series: Sequence[str]) -> DataFrame:

@@ -41,15 +41,13 @@ def lag_sums(long: DataFrame, series: Sequence[str]) -> DataFrame:
     """Per series: complete rows of the train part, and the sums of products in row-major order of
     the upper triangle."""
     names = [f"w{k}" for k in LAGS]
-    values = ["y" if k == 0 else f"y_{k}" for k in Y_LAGS]
-    rows = long.where(F.col(POS) <= F.col("n_train")).dropna(subset=values).select(
-        *series, *[w_lag(k).alias(n) for k, n in zip(LAGS, names)]
-    )
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    sums = [F.sum(F.col(a) * F.col(b)).alias(f"s_{a}_{b}") for a, b in pairs]
-    return rows.groupBy(*series).agg(F.count("*").alias("n_obs"), *sums).select(
-        *series, "n_obs", F.array(*[f"s_{a}_{b}" for a, b in pairs]).alias("sums")
-    )
+    values = {k: f"y_{k}" if k else "y" for k in Y_LAGS}
+    rows = long.where(F.col(POS) <= F.col("n_train")).dropna(subset=list(values.values())).selectExpr(*series, *[
+        f"({values[k]} - {values[k + 1]}) - ({values[k + P]} - {values[k + P + 1]}) AS {n}"
+        for k, n in zip(LAGS, names)
+    ])
+    products = ", ".join(f"sum({a} * {b})" for i, a in enumerate(names) for b in names[i:])
+    return rows.groupBy(*series).agg(F.count("*").alias("n_obs"), F.expr(f"array({products})").alias("sums"))
 
 
 def solve(sums: np.ndarray) -> np.ndarray:

@@ -16,6 +16,10 @@ from metframe.operators.skew import HOT_ROWS, PIECE, Cuts, Layout, attach, serie
 POS, SIZE = "pos", "n_rows"
 
 
+def quoted(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}`" for n in names)
+
+
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key in the given (total) order.
 
@@ -123,8 +127,10 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], lags: Ma
     names = [*df.columns, pos, size]
 
     def lagged(frame: DataFrame, group: Sequence[str], by: Sequence[str]) -> DataFrame:
-        w = Window.partitionBy(*group).orderBy(*by)
-        return frame.withColumns({out: F.lag(c, k).over(w) for out, (c, k) in lags.items()})
+        over = f"OVER (PARTITION BY {quoted(group)} ORDER BY {quoted(by)})"
+        return frame.selectExpr("*", *[
+            f"lag({quoted([c])}, {k}) {over} AS {quoted([out])}" for out, (c, k) in lags.items()
+        ])
 
     if not lags:
         return placed.select(*names)

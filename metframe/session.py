@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Noting the Python call site of every column costs milliseconds per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
