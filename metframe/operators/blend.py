@@ -29,16 +29,21 @@ def flatten_b(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return flatten(raw, schemas.PATHS_B, keep)
 
 
+def blend_columns(joined: DataFrame, blends: Mapping[str, tuple[str, str]] = BLENDS,
+                  keep_single: bool = False) -> DataFrame:
+    """Mean of the readings both providers have. Blends read the joined row, so a blend may replace
+    the column it is made from."""
+    return joined.withColumns({out: mean2(x, y, keep_single) for out, (x, y) in blends.items()})
+
+
 def blend_sources(a: DataFrame, b: DataFrame, on: Sequence[str],
                   blends: Mapping[str, tuple[str, str]] = BLENDS, keep_single: bool = False) -> DataFrame:
-    """Inner equi-join of two providers and the mean of the readings both have.
+    """Inner equi-join of two providers, and the blends.
 
     ``on`` should single out one row per provider: the station, and with more than one batch in the
-    frames also the time slot. A repeated key multiplies. Blends read the joined row, so a blend may
-    replace the column it is made from.
+    frames also the time slot, which also spreads a busy station. A repeated key multiplies.
     """
-    joined = a.join(b, list(on), "inner")
-    return joined.withColumns({out: mean2(x, y, keep_single) for out, (x, y) in blends.items()})
+    return blend_columns(a.join(b, list(on), "inner"), blends, keep_single)
 
 
 def table_columns(df: DataFrame) -> DataFrame:

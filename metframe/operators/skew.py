@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 HOT_ROWS = 4_000_000      # rows of one key that one task may hold
 MAX_HOT = 10_000          # hottest keys looked at; a key behind them has < 1/10,000 of all rows
 MAX_CUTS = 10_000         # pieces of one series
+MAX_PIECES = 100_000      # pieces of all hot series; with more rows the pieces grow instead
 BROADCAST_ROWS = 200_000  # rows of a lookup table that may go to every executor
 NULL_SALTS = 4_096        # tasks that share the rows without a key
 
@@ -41,7 +42,7 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a small frame of bounded size to every row, nulls in the keys being equal.
 
-    Only for frames whose number of rows is bounded by construction.
+    Only for frames of bounded size: at most ``MAX_HOT`` keys, or ``MAX_PIECES`` + ``MAX_HOT`` pieces.
     """
     renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     cond = F.lit(True)
@@ -145,6 +146,7 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: in
     if not hot:
         return Cuts(rows, None)
     at = order[0]
+    rows = max(rows, math.ceil(sum(r["n"] for r in hot) / MAX_PIECES))
     pieces = min(MAX_CUTS, max(2, math.ceil(hot[0]["n"] / rows)))
     found = key_frame(df, keys, hot, T.StructType([T.StructField("_n", T.LongType())]))
     quantiles = F.percentile_approx(at, [i / pieces for i in range(1, pieces)], max(10_000, 10 * pieces))

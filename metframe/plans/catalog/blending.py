@@ -13,6 +13,7 @@ from metframe.operators.series import in_time_order, latest_per, preview
 from metframe.operators.shape import (
     drop_columns, keep_columns, rename, split_struct, suffix_except, tag, to_long, to_wide,
 )
+from metframe.operators.skew import lookup_join
 from metframe.operators.stations import label_by_position, missing_keys, nearest_station
 from metframe.operators.summary import compare_sources, mean_by, rmse
 from metframe.plans import views
@@ -20,15 +21,13 @@ from metframe.plans.catalog.registry import AB, EV, fixed, query, r, rounded, te
 
 
 @query("array_field", """
-select l_orderkey, string_agg(l_partkey::varchar, ',' order by l_linenumber, l_partkey) as parts
-from lineitem group by l_orderkey""")
+select doc_id, array_to_string([length(x) for x in string_split(text, chr(10))], ',') as line_lengths
+from documents""")
 def array_field(spark, sf):
-    """One field of an array of structs as an array. An order has at most a few lines."""
-    lines = views.table(spark, sf, "lineitem")
-    orders = lines.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines")
-    )
-    return orders.select("l_orderkey", F.array_join(F.col("lines.l_partkey").cast("array<string>"), ",").alias("parts"))
+    """One field of an array of structs as an array, here of the lines of a text."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), F.length(x).alias("n")))
+    docs = views.table(spark, sf, "documents").select("doc_id", lines.alias("lines"))
+    return docs.select("doc_id", F.array_join(F.col("lines.n").cast("array<string>"), ",").alias("line_lengths"))
 
 
 @query("null_parents", f"""
@@ -101,7 +100,7 @@ def blend_join(spark, sf):
         rename(a, {"c_nationkey": "n_nationkey"}), rename(b, {"s_nationkey": "n_nationkey"}), ["n_nationkey"],
         {"blended": ("customers", "suppliers")},
     )
-    named = both.join(F.broadcast(nation.select("n_nationkey", "n_name")), "n_nationkey")
+    named = lookup_join(both, nation.select("n_nationkey", "n_name"), ["n_nationkey"])
     return rounded(named.select("n_name", "customers", "suppliers", "blended"), ["customers", "suppliers", "blended"])
 
 

@@ -9,11 +9,12 @@ from metframe.functions.expr import time_text
 from metframe.operators.blend import flatten_a, flatten_b, table_columns
 from metframe.operators.quality import conform, decode_messages
 from metframe.operators.shape import flatten
+from metframe.operators.skew import lookup_join
 from metframe.operators.stations import only_keys
 from metframe.operators.summary import row_count
 from metframe.plans import views
 from metframe.plans.catalog.registry import A, AB, B, EV, fixed, query, r, rounded, text
-from metframe.plans.pipeline import snapshot
+from metframe.plans.pipeline import Places, run_batch, snapshot
 from metframe.session import scratch_path
 from metframe.sources import readers, writers
 
@@ -210,8 +211,9 @@ def cities_dimension(spark, sf):
         path,
     )
     cities = readers.read_cities(spark, path).withColumn("_key", readers.city_key("city"))
-    counts = views.table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n_customers"))
-    named = counts.join(F.broadcast(nations), F.col("c_nationkey") == key).select(
+    customers = views.table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    counts = customers.groupBy("n_nationkey").agg(F.count("*").alias("n_customers"))
+    named = lookup_join(counts, nations, ["n_nationkey"]).select(
         readers.city_key(F.lower("n_name")).alias("_key"), "n_customers"
     )
     return rounded(named.join(cities, "_key").drop("_key"), ["latitude", "longitude"])
@@ -398,3 +400,19 @@ def configured_keys(spark, sf):
         views.table(spark, sf, "events"), listed.select(F.col("c_custkey").alias("user_id")), ["user_id"]
     )
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("batch_run", f"""
+with {AB}
+select name as city_name, {text('time')} as time, {r('temp')} as temp, {r('wind_speed')} as wind_speed, country
+from a where name in (select city_name from b)""")
+def batch_run(spark, sf):
+    """The whole feeds as one batch through every stage, then the table."""
+    places = Places(*[scratch_path(spark, n) for n in ("a", "b", "table", "snapshot", "predictions", "models")])
+    topics = scratch_path(spark, "topic-a"), scratch_path(spark, "topic-b")
+    writers.publish(writers.to_messages(views.raw_a(spark, sf), "name"), topics[0])
+    writers.publish(writers.to_messages(views.raw_b(spark, sf), "city_name"), topics[1])
+    run_batch(spark, *topics, places)
+    table = readers.read_table(spark, places.table)
+    out = table.select("city_name", time_text("time").alias("time"), "temp", "wind_speed", "country")
+    return rounded(out, ["temp", "wind_speed"])

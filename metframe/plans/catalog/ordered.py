@@ -8,6 +8,7 @@ from metframe.functions.expr import time_text
 from metframe.operators.series import (
     chrono_split, diff, ffill, first_per, latest_per, seasonal_diff, top_n,
 )
+from metframe.operators.skew import find_cuts
 from metframe.plans import views
 from metframe.plans.catalog.registry import EV, query, r, rounded, text
 
@@ -116,7 +117,8 @@ from events window w as (partition by user_id order by ts, event_id)"""
 
 def diffs(spark, sf, hot):
     ev = views.events(spark, sf).select("event_id", "user_id", "ts", "value")
-    both = seasonal_diff(diff(ev, USER, ORDER, "value", hot=hot), USER, ORDER, "value", hot=hot)
+    cuts = find_cuts(ev, USER, ORDER, hot)  # once, on the table itself
+    both = seasonal_diff(diff(ev, USER, ORDER, "value", hot=cuts), USER, ORDER, "value", hot=cuts)
     return rounded(both.select("event_id", "diff", "seasonal_diff"), ["diff", "seasonal_diff"])
 
 

@@ -11,13 +11,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from metframe import schemas
-from metframe.operators.blend import blend_sources, flatten_a, flatten_b
+from metframe.operators.blend import blend_columns, flatten_a, flatten_b
 from metframe.operators.forecast import arima_models, predict, select_model, series_rows
 from metframe.operators.quality import decode_messages
 from metframe.operators.refine import ARIMA, SARIMA, fit_css
 from metframe.operators.seasonal import sarima_models
 from metframe.operators.series import latest_per, top_n
-from metframe.operators.skew import HOT_ROWS
+from metframe.operators.skew import HOT_ROWS, lookup_join
+from metframe.operators.stations import nearest_station, only_keys
 from metframe.sources.readers import (
     path_exists, read_history, read_messages, read_or_empty, read_raw, read_table,
 )
@@ -45,20 +46,47 @@ def newest_per_city(table: DataFrame) -> DataFrame:
     return latest_per(table, ["city_name"], [F.desc("time")])
 
 
-def land(spark: SparkSession, source, schema: T.StructType, path: str) -> DataFrame:
-    """Decode the messages of a topic into Parquet; returns those that are no such record."""
+def label_by_place(records: DataFrame, cities: DataFrame) -> DataFrame:
+    """Records of provider B, which was asked by coordinates, with the name of the nearest city."""
+    named = nearest_station(
+        records.drop("city_name"), cities, "latitude", "longitude", "city", "latitude", "longitude",
+        out="city_name", km="_km",
+    )
+    return named.select(*schemas.PROVIDER_B.fieldNames())
+
+
+def land(spark: SparkSession, source, schema: T.StructType, path: str, cities: DataFrame | None = None) -> DataFrame:
+    """Decode the messages of a topic into Parquet; returns those that are no such record.
+
+    With a city list, the records are named by their coordinates.
+    """
     records, bad = decode_messages(read_messages(spark, source), schema)
-    write_replace(records, path)
+    records = records.select(*schema.fieldNames())
+    write_replace(records if cities is None else label_by_place(records, cities), path)
     return bad
 
 
 def merge(raw_a: DataFrame, raw_b: DataFrame) -> DataFrame:
-    """Flatten, join and blend one batch of both providers."""
-    return blend_sources(flatten_a(raw_a), flatten_b(raw_b), ["city_name"])
-
-
-def train(history: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
-    """Both kinds of model per city and variable fitted by least squares, the better one kept."""
+    """Flatten, join and blend one batch of both providers.
+
+    A repeated message is taken once: of provider A one per city and time, which is the key of the
+    table, of provider B the newest per city. So the join has one partner per row.
+    """
+    a = flatten_a(raw_a)
+    a = latest_per(a, ["city_name", "time"], [F.desc(F.xxhash64(*a.columns))])
+    b = raw_b.select("*", F.col("current.time").alias("_at"))
+    b = latest_per(flatten_b(b, ["_at"]), ["city_name"], [F.desc("_at"), F.desc(F.xxhash64(*schemas.PATHS_B))])
+    joined = lookup_join(a.dropna(subset=["city_name"]), b.drop("_at"), ["city_name"])
+    return blend_columns(joined)
+
+
+def train(history: DataFrame, cities: DataFrame | None = None, hot: int = HOT_ROWS) -> DataFrame:
+    """Both kinds of model per city and variable fitted by least squares, the better one kept.
+
+    With a city list (column ``city_name``), only its cities; ``missing_keys`` reports the others.
+    """
+    if cities is not None:
+        history = only_keys(history, cities, ["city_name"])
     rows = series_rows(history, ["city_name"], "time", schemas.FORECAST_VARIABLES, hot=hot)
     plain, with_season = fit_css(rows, ARIMA), fit_css(rows, SARIMA)
     both = arima_models(rows, plain).unionByName(sarima_models(rows, with_season))
@@ -69,19 +97,21 @@ def train_from_csv(spark: SparkSession, path: str, models: str) -> None:
     write_models(train(read_history(spark, path)), models)
 
 
-def run_batch(spark: SparkSession, source_a, source_b, places: Places, n: int = 37) -> dict[str, DataFrame]:
+def run_batch(spark: SparkSession, source_a, source_b, places: Places, n: int = 37,
+              cities: DataFrame | None = None) -> dict[str, DataFrame]:
     """Snapshot, land both feeds, predict, merge and upsert. Returns what was rejected."""
     if path_exists(spark, places.table):
         write_csv(
             snapshot(read_table(spark, places.table), n).select(*schemas.HISTORY.fieldNames()), places.snapshot
         )
     bad_a = land(spark, source_a, schemas.PROVIDER_A, places.raw_a)
-    bad_b = land(spark, source_b, schemas.PROVIDER_B, places.raw_b)
+    bad_b = land(spark, source_b, schemas.PROVIDER_B, places.raw_b, cities)
     if path_exists(spark, places.snapshot):
         rows = read_history(spark, places.snapshot)
         models = read_or_empty(spark, places.models, schemas.MODELS)
         write_csv(
-            predict(rows, models, ["city_name"], "time", schemas.FORECAST_VARIABLES), places.predictions
+            predict(rows, models, ["city_name"], "time", schemas.FORECAST_VARIABLES), places.predictions,
+            "yyyy-MM-dd HH:mm:ss",
         )
     merged = merge(
         read_raw(spark, places.raw_a, schemas.PROVIDER_A), read_raw(spark, places.raw_b, schemas.PROVIDER_B)

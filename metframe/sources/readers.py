@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from metframe import schemas
-from metframe.operators.series import first_per, top_n
-from metframe.operators.skew import BROADCAST_ROWS, is_small
 from metframe.operators.quality import CORRUPT
+from metframe.operators.series import first_per, top_n
+from metframe.operators.stations import only_keys
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -104,7 +104,4 @@ def lookup(df: DataFrame, key: Mapping[str, object]) -> DataFrame:
 
 def lookup_many(df: DataFrame, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is among the wanted ones."""
-    listed = wanted.select(*on).distinct()
-    if is_small(listed, BROADCAST_ROWS):
-        listed = F.broadcast(listed)
-    return df.join(listed, list(on), "left_semi")
+    return only_keys(df, wanted, on)

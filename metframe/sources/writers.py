@@ -38,11 +38,12 @@ def write_replace(df: DataFrame, path: str, partition: Sequence[str] = ()) -> bo
     return True
 
 
-def write_csv(df: DataFrame, path: str) -> bool:
+def write_csv(df: DataFrame, path: str, time_format: str | None = None) -> bool:
     """Replace the CSV folder at ``path``, with header; an empty frame leaves it as it is."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("header", True)
+    (writer.option("timestampFormat", time_format) if time_format else writer).csv(path)
     return True
 
 

@@ -60,3 +60,30 @@ def test_two_batches(spark, folder):
     assert table.count() == 3
     assert rows(pipeline.newest_per_city(table).select("city_name", "temp"), "city_name") == [("Nord", 21.0), ("Süd", 30.0)]
     assert pipeline.snapshot(table, 2).count() == 2
+
+
+def test_provider_b_is_named_by_its_coordinates(spark, folder):
+    places = pipeline.Places(*[folder(n) for n in ("a", "b", "table", "snapshot", "predictions", "models")])
+    cities = spark.createDataFrame([("Nord", 60.0, 5.0), ("Süd", 40.0, 5.0)], schemas.CITIES)
+    unnamed = [reading_b(None, 31.0) | {"latitude": 40.2, "longitude": 5.1},
+               reading_b(None, 22.0) | {"latitude": 59.8, "longitude": 4.9}]
+    pipeline.run_batch(
+        spark, topic(folder, "a1", [reading_a("Nord", 0, 20.0), reading_a("Nord", 0, 20.0), reading_a("Süd", 0, 30.0)]),
+        topic(folder, "b1", [*unnamed, *unnamed]), places, cities=cities,
+    )
+    table = readers.read_table(spark, places.table)
+    assert rows(table.select("city_name", "temperature_2m"), "city_name") == [("Nord", 21.0), ("Süd", 30.5)]
+
+
+def test_training_keeps_the_listed_cities(spark):
+    import datetime as dt
+    import math
+
+    data = [
+        (c, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=10 * i), float(50 + 10 * math.sin(i * i + k)))
+        for k, c in enumerate(("Nord", "Ost")) for i in range(80)
+    ]
+    history = spark.createDataFrame(data, "city_name string, time timestamp, temp double")
+    models = pipeline.train(history, spark.createDataFrame([("Nord",), ("West",)], "city_name string")).collect()
+    assert [(m["city_name"], m["variable"], m["n_train"]) for m in models] == [("Nord", "temp", 64)]
+    assert set(models[0].asDict()) == set(schemas.MODELS.fieldNames())
