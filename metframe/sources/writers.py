@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from metframe import schemas
 from metframe.operators.blend import merge_latest, table_columns
 from metframe.operators.quality import conform
+from metframe.operators.series import latest_per
 from metframe.session import scratch_path
 from metframe.sources.readers import path_exists, read_table
 
@@ -61,29 +62,35 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
     """Write rows into the table at ``path``, the last write of a key winning as a whole row.
 
     The table is partitioned by day. Only the days the updates touch are read, merged, staged in
-    the shared folder and then written over the old ones, so a failed run leaves the table as it
-    was or can be repeated with the same result. Days are split into several files where they are
-    large. Returns the number of touched days.
+    the shared folder and then written over the old ones; a run that failed can be repeated with the
+    same result. Large days are split over several tasks and files. Frames opened before hold the
+    old list of files. Returns the number of touched days.
     """
     new = with_day(updates, time)
     # Distinct days: bounded by the time range, not by the rows.
     days = [r[0] for r in new.select(DAY).distinct().where(F.col(DAY).isNotNull()).collect()]
     if not days:
         return 0
-    if path_exists(spark, path):
-        old = read_table(spark, path).where(F.col(DAY).isin(days)).select(*schema.fieldNames(), DAY)
-    else:
-        old = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(DAY, T.DateType())]))
-    merged = merge_latest(old, new.where(F.col(DAY).isNotNull()), list(keys), seq)
+    names = schema.fieldNames()
+    new = new.where(F.col(DAY).isNotNull())
+    written = [d for d in days if path_exists(spark, f"{path}/{DAY}={d}")]
+    if not written:
+        # Nothing to read back, so the rows go straight to their new days.
+        fresh = latest_per(new, keys, seq).select(*names, DAY)
+        write_days(fresh.hint("rebalance", DAY), path)
+        return len(days)
+    old = read_table(spark, path).where(F.col(DAY).isin(written)).select(*names, DAY)
     staged = scratch_path(spark, "upsert")
-    merged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(staged)
-    (
-        read_table(spark, staged).select(*schema.fieldNames(), DAY).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
-    )
+    write_days(merge_latest(old, new, list(keys), seq).hint("rebalance", DAY), staged)
+    write_days(read_table(spark, staged).select(*names, DAY), path)
     return len(days)
 
 
+def write_days(df: DataFrame, path: str) -> None:
+    """Write the days the frame holds over those at ``path``; other days stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+
+
 def store_observations(spark: SparkSession, path: str, merged: DataFrame,
                        seq: Sequence[Column] = ()) -> DataFrame:
     """Upsert blended observations into the observation table; returns the rejected rows."""
