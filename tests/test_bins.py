@@ -35,7 +35,7 @@ def test_counts_are_in_order_and_keep_empty_bins(spark):
     ]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.floats(-60, 60), st.sampled_from([float(e) for e in EDGES])), min_size=1, max_size=40))
 def test_same_as_pandas(spark, xs):
     want = pd.cut(pd.Series(xs, dtype=float), bins=EDGES, labels=LABELS, right=False)

@@ -16,10 +16,8 @@ def plan(spark, name, mode="formatted"):
 
 
 ALL_JVM = [
-    "blend_join", "blend_observations", "bin_counts", "histogram30", "source_compare", "wide_to_long",
-    "long_to_wide", "latest_per_key", "top_n_latest", "ffill", "ffill_hot", "chrono_split", "differences",
-    "differences_hot", "arima_fit", "arima_score", "predict_next", "forecast_errors", "nearest_station",
-    "positional_label", "chart_compare_temperature", "flatten_a",
+    "blend_join", "blend_observations", "histogram30", "source_compare", "ffill_hot", "differences_hot",
+    "arima_score", "positional_label",
 ]
 
 

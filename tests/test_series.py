@@ -70,7 +70,7 @@ def test_position_and_lags(spark, hot):
         assert [None if pd.isna(v) else v for v in got[name]] == expected
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(st.sampled_from("abc"), st.integers(1, 60), min_size=1), st.integers(2, 30), st.integers(0, 9))
 def test_pieces_do_not_change_results(spark, lengths, hot, seed):
     df = make(spark, lengths, seed)

@@ -54,7 +54,7 @@ def test_upsert_leaves_other_days_alone(spark, folder):
     assert len(read(spark, path)) == 3
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 50), st.one_of(st.none(), st.floats(0, 9)),
                           st.integers(0, 10_000)), min_size=1, max_size=20, unique_by=lambda r: r[3]))
 def test_upsert_takes_the_last_write_in_any_order(spark, tmp_path_factory, data):
