@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,25 +40,33 @@ def local_session(app: str = "metframe", cores: int | str = "*", shuffle: int =
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Without that setting a folder given to ``setCheckpointDir`` is taken. Only a session of one machine
+    (``local[...]``) may go without both; it gets a temporary folder that is removed when Python ends.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        spark.sparkContext.setCheckpointDir(_own_folder())
         folder = spark.sparkContext.getCheckpointDir()
-        if folder is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="metframe-"))
-            folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.TemporaryDirectory(prefix="metframe-")
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own for one run, below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/metframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Checkpoint into the shared folder, which outlives a lost executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: columns stay prunable, the
+    files outlive a lost executor, and joins see their true size."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
