@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metframe.llm import bpe, decontaminate, jaccard_join, pii, quality, urls
+from metframe.llm import bpe, decontaminate, jaccard_join, pii, quality, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,11 @@ def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that start anywhere else too."""
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"), keep_first=False, with_bytes=False)
+
+
 LEAK_SQL = r"""
 with split as (
   select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), x -> x <> '') as w from documents
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe_tree_concatenation": encoding,
     "op5_url_wildcard_automaton": url_rules,
     "op9_bootstrapped_pii": personal,
+    "op10_suffix_repeats": repeats,
 }
 
 ORACLES: dict[str, str] = {"op1_benchmark_containment": LEAK_SQL, "op5_url_wildcard_automaton": URL_SQL}
