@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, row_key, span_hashes
+from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, row_key, span_hashes, word_spans
 from metframe.session import cut_lineage
 
 BUCKETS = 1 << 14  # of byte trigrams
@@ -46,16 +46,8 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def repeats(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every word but a text's first, the text it is in and whether it repeats the word before."""
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    solid = ~blank
-    before = np.concatenate([[False], solid[:-1]])
-    starts = np.flatnonzero(solid & (~before | edge[:-1]))
-    after = np.concatenate([solid[1:], [False]])
-    ends = np.flatnonzero(solid & (~after | edge[1:])) + 1
+    starts, ends, doc = word_spans(data, offsets)
     hashes = span_hashes(prefix_sums(data, byte_codes()), starts, ends)
-    doc = np.searchsorted(offsets, starts, side="right") - 1
     return doc[1:][doc[1:] == doc[:-1]], (hashes[1:] == hashes[:-1])[doc[1:] == doc[:-1]]
 
 

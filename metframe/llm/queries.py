@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metframe.llm import bpe, decontaminate, jaccard_join, pii, quality, suffixes, urls
+from metframe.llm import bpe, decontaminate, fingerprints, jaccard_join, lm, pii, quality, suffixes, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,21 @@ def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its log probabilities under the unigram base and under the model."""
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and an edited version's, and how near they and the next one's are."""
+    return fingerprints.compared(table(spark, sf_dir, "documents")).drop("edited_digests")
+
+
 def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 200-byte strings that start anywhere else too."""
     return suffixes.without_repeats(table(spark, sf_dir, "documents"), keep_first=False, with_bytes=False)
@@ -98,6 +113,9 @@ QUERIES: dict[str, Query] = {
     "op3_importance_resampling": importance,
     "op4_bpe_tree_concatenation": encoding,
     "op5_url_wildcard_automaton": url_rules,
+    "op6_log_bilinear_lm": language_model,
+    "op7_weak_supervision_toxicity": toxic,
+    "op8_invertible_bloom_fingerprints": versions,
     "op9_bootstrapped_pii": personal,
     "op10_suffix_repeats": repeats,
 }

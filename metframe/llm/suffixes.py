@@ -262,7 +262,8 @@ def at_of(place: Column) -> Column:
 def ranges(base: DataFrame, span: int, gram: int, keep_first: bool) -> DataFrame:
     """(doc_id, row_key, ranges): the windows of each document that repeat, as structs of first and last start."""
     rows = base.mapInArrow(anchor_rows(span, gram), ANCHORS)
-    shared = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that the join below reads both sides from a shuffle and a frequent anchor's rows can be split.
+    shared = cut_lineage(rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     met = cut_lineage(rows.join(shared, "anchor"))
     order = F.struct("doc_id", "row_key", "place")
     sets = cut_lineage(met.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(order).alias("least")))

@@ -123,6 +123,16 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * powers(len(sums))[1][starts] + (ends - starts).astype(U64))
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of every run of bytes other than blanks; ``offsets`` tells where texts begin."""
+    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(solid & (edge[:-1] | ~np.concatenate([[False], solid])[:-1]))
+    ends = np.flatnonzero(solid & (edge[1:] | ~np.concatenate([solid, [False]])[1:])) + 1
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+
+
 def plain_words(text: str) -> bytes:
     """Lower-cased words with one blank between them."""
     return " ".join(text.lower().split()).encode()

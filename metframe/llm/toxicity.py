@@ -10,9 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metframe.llm.text import corpus, pieces_of, span_hashes, prefix_sums, byte_codes
+from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, span_hashes
+from metframe.session import cut_lineage
 
-TRAIN_ROWS = 40_000  # labelled documents that are learned from, at most, chosen by a hash of their id
+TRAIN_ROWS = 20_000  # labelled documents that are learned from, at most, chosen by a hash of their id
 LEXICON = 400  # words that become voters, at most
 LEAST = 4  # training documents that such a word must be in
 BUCKETS = 1 << 16  # hashed word features of the classifier
@@ -41,22 +42,6 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def lexicon(texts: Sequence[set[str]], labels: np.ndarray, most: int, least: int) -> list[str]:
-    """The words that tell toxic training documents best, by log odds; only such as are far likelier there."""
-    bad: dict[str, int] = {}
-    good: dict[str, int] = {}
-    for words, label in zip(texts, labels):
-        counts = bad if label else good
-        for w in words:
-            counts[w] = counts.get(w, 0) + 1
-    n_bad, n_good = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
-    scored = [
-        (np.log((c + 0.5) / (n_bad + 1)) - np.log((good.get(w, 0) + 0.5) / (n_good + 1)), w)
-        for w, c in bad.items() if c >= least
-    ]
-    return [w for s, w in sorted(scored, key=lambda x: (-x[0], x[1])) if s > 2][:most]
-
-
 class Voters:
     """One voter for each word of the lexicon, for a half and for several of its words, and for each pattern.
     A voter says 1 (toxic) or nothing; one more says that none of them spoke."""
@@ -91,19 +76,16 @@ class LabelModel:
     speak together more often than that explains are correlated, and their evidence counts in part."""
 
     def __init__(self, votes: np.ndarray, seen: np.ndarray, rounds: int):
-        """``seen``: 1 and 0 for labelled rows, which anchor the model, -1 for others."""
+        """``seen``: the labels, 1 or 0. They may be wrong, so they are strong evidence, not a fact."""
         v = votes.astype(np.float64)
-        known, y = seen >= 0, np.clip(seen, 0, 1).astype(np.float64)
-        # Known labels may be wrong, so they are strong evidence, not a fact.
-        prior = float(y[known].mean()) if known.any() else 0.1
-        posterior = np.where(known, np.where(y > 0, 0.95, 0.02), prior)
+        posterior = np.where(seen > 0, 0.95, 0.02)
         for _ in range(rounds):
             self.prior = float(np.clip(posterior.mean(), 1e-3, 0.999))
             self.on = (posterior @ v + 0.5 * self.prior) / (posterior.sum() + 1)
             self.off = ((1 - posterior) @ v + 0.5 * 0.01) / ((1 - posterior).sum() + 1)
             self.share = self.shares(v, posterior)
             estimate = self.posterior(v)
-            odds = np.log(estimate / (1 - estimate)) + np.where(known, np.where(y > 0, 3.0, -3.0), 0.0)
+            odds = np.log(estimate / (1 - estimate)) + np.where(seen > 0, 3.0, -3.0)
             fresh = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
             if np.abs(fresh - posterior).max() < 1e-6:
                 break
@@ -182,27 +164,22 @@ class Classifier:
 class Model:
     """What scoring needs: the voters, the classifier and the odds that its threshold stands for."""
 
-    def __init__(self, texts: Sequence[str], labels: np.ndarray):
-        """``labels``: 1, 0 or -1 for none."""
-        word_lists = [words_of(t) for t in texts]
-        sets, known = [set(w) for w in word_lists], labels >= 0
-        chosen = lexicon([s for s, k in zip(sets, known) if k], labels[known], LEXICON, LEAST)
-        self.voters = Voters(chosen)
-        votes = [np.array(sorted(set(self.voters.votes(t, s))), np.int64) for t, s in zip(texts, sets)]
-        matrix = np.zeros((len(texts), self.voters.count), bool)
+    def __init__(self, voters: Voters, votes: list[np.ndarray], words: list[np.ndarray], labels: np.ndarray):
+        """Of training documents the votes, the word features and the labels (1 or 0)."""
+        self.voters = voters
+        matrix = np.zeros((len(votes), voters.count), bool)
         for i, v in enumerate(votes):
             matrix[i, v] = True
-        self.labels = LabelModel(matrix, labels, ROUNDS)
-        words = [buckets_of(w) for w in word_lists]
-        target = self.labels.training_posterior
-        self.classifier = Classifier(self.voters.count).fit(votes, words, target, EPOCHS)
-        self.shift = self.cut(self.classifier.odds(votes, words)[known], labels[known])
+        self.labels = LabelModel(matrix, labels, ROUNDS) if len(votes) else None
+        self.classifier, self.shift = Classifier(voters.count), 0.0
+        if len(votes):
+            self.classifier.fit(votes, words, self.labels.training_posterior, EPOCHS)
+            self.shift = self.cut(self.classifier.odds(votes, words), labels)
 
     @staticmethod
     def cut(odds: np.ndarray, labels: np.ndarray) -> float:
         """The shift that puts the cut with the best F1 on the training labels at the threshold."""
-        goal = np.log(THRESHOLD / (1 - THRESHOLD))
-        if not len(labels) or not (labels == 1).any():
+        if not (labels == 1).any():
             return 0.0
         order = np.argsort(-odds, kind="stable")
         hits = np.cumsum(labels[order] == 1)
@@ -211,18 +188,55 @@ class Model:
         f1[:-1][odds[order][:-1] == odds[order][1:]] = -1
         best = int(f1.argmax())
         low = odds[order][best + 1] if best + 1 < len(odds) else odds[order][best] - 2
-        return float(goal - (odds[order][best] + low) / 2)
+        return float(np.log(THRESHOLD / (1 - THRESHOLD)) - (odds[order][best] + low) / 2)
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
-        votes, words = [], []
-        for text in texts:
-            own = words_of(text)
-            votes.append(np.array(sorted(set(self.voters.votes(text, set(own)))), np.int64))
-            words.append(buckets_of(own))
-        odds = self.classifier.odds(votes, words) + self.shift
+        odds = self.classifier.odds(*features(self.voters, texts)) + self.shift
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
+def features(voters: Voters, texts: Sequence[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The voters that speak on each text, and its word features."""
+    votes, words = [], []
+    for text in texts:
+        own = words_of(text)
+        votes.append(np.array(sorted(set(voters.votes(text, set(own)))), np.int64))
+        words.append(buckets_of(own))
+    return votes, words
+
+
+def word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every distinct word of every training document, with the document's label."""
+    for batch in pieces_of(batches):
+        words, marks = [], []
+        for text, mark in zip(batch["text"].to_pylist(), batch["mark"].to_pylist()):
+            own = set(words_of(text))
+            words += own
+            marks += [mark] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(marks, pa.int64())], names=["word", "mark"])
+
+
+def feature_rows(voters: Voters):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches):
+            votes, words = features(voters, batch["text"].to_pylist())
+            of_int = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["mark"], pa.array(votes, of_int), pa.array(words, of_int)], names=["doc_id", "mark", "votes", "words"])
+
+    return rows
+
+
+def lexicon(training: DataFrame) -> list[str]:
+    """The words that tell toxic training documents best, by log odds; only such as are far likelier there."""
+    n_bad, n = (x or 0 for x in training.agg(F.sum("mark"), F.count("*")).first())
+    counts = training.select("text", "mark").mapInArrow(word_sets, "word string, mark long").groupBy("word").agg(
+        F.sum("mark").alias("bad"), F.sum(1 - F.col("mark")).alias("good"))
+    odds = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n - n_bad + 1))
+    best = counts.where(F.col("bad") >= LEAST).withColumn("odds", odds).where("odds > 2").orderBy(F.desc("odds"), "word").limit(LEXICON)
+    return [r.word for r in best.collect()]
+
+
 def scorer(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
@@ -246,22 +260,15 @@ def scored(
     their id. Every text is scored whole, empty and null ones by what the model makes of an empty text. Rows
     are scored each for itself, so null ids (never held out), repeated rows and other columns do not matter.
     """
-    spark = docs.sparkSession
-    marks = labels.select(F.col("doc_id").alias("id"), F.col(f"`{label}`").cast("int").alias("mark")).dropna().where(~held_out("id"))
+    marks = labels.select(F.col("doc_id").alias("id"), F.col(f"`{label}`").cast("long").alias("mark")).dropna().where(~held_out("id"))
     marks = marks.groupBy("id").agg(F.max("mark").alias("mark")).orderBy(F.xxhash64("id"), "id").limit(train_rows)
     base = corpus(docs, doc_id, text)
-    model = spark.sparkContext.broadcast(train(base, marks))
-    rows = base.mapInArrow(scorer(model), "doc_id long, score double")
-    return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
-
-
-def train(base: DataFrame, marks: DataFrame) -> Model:
-    """The model of the bounded sample of labelled rows."""
-    rows = base.join(F.broadcast(marks), F.col("doc_id") == F.col("id")).select("doc_id", "text", "mark")
-    # Only what the model can use leaves the executors: each distinct word of a text once, but texts whole for patterns.
-    got = rows.orderBy("doc_id", "text").toLocalIterator()
-    texts, y = [], []
-    for r in got:
-        texts.append(r.text)
-        y.append(r.mark)
-    return Model(texts, np.array(y, np.int64))
+    # The sample is bounded by train_rows, so it may be sent to every task and, as features, to the driver.
+    training = cut_lineage(base.join(F.broadcast(marks), F.col("doc_id") == F.col("id")).dropDuplicates(["doc_id"]).select("doc_id", "text", "mark"))
+    voters = Voters(lexicon(training))
+    rows = training.mapInArrow(feature_rows(voters), "doc_id long, mark long, votes array<int>, words array<int>").toPandas().sort_values("doc_id")
+    model = Model(
+        voters, [np.asarray(v, np.int64) for v in rows["votes"]], [np.asarray(w, np.int64) for w in rows["words"]], rows["mark"].to_numpy(np.int64))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    scores = base.mapInArrow(scorer(sent), "doc_id long, score double")
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
