@@ -21,7 +21,7 @@ CLASSES = 256  # frequent words, the end and the rest
 FREQUENT = 1_000_000  # words whose counts are sent to every task, at most; those of the rest are joined
 WIDTH = 32
 NOISE = 10.0  # noise tokens for each true one
-EPOCHS = 60
+EPOCHS = 15
 RATE = 0.05
 PIECE = 2 << 20
 END_HASH = np.uint64(1)
