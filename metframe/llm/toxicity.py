@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, span_hashes
 from metframe.session import cut_lineage
 
-TRAIN_ROWS = 20_000  # labelled documents that are learned from, at most, chosen by a hash of their id
+TRAIN_ROWS = 10_000  # labelled documents that are learned from, at most, chosen by a hash of their id
 LEXICON = 400  # words that become voters, at most
 LEAST = 4  # training documents that such a word must be in
 BUCKETS = 1 << 16  # hashed word features of the classifier
