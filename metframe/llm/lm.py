@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, span_hashes, word_spans
 from metframe.session import cut_lineage
 
-CLASSES = 256  # frequent words, the end and the rest
-FREQUENT = 1_000_000  # words whose counts are sent to every task, at most; those of the rest are joined
+CLASSES = 192  # frequent words, the end and the rest
+FREQUENT = 200_000  # words whose counts are sent to every task, at most; those of the rest are joined
 WIDTH = 32
 NOISE = 10.0  # noise tokens for each true one
-EPOCHS = 15
+EPOCHS = 8
 RATE = 0.05
 PIECE = 2 << 20
 END_HASH = np.uint64(1)
@@ -126,7 +126,7 @@ class LogBilinear:
         total = counts.sum()
         order = np.random.default_rng(2).permutation(len(contexts))
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.parameters()]
-        step, lots = 0, np.array_split(order, max(1, len(order) // 4096))
+        step, lots = 0, np.array_split(order, max(1, len(order) // 1024))
         for epoch in range(epochs):
             for lot in lots:
                 step += 1
@@ -218,10 +218,14 @@ def scored(
     top = words.orderBy(F.desc("n"), "word").limit(CLASSES - 2).select("word", "n").collect()
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     classes = spark.sparkContext.broadcast(Classes(np.array([r.word for r in top], np.int64).view(np.uint64)))
-    grams = training.mapInArrow(trigram_counter(classes), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toPandas()
+    grams = training.mapInArrow(trigram_counter(classes), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    # At most CLASSES ** 3 rows, whatever the corpus.
+    grams = cut_lineage(grams.select(F.col("code").cast("int"), "n")).toPandas()
     model = LogBilinear(CLASSES, WIDTH)
     if len(grams):
-        model.train(grams["code"].to_numpy(), grams["n"].to_numpy(), epochs, RATE, NOISE)
+        order = np.argsort(grams["code"].to_numpy())
+        model.train(grams["code"].to_numpy()[order].astype(np.int64), grams["n"].to_numpy()[order], epochs, RATE, NOISE)
+    del grams
     # The least count that a word must have for no more than so many words to have it.
     sizes = counts.groupBy("n").agg(F.count("*").alias("words"))
     upto = F.sum("words").over(Window.orderBy(F.desc("n")))
