@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from metframe import schemas
 from metframe.functions.expr import epoch_time, mean2
@@ -51,14 +51,16 @@ def table_columns(df: DataFrame) -> DataFrame:
     return df.select(*schemas.OBSERVATIONS.fieldNames())
 
 
-def merge_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str], seq: Sequence[Column]) -> DataFrame:
-    """Last write wins on the whole row, nulls included: updates beat the target, and among
-    updates the first in the order ``seq`` wins."""
+def merge_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """Last write wins on the whole row, nulls included.
+
+    The row with the highest ``seq`` columns wins, whether it is old or new; of equal ones an update. A
+    target without these columns is older than any update that has them.
+    """
     from metframe.operators.series import latest_per
 
     names = target.columns
-    extra = [c for c in updates.columns if c not in names]
     old = target.withColumn("_new", F.lit(False))
-    new = updates.withColumn("_new", F.lit(True))
-    both = old.unionByName(new, allowMissingColumns=True) if extra else old.unionByName(new)
-    return latest_per(both, keys, [F.desc("_new"), *seq]).select(*names)
+    both = old.unionByName(updates.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    order = [*[F.desc_nulls_last(s) for s in seq], F.desc("_new"), F.desc(F.xxhash64(*updates.columns))]
+    return latest_per(both, keys, order).select(*names)

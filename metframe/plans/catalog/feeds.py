@@ -266,11 +266,26 @@ def csv_predictions(spark, sf):
     )
 
 
+@query("upsert_older", f"""
+with {EV}, ranked as (
+  select *, row_number() over (partition by station, date_trunc('day', ts) order by event_id desc) as rn from ev)
+select station as city_name, {text("date_trunc('day', ts)")} as time, event_id,
+       {r("case when event_type <> 'error' then value end")} as temp
+from ranked where rn = 1""")
+def upsert_older(spark, sf):
+    """K5: newer versions first, older ones after them in several calls; the newest stays."""
+    path, ev = scratch_path(spark, "table"), views.events(spark, sf)
+    for part in ("event_id % 3 = 0", "event_id % 3 = 2", "event_id % 3 = 1"):
+        writers.upsert(spark, path, daily(ev.where(part)), schemas.OBSERVATION_KEY, ["event_id"], DAILY)
+    rows = readers.read_table(spark, path).select(*DAILY.fieldNames())
+    return rounded(rows.withColumn("time", time_text("time")), ["temp"])
+
+
 UPSERT_SQL = f"""
 with {EV}, ranked as (
   select station as city_name, date_trunc('day', ts) as time, event_id, value, event_type,
          row_number() over (partition by station, date_trunc('day', ts)
-           order by case when event_type in ('purchase', 'error') then 1 else 0 end desc, event_id desc) as rn
+           order by event_id desc) as rn
   from ev)
 select city_name, {text('time')} as time, event_id,
        {r("case when event_type <> 'error' then value end")} as temp
@@ -291,7 +306,7 @@ DAILY = schemas.struct(city_name=schemas.S, time=schemas.TS, event_id=schemas.L,
 def upsert_twice(spark, sf, times):
     path, ev = scratch_path(spark, "table"), views.events(spark, sf)
     later = F.col("event_type").isin(views.TYPES_B)
-    seq = [F.desc("event_id")]
+    seq = ["event_id"]
     writers.upsert(spark, path, daily(ev.where(~later)), schemas.OBSERVATION_KEY, seq, DAILY)
     for _ in range(times):
         writers.upsert(spark, path, daily(ev.where(later)), schemas.OBSERVATION_KEY, seq, DAILY)
@@ -404,8 +419,14 @@ def configured_keys(spark, sf):
 
 @query("batch_run", f"""
 with {AB}
-select name as city_name, {text('time')} as time, {r('temp')} as temp, {r('wind_speed')} as wind_speed, country
-from a where name in (select city_name from b)""")
+, placed as (
+  select *, floor(epoch(strptime(time, '%Y-%m-%dT%H:%M')) / 600) as slot from b),
+newest as (
+  select *, row_number() over (partition by city_name, slot order by time desc) as rn from placed)
+select name as city_name, {text('a.time')} as time, {r('temp')} as temp, {r('wind_speed')} as wind_speed, country,
+       {r('(temp + newest.temperature_2m) / 2')} as temperature_2m, {r('(humidity + relative_humidity_2m) / 2')} as humidity,
+       {r('elevation')} as elevation
+from a join newest on name = city_name and floor(epoch(a.time) / 600) = slot and rn = 1""")
 def batch_run(spark, sf):
     """The whole feeds as one batch through every stage, then the table."""
     places = Places(*[scratch_path(spark, n) for n in ("a", "b", "table", "snapshot", "predictions", "models")])
@@ -414,5 +435,5 @@ def batch_run(spark, sf):
     writers.publish(writers.to_messages(views.raw_b(spark, sf), "city_name"), topics[1])
     run_batch(spark, *topics, places)
     table = readers.read_table(spark, places.table)
-    out = table.select("city_name", time_text("time").alias("time"), "temp", "wind_speed", "country")
-    return rounded(out, ["temp", "wind_speed"])
+    names = ["temp", "wind_speed", "temperature_2m", "humidity", "elevation"]
+    return rounded(table.select("city_name", time_text("time").alias("time"), "country", *names), names)

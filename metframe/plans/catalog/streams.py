@@ -75,7 +75,7 @@ def stream_upsert(spark, sf):
     """Each micro-batch upserted into the table, the last write of a key winning."""
     path = scratch_path(spark, "stream-table")
     feeds.drain(feeds.upsert_stream(
-        daily(event_stream(spark, sf)), path, schemas.OBSERVATION_KEY, [F.desc("event_id")], DAILY,
+        daily(event_stream(spark, sf)), path, schemas.OBSERVATION_KEY, ["event_id"], DAILY,
         scratch_path(spark, "checkpoint"),
     ))
     rows = readers.read_table(spark, path).select(*DAILY.fieldNames())

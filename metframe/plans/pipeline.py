@@ -11,13 +11,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from metframe import schemas
+from metframe.functions.expr import slot
 from metframe.operators.blend import blend_columns, flatten_a, flatten_b
 from metframe.operators.forecast import arima_models, predict, select_model, series_rows
 from metframe.operators.quality import decode_messages
 from metframe.operators.refine import ARIMA, SARIMA, fit_css
 from metframe.operators.seasonal import sarima_models
 from metframe.operators.series import latest_per, top_n
-from metframe.operators.skew import HOT_ROWS, lookup_join
+from metframe.operators.skew import HOT_ROWS
 from metframe.operators.stations import nearest_station, only_keys
 from metframe.sources.readers import (
     path_exists, read_history, read_messages, read_or_empty, read_raw, read_table,
@@ -25,6 +26,9 @@ from metframe.sources.readers import (
 from metframe.sources.writers import store_observations, write_csv, write_models, write_replace
 
 
+SLOT = 600  # seconds between two batches of a provider
+
+
 @dataclass
 class Places:
     """Folders of one deployment."""
@@ -69,15 +73,16 @@ def land(spark: SparkSession, source, schema: T.StructType, path: str, cities: D
 def merge(raw_a: DataFrame, raw_b: DataFrame) -> DataFrame:
     """Flatten, join and blend one batch of both providers.
 
-    A repeated message is taken once: of provider A one per city and time, which is the key of the
-    table, of provider B the newest per city. So the join has one partner per row.
+    The providers meet by city and ten-minute slot of their own times, so a batch may span many slots. A
+    repeated message is taken once: of provider A one per city and time, which is the key of the table, of
+    provider B the newest per city and slot. So the join has one partner per row.
     """
     a = flatten_a(raw_a)
     a = latest_per(a, ["city_name", "time"], [F.desc(F.xxhash64(*a.columns))])
-    b = raw_b.select("*", F.col("current.time").alias("_at"))
-    b = latest_per(flatten_b(b, ["_at"]), ["city_name"], [F.desc("_at"), F.desc(F.xxhash64(*schemas.PATHS_B))])
-    joined = lookup_join(a.dropna(subset=["city_name"]), b.drop("_at"), ["city_name"])
-    return blend_columns(joined)
+    b = flatten_b(raw_b.select("*", F.col("current.time").alias("_at")), ["_at"])
+    b = b.withColumn("_slot", slot(F.col("_at").try_cast("timestamp"), SLOT))
+    b = latest_per(b, ["city_name", "_slot"], [F.desc("_at"), F.desc(F.xxhash64(*schemas.PATHS_B))])
+    return blend_columns(a.withColumn("_slot", slot("time", SLOT)).join(b.drop("_at"), ["city_name", "_slot"]).drop("_slot"))
 
 
 def train(history: DataFrame, cities: DataFrame | None = None, hot: int = HOT_ROWS) -> DataFrame:

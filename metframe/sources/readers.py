@@ -37,38 +37,60 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """CSV with a header; columns are found by name, whatever their order and case.
+
+    Other columns are left out, absent ones and values that do not fit are null. A header without the
+    keys is an error, as is one that differs between the files of a folder.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    names = {c.strip().lower(): c for c in raw.columns}
+    missing = [k for k in keys if k.lower() not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*[
+        (F.col(f"`{names[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in names else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema
+    ])
+
+
 def read_history(spark: SparkSession, path: str, schema: T.StructType = schemas.HISTORY) -> DataFrame:
-    """CSV with a header; columns are matched by the order of the schema, bad values become null."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """History or snapshot, by column names."""
+    return read_csv(spark, path, schema, schemas.OBSERVATION_KEY)
 
 
 def read_predictions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All ``*.csv`` parts of a prediction folder, and the lines that could not be read.
 
-    A part file that is broken as a whole is passed over. The lines are parsed as an expression,
-    because the CSV scan does not answer questions about its rejected lines alone.
+    The header of the folder's files tells the order of the columns. A part file that is broken as a
+    whole is passed over. The lines are parsed as an expression, because the CSV scan does not answer
+    questions about its rejected lines alone.
     """
-    with_mark = T.StructType([*schemas.PREDICTIONS.fields, T.StructField(CORRUPT, T.StringType())])
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_mark)
-    lines = (
-        spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv").text(folder)
-        .where(F.col("value") != ",".join(schemas.PREDICTIONS.fieldNames()))
-    )
-    rows = lines.select(F.from_csv("value", ddl, {"columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    parts = spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv")
+    header = parts.option("header", True).csv(folder).columns
+    wanted = {f.name: f for f in schemas.PREDICTIONS}
+    missing = [n for n in wanted if n not in header]
+    if missing:
+        raise ValueError(f"{folder} has no column {', '.join(missing)}")
+    ddl = ", ".join(f"`{c}` {wanted[c].dataType.simpleString() if c in wanted else 'string'}" for c in header)
+    lines = parts.text(folder).where(F.col("value") != ",".join(header))
+    rows = lines.select(
+        F.from_csv("value", f"{ddl}, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}).alias("r")
+    ).select("r.*")
+    good = rows.where(F.col(CORRUPT).isNull()).select(*wanted)
     return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def first_predictions(predictions: DataFrame) -> DataFrame:
     """First prediction per city and variable, by time."""
     return first_per(
-        predictions, ["city_name", "variable"], ["time"], ["time", "predicted_value", "time_of_prediction"]
+        predictions, ["city_name", "variable"], ["time", "time_of_prediction", "predicted_value"], ["time", "predicted_value", "time_of_prediction"]
     )
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
-    """City list with its coordinates; the CSV header is City, Latitude, Longitude."""
-    return spark.read.schema(schemas.CITIES).option("header", True).csv(path)
+    """City list with its coordinates; the CSV header has City, Latitude and Longitude."""
+    return read_csv(spark, path, schemas.CITIES, ["city"])
 
 
 def city_key(name: Column | str) -> Column:

@@ -10,7 +10,7 @@ from metframe import schemas
 from metframe.operators.blend import merge_latest, table_columns
 from metframe.operators.quality import conform
 from metframe.operators.series import latest_per
-from metframe.session import scratch_path
+from metframe.session import cut_lineage, scratch_path
 from metframe.sources.readers import path_exists, read_table
 
 DAY = "date"
@@ -57,45 +57,56 @@ def with_day(df: DataFrame, time: str = "time") -> DataFrame:
     return df.withColumn(DAY, F.to_date(time))
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], seq: Sequence[Column],
+def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], seq: Sequence[str],
            schema: T.StructType, time: str = "time") -> int:
     """Write rows into the table at ``path``, the last write of a key winning as a whole row.
 
-    The table is partitioned by day. Only the days the updates touch are read, merged, staged in
-    the shared folder and then written over the old ones; a run that failed can be repeated with the
-    same result. Large days are split over several tasks and files. Frames opened before hold the
-    old list of files. Returns the number of touched days.
+    Last is the highest value of the ``seq`` columns of the updates, which the table keeps, so the result
+    does not depend on how the updates are cut into calls; of equal ones the later call wins. The table is
+    partitioned by day. Only the days the updates touch are read, merged, staged in the shared folder and
+    then written over the old ones; a run that failed can be repeated with the same result. Large days are
+    split over several tasks and files. Rows without a time have no day and are not stored. Frames opened
+    before hold the old list of files. Returns the number of touched days.
     """
-    new = with_day(updates, time)
+    names, order = schema.fieldNames(), [f"_seq_{s}" for s in seq]
+    numbered = updates.select(*names, *[F.col(s).alias(o) for s, o in zip(seq, order)])
+    new = cut_lineage(with_day(numbered, time).where(F.col(DAY).isNotNull()))
     # Distinct days: bounded by the time range, not by the rows.
-    days = [r[0] for r in new.select(DAY).distinct().where(F.col(DAY).isNotNull()).collect()]
+    days = [r[0] for r in new.select(DAY).distinct().collect()]
     if not days:
         return 0
-    names = schema.fieldNames()
-    new = new.where(F.col(DAY).isNotNull())
     written = [d for d in days if path_exists(spark, f"{path}/{DAY}={d}")]
     if not written:
         # Nothing to read back, so the rows go straight to their new days.
-        fresh = latest_per(new, keys, seq).select(*names, DAY)
+        fresh = latest_per(new, keys, [*[F.desc_nulls_last(o) for o in order], F.desc(F.xxhash64(*names))])
         write_days(fresh.hint("rebalance", DAY), path)
         return len(days)
-    old = read_table(spark, path).where(F.col(DAY).isin(written)).select(*names, DAY)
+    table = read_table(spark, path)
+    old = table.where(F.col(DAY).isin(written)).select(
+        *names, *[F.col(o) if o in table.columns else F.lit(None).cast(new.schema[o].dataType).alias(o) for o in order], DAY)
     staged = scratch_path(spark, "upsert")
-    write_days(merge_latest(old, new, list(keys), seq).hint("rebalance", DAY), staged)
-    write_days(read_table(spark, staged).select(*names, DAY), path)
+    write_days(merge_latest(old, new, list(keys), order).hint("rebalance", DAY), staged)
+    write_days(read_table(spark, staged).select(*old.columns), path)
+    remove(spark, staged)
     return len(days)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder, on any Hadoop file system."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def write_days(df: DataFrame, path: str) -> None:
     """Write the days the frame holds over those at ``path``; other days stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
 
 
-def store_observations(spark: SparkSession, path: str, merged: DataFrame,
-                       seq: Sequence[Column] = ()) -> DataFrame:
-    """Upsert blended observations into the observation table; returns the rejected rows."""
-    rows, rejected = conform(table_columns(merged), schemas.OBSERVATIONS)
-    rows = rows.dropna(subset=schemas.OBSERVATION_KEY)
-    order = list(seq) or [F.desc(F.xxhash64(*schemas.OBSERVATIONS.fieldNames()))]
-    upsert(spark, path, rows, schemas.OBSERVATION_KEY, order, schemas.OBSERVATIONS)
-    return rejected
+def store_observations(spark: SparkSession, path: str, merged: DataFrame, seq: Sequence[str] = ()) -> DataFrame:
+    """Upsert blended observations into the observation table; returns the rejected rows: those with a value
+    that does not fit, and those without a key."""
+    raw = table_columns(merged)
+    keyless = F.col(schemas.OBSERVATION_KEY[0]).isNull() | F.col(schemas.OBSERVATION_KEY[1]).isNull()
+    rows, rejected = conform(raw.where(~keyless), schemas.OBSERVATIONS)
+    upsert(spark, path, rows, schemas.OBSERVATION_KEY, list(seq), schemas.OBSERVATIONS)
+    return rejected.unionByName(raw.where(keyless))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from metframe import schemas
@@ -64,7 +64,7 @@ def blend_streams(a: DataFrame, b: DataFrame, key: str, time_a: str, time_b: str
     ).drop("_key", "_slot", "_slot_b")
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], seq: Sequence[Column],
+def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], seq: Sequence[str],
                   schema: T.StructType, checkpoint: str, time: str = "time") -> DataStreamWriter:
     """Each micro-batch is upserted; a batch that is run again gives the same table."""
 

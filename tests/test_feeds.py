@@ -111,7 +111,7 @@ def test_merge_latest_takes_whole_rows(spark):
     new = spark.createDataFrame(
         [("a", 1, None, 7), ("a", 1, 9.0, 6), ("c", 1, 3.0, 1)], "k string, t int, v double, seq int"
     )
-    got = merge_latest(old, new, ["k", "t"], [F.desc("seq")])
+    got = merge_latest(old, new, ["k", "t"], ["seq"])
     assert rows(got, "k") == [("a", 1, None), ("b", 1, 2.0), ("c", 1, 3.0)]
 
 

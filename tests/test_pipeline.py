@@ -1,5 +1,6 @@
 """Two batches through all stages."""
 
+import datetime as dt
 import json
 from pathlib import Path
 
@@ -18,9 +19,10 @@ def reading_a(city, step, temp):
             "sys": {"country": "XX", "sunrise": T0, "sunset": T0}}
 
 
-def reading_b(city, temp):
+def reading_b(city, temp, step=0):
+    at = dt.datetime.fromtimestamp(T0 + 600 * step, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M")
     return {"city_name": city, "elevation": 3, "current": {
-        "temperature_2m": temp, "relative_humidity_2m": 60, "apparent_temperature": temp, "is_day": 1}}
+        "time": at, "temperature_2m": temp, "relative_humidity_2m": 60, "apparent_temperature": temp, "is_day": 1}}
 
 
 def topic(folder, name, records, *broken):
@@ -42,7 +44,7 @@ def test_two_batches(spark, folder):
     assert one["provider_a"].count() == 1 and one["provider_b"].count() == 0 and one["observations"].count() == 0
     assert not readers.path_exists(spark, places.predictions)  # nothing to predict from yet
     pipeline.run_batch(
-        spark, topic(folder, "a2", [reading_a("Nord", 1, 21.0)]), topic(folder, "b2", [reading_b("Nord", 23.0)]), places,
+        spark, topic(folder, "a2", [reading_a("Nord", 1, 21.0)]), topic(folder, "b2", [reading_b("Nord", 23.0, 1)]), places,
     )
     table = readers.read_table(spark, places.table)
     assert rows(table.select("city_name", "temp", "temperature_2m", "humidity"), "city_name", "temp") == [
@@ -75,8 +77,16 @@ def test_provider_b_is_named_by_its_coordinates(spark, folder):
     assert rows(table.select("city_name", "temperature_2m"), "city_name") == [("Nord", 21.0), ("Süd", 30.5)]
 
 
+def test_each_reading_meets_the_one_of_its_slot(spark, folder):
+    places = pipeline.Places(*[folder(n) for n in ("a", "b", "table", "snapshot", "predictions", "models")])
+    pipeline.run_batch(
+        spark, topic(folder, "a1", [reading_a("Nord", 0, 10.0), reading_a("Nord", 144, 30.0), reading_a("Nord", 300, 5.0)]),
+        topic(folder, "b1", [reading_b("Nord", 12.0), reading_b("Nord", 34.0, 144)]), places,
+    )
+    assert rows(readers.read_table(spark, places.table).select("temp", "temperature_2m"), "temp") == [(10.0, 11.0), (30.0, 32.0)]
+
+
 def test_training_keeps_the_listed_cities(spark):
-    import datetime as dt
     import math
 
     data = [

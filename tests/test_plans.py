@@ -73,7 +73,7 @@ def test_day_partitions_are_pruned(spark, folder):
     from metframe.plans import views
     from metframe.plans.catalog.feeds import DAILY, daily
 
-    writers.upsert(spark, folder("t"), daily(views.events(spark, SF_DIR)), ["city_name", "time"], [F.desc("event_id")], DAILY)
+    writers.upsert(spark, folder("t"), daily(views.events(spark, SF_DIR)), ["city_name", "time"], ["event_id"], DAILY)
     df = readers.read_table(spark, folder("t")).where("date = date'2024-01-05'")
     jvm_mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     assert "PartitionFilters: [isnotnull(date" in df._jdf.queryExecution().explainString(jvm_mode)

@@ -3,6 +3,7 @@
 import datetime as dt
 from pathlib import Path
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ def batch(spark, *data):
 
 
 def put(spark, path, df):
-    return writers.upsert(spark, path, df, KEYS, [F.desc("seq")], SCHEMA)
+    return writers.upsert(spark, path, df, KEYS, ["seq"], SCHEMA)
 
 
 def read(spark, path):
@@ -70,9 +71,10 @@ def test_store_observations_rejects_without_losing_the_rest(spark, folder):
     names = schemas.OBSERVATIONS.fieldNames()
     good = {n: None for n in names} | {"city_name": "a", "time": "2024-01-01 00:10:00", "temp": "3", "is_day": "1"}
     bad = good | {"city_name": "b", "temp": "warm"}
-    df = spark.createDataFrame([tuple(r[n] for n in names) for r in (good, bad)], ", ".join(f"{n} string" for n in names))
+    keyless = [good | {"city_name": None}, good | {"city_name": "c", "time": None}]
+    df = spark.createDataFrame([tuple(r[n] for n in names) for r in (good, bad, *keyless)], ", ".join(f"{n} string" for n in names))
     rejected = writers.store_observations(spark, folder("obs"), df)
-    assert [r["city_name"] for r in rejected.collect()] == ["b"]
+    assert sorted(str(r["city_name"]) for r in rejected.collect()) == ["None", "b", "c"]
     row = readers.read_table(spark, folder("obs")).first()
     assert (row["city_name"], row["temp"], row["is_day"]) == ("a", 3.0, 1)
     assert row["time"] == T0 + dt.timedelta(minutes=10)
@@ -96,6 +98,29 @@ def test_history_types_do_not_depend_on_the_data(spark, folder):
     assert (row["humidity"], row["sea_level"], row["wind_speed"], row["city_name"]) == (50.0, None, None, "Fès")
 
 
+def test_csv_columns_are_found_by_name(spark, folder):
+    Path(folder("h.csv")).write_text("city_name,time,Temp,humidity,country\nA,2024-01-01,21.5,40,XX\n")
+    row = readers.read_history(spark, folder("h.csv")).first()
+    assert (row["temp"], row["humidity"], row["pressure"], row["time"]) == (21.5, 40.0, None, T0)
+    Path(folder("c.csv")).write_text("Longitude,City,Latitude\n1,B,2\n")
+    assert rows(readers.read_cities(spark, folder("c.csv"))) == [("B", 2.0, 1.0)]
+    Path(folder("p")).mkdir()
+    Path(folder("p"), "1.csv").write_text("variable,extra,city_name,predicted_value,time,time_of_prediction\ntemp,x,a,2.5,2024-01-01,2024-01-02\n")
+    good, bad = readers.read_predictions(spark, folder("p"))
+    assert [(r["city_name"], r["predicted_value"], r["time"]) for r in good.collect()] == [("a", 2.5, T0)] and bad.isEmpty()
+    Path(folder("n.csv")).write_text("temp,humidity\n1,2\n")
+    with pytest.raises(ValueError, match="city_name"):
+        readers.read_history(spark, folder("n.csv"))
+
+
+def test_an_older_version_never_replaces_a_newer_one(spark, folder):
+    for order in ((1, 2, 3), (3, 2, 1), (2, 3, 1)):
+        path = folder(f"t{order[0]}{order[1]}")
+        for s in order:
+            put(spark, path, batch(spark, ("a", 0, float(s), s)))
+        assert read(spark, path) == [("a", T0, 3.0)]
+
+
 def test_predictions_folder(spark, folder):
     Path(folder("p")).mkdir()
     header = "city_name,time,variable,predicted_value,time_of_prediction\n"

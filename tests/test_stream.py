@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -19,7 +20,10 @@ SCHEMA = schemas.struct(city_name=schemas.S, time=schemas.TS, v=schemas.D, seq=s
 
 def drop_file(folder, number, records):
     Path(folder).mkdir(exist_ok=True)
-    Path(folder, f"{number:03d}.json").write_text("".join(json.dumps(r) + "\n" for r in records))
+    file = Path(folder, f"{number:03d}.json")
+    file.write_text("".join(json.dumps(r) + "\n" for r in records))
+    # The file source goes by modification time; files of one moment would come in any order.
+    os.utime(file, (1_700_000_000 + 10 * number,) * 2)
 
 
 def message(city, minute, v, seq=0):
@@ -76,19 +80,19 @@ def test_blend_streams_is_the_batch_join(spark, folder):
     assert got == want and readers.read_table(spark, folder("out")).count() == len(want)
 
 
-@pytest.mark.parametrize("per_batch", [1, 3])
-def test_upsert_stream_is_the_batch_upsert(spark, folder, per_batch):
+@pytest.mark.parametrize(("per_batch", "turned"), [(1, False), (1, True), (3, False)])
+def test_upsert_stream_is_the_batch_upsert(spark, folder, per_batch, turned):
     topic, path = folder("topic"), folder(f"table{per_batch}")
     sent = [
         [message("a", 0, 1.0, 1), message("b", 0, 2.0, 1)],
         [message("a", 0, None, 2), message("a", 1500, 3.0, 3)],
         [message("b", 0, 4.0, 5), message("b", 0, 5.0, 4)],
     ]
-    for i, part in enumerate(sent):
+    for i, part in enumerate(reversed(sent) if turned else sent):
         drop_file(topic, i, part)
     stored = schemas.struct(city_name=schemas.S, time=schemas.TS, v=schemas.D)
     feeds.drain(feeds.upsert_stream(
-        decoded(spark, topic, per_batch), path, schemas.OBSERVATION_KEY, [F.desc("seq")], stored, folder("check")
+        decoded(spark, topic, per_batch), path, schemas.OBSERVATION_KEY, ["seq"], stored, folder("check")
     ))
     assert rows(readers.read_table(spark, path).select("city_name", "time", "v"), "city_name", "time") == [
         ("a", T0, None), ("a", T0 + dt.timedelta(minutes=1500), 3.0), ("b", T0, 4.0),
