@@ -65,8 +65,9 @@ def without(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str
     return whole.join(names, meets(whole, key, names, doc_id), "left_anti").drop(key)
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch], size: int = 8 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes of text, at least a row each."""
+def pieces_of(batches: Iterator[pa.RecordBatch], size: int = 2 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, at least a row each. What Arrow holds of the
+    rows before is given back after each batch, as workers stay for later stages."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
         ends = np.frombuffer(col.buffers()[1], np.int32, len(col) + 1 + col.offset)[col.offset:] if len(col) and pa.types.is_string(col.type) else None
@@ -79,6 +80,8 @@ def pieces_of(batches: Iterator[pa.RecordBatch], size: int = 8 << 20, text: str
             stop = min(max(stop, start + 1), len(col))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch, col, ends
+        pa.default_memory_pool().release_unused()
 
 
 def _inverse(x: int) -> int:
