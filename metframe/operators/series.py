@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metframe.functions.expr import as_col
-from metframe.operators.skew import HOT_ROWS, PIECE, Cuts, Layout, attach, series_layout
+from metframe.operators.skew import HOT_ROWS, PIECE, Cuts, Layout, series_layout
 
 POS, SIZE = "pos", "n_rows"
 
@@ -74,7 +74,7 @@ def ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Seq
         F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns
     ])
     local = lay.df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
-    return attach(local, carry, lay.group).select(*[
+    return lay.attach(local, carry, lay.group).select(*[
         F.coalesce(c, f"_carry_{c}").alias(c) if c in columns else F.col(c) for c in df.columns
     ])
 
@@ -99,7 +99,7 @@ def _positioned(lay: Layout, order: Sequence[str], pos: str, size: str) -> DataF
     if lay.whole:
         return local
     offsets = piece_offsets(lay)
-    return attach(local, offsets, lay.group).select(
+    return lay.attach(local, offsets, lay.group).select(
         *[c for c in local.columns if c not in (pos, size)],
         (F.col(pos) + F.coalesce("_before", F.lit(0))).alias(pos),
         F.coalesce("_all", size).alias(size),

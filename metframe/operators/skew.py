@@ -1,64 +1,54 @@
 """Ways around a key that holds a large share of all rows.
 
-``hot_keys`` finds such keys with one map-side-combined count over the key columns alone.
-``lookup_join`` joins facts with a table that has one row per key: broadcast when the table is
-counted and small, else a shuffle join in which the rows of hot keys are spread by a salt.
-``series_layout`` cuts the series of hot keys into pieces in time order, so that a window never
-has to hold a whole hot series in one task. The cuts only say where a series is divided; the
+``hot_keys`` finds such keys with one map-side-combined count over the key columns alone; they stay a
+table, however many there are. ``lookup_join`` joins facts with a table that has one row per key:
+broadcast when the table's bytes are within a bound, else a shuffle join in which the rows of hot keys
+are spread by a salt. ``series_layout`` cuts the series of hot keys into pieces in time order, so that a
+window never has to hold a whole hot series in one task. The cuts only say where a series is divided; the
 operators in ``series`` carry the state over the cuts, so results do not depend on them.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-HOT_ROWS = 4_000_000      # rows of one key that one task may hold
-MAX_HOT = 10_000          # hottest keys looked at; a key behind them has < 1/10,000 of all rows
-MAX_CUTS = 10_000         # pieces of one series
-MAX_PIECES = 100_000      # pieces of all hot series; with more rows the pieces grow instead
-BROADCAST_ROWS = 200_000  # rows of a lookup table that may go to every executor
-NULL_SALTS = 4_096        # tasks that share the rows without a key
+from metframe.session import cut_lineage
 
-PIECE = "_piece"
+HOT_ROWS = 4_000_000          # rows of one key that one task may hold
+SMALL_BYTES = 16 << 20        # a table of at most that many bytes may go to every executor
+BROADCAST_PIECES = 100_000    # and so may that many pieces of hot series
+NULL_SALTS = 4_096            # tasks that share the rows without a key
 
+PIECE = "_piece"
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> list[Row]:
-    """Keys with more than ``rows`` rows, hottest first: at most ``MAX_HOT`` driver rows."""
-    return (
-        df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > rows)
-        .orderBy(F.desc("n")).limit(MAX_HOT).collect()
-    )
 
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``rows`` rows and their count ``_n``, as a written table; None if there are none."""
+    found = cut_lineage(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows))
+    return None if found.isEmpty() else found
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Counted, not guessed: has the frame at most ``rows`` rows? Stops counting beyond."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
+def is_small(df: DataFrame, size: int = SMALL_BYTES) -> bool:
+    """Does Spark's own estimate, which for derived frames is an upper one, put the frame within ``size`` bytes?"""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= size
 
-def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a small frame of bounded size to every row, nulls in the keys being equal.
 
-    Only for frames of bounded size: at most ``MAX_HOT`` keys, or ``MAX_PIECES`` + ``MAX_HOT`` pieces.
-    """
+def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", rows: int = 0) -> DataFrame:
+    """Join a frame of at most ``rows`` rows to every row, nulls in the keys being equal. Up to
+    ``BROADCAST_PIECES`` rows are broadcast; more are shuffled."""
     renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return big.join(F.broadcast(renamed), cond, how).drop(*[f"_key_{k}" for k in keys])
-
-
-def key_frame(df: DataFrame, keys: Sequence[str], rows: Sequence[Row], extra: T.StructType) -> DataFrame:
-    """Driver rows of bounded number as a frame with the key types of ``df``."""
-    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + list(extra))
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    sent = F.broadcast(renamed) if rows <= BROADCAST_PIECES else renamed
+    return big.join(sent, cond, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner",
-                small: int = BROADCAST_ROWS, hot: int = HOT_ROWS, cold: bool = False) -> DataFrame:
+                small: int = SMALL_BYTES, hot: int = HOT_ROWS, cold: bool = False) -> DataFrame:
     """Join facts with a table that has at most one row per key.
 
     ``cold`` says that the caller has already found no key to be hot.
@@ -66,18 +56,15 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str
     on = list(on)
     if is_small(table, small):
         return facts.join(F.broadcast(table), on, how)
-    keys = [] if cold else hot_keys(facts, on, hot)
-    if not keys:
+    keys = None if cold else hot_keys(facts, on, hot)
+    if keys is None:
         return facts.join(table, on, how)
     # A hot key gets as many salts as it needs to leave about ``hot`` rows on each; the one row it
     # has in the table is repeated for each salt. All other keys keep salt 0. Rows without a key
     # match nothing and may go anywhere. The salt comes from the row and its input partition, so a
     # task that runs again deals its rows out as before.
-    salts = key_frame(
-        facts, on, [(*r[:-1], math.ceil(r["n"] / hot)) for r in keys if None not in r[:-1]],
-        T.StructType([T.StructField("_salts", T.IntegerType())]),
-    )
-    spread = F.broadcast(salts)
+    salts = keys.dropna(subset=on).select(*on, F.ceil(F.col("_n") / hot).cast("int").alias("_salts"))
+    spread = F.broadcast(salts) if is_small(salts) else salts
     dice = F.xxhash64(*facts.columns, F.spark_partition_id())
     no_key = F.lit(False)
     for k in on:
@@ -98,12 +85,14 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str
 class Cuts:
     """Where the series of hot keys are divided.
 
-    ``frame`` has a row per hot key with the first order value of each of its later pieces, and is
-    None when no key has more than ``rows`` rows.
+    ``frame`` has a row per hot key with the sorted order tuples ``_cuts`` at which its later pieces start,
+    ``pieces`` counts all pieces. The frame is None when no key has more than ``rows`` rows.
     """
 
     rows: int
     frame: DataFrame | None
+    order: list[str] = field(default_factory=list)
+    pieces: int = 0
 
 
 @dataclass
@@ -121,13 +110,16 @@ class Layout:
 
     def only_hot(self) -> DataFrame:
         mark = self.cuts.frame.select(*self.keys, F.lit(True).alias("_is_hot"))
-        return attach(self.df, mark, self.keys, "inner").drop("_is_hot")
+        return self.attach(self.df, mark, self.keys, "inner").drop("_is_hot")
+
+    def attach(self, big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+        """Join a frame with at most a row per piece."""
+        return attach(big, small, keys, how, self.cuts.pieces)
 
 
 def count_not_after(cuts: Column, at: Column) -> Column:
     """How many entries of a sorted array are <= ``at``: binary search inside one expression."""
-    width = 1 << max(MAX_CUTS.bit_length() - 1, 0)
-    steps = F.array(*[F.lit(width >> i) for i in range(width.bit_length())])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(30))])
     return F.aggregate(
         steps,
         F.lit(0),
@@ -135,31 +127,29 @@ def count_not_after(cuts: Column, at: Column) -> Column:
     )
 
 
+def order_tuple(df: DataFrame, order: Sequence[str]) -> Column:
+    """The order columns, then a hash of the row, so that rows of equal or null order values can be divided too."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return F.struct(*[F.col(c).alias(c) for c in order], F.xxhash64(*hashed).alias("_tie"))
+
+
 def find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = HOT_ROWS) -> Cuts:
-    """Cut the series of hot keys at quantiles of the first order column.
+    """Cut the series of hot keys so that no piece has more than ``rows`` rows.
 
-    Rows equal in the first order column stay together, so that column should be (nearly) unique
-    within a key, as the time of an observation is after the upsert.
+    The order tuples of the hot rows are sorted by range; every ``rows``-th row of a range starts a piece.
+    Only rows that are equal in all columns have to stay together.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
     hot = hot_keys(df, keys, rows)
-    if not hot:
-        return Cuts(rows, None)
-    at = order[0]
-    rows = max(rows, math.ceil(sum(r["n"] for r in hot) / MAX_PIECES))
-    pieces = min(MAX_CUTS, max(2, math.ceil(hot[0]["n"] / rows)))
-    found = key_frame(df, keys, hot, T.StructType([T.StructField("_n", T.LongType())]))
-    quantiles = F.percentile_approx(at, [i / pieces for i in range(1, pieces)], max(10_000, 10 * pieces))
-    # A key with fewer rows than the hottest keeps every stride-th cut only.
-    stride = F.greatest(F.lit(1), F.floor(F.lit(pieces * rows) / F.col("_n"))).cast("int")
-    picked = (
-        attach(df.select(*keys, at), found, keys, "inner")
-        .groupBy(*keys).agg(quantiles.alias("_cuts"), F.max("_n").alias("_n"))
-        .select(*keys, F.array_distinct(F.filter("_cuts", lambda x, i: (i + 1) % stride == 0)).alias("_cuts"))
-        .collect()
-    )
-    return Cuts(rows, key_frame(df, keys, picked, T.StructType([
-        T.StructField("_cuts", T.ArrayType(df.schema[at].dataType))])))
+    if hot is None:
+        return Cuts(rows, None, order)
+    slim = attach(df.select(*keys, order_tuple(df, order).alias("_at")), hot, keys, "inner", hot.count()).drop("_n")
+    ranged = slim.repartitionByRange(*keys, "_at").sortWithinPartitions(*keys, "_at")
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    starts = ranged.withColumn("_number", number).where(F.col("_number") % rows == 0)
+    frame = cut_lineage(starts.groupBy(*keys).agg(F.sort_array(F.collect_set("_at")).alias("_cuts")))
+    pieces = frame.agg(F.sum(F.size("_cuts") + 1)).first()[0] or 0
+    return Cuts(rows, frame, order, pieces)
 
 
 def series_layout(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: int | Cuts = HOT_ROWS) -> Layout:
@@ -168,9 +158,6 @@ def series_layout(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot:
     cuts = hot if isinstance(hot, Cuts) else find_cuts(df, keys, order, hot)
     if cuts.frame is None:
         return Layout(df, keys, keys, cuts)
-    at = F.col(order[0])
-    cut = attach(df, cuts.frame, keys).withColumn(
-        PIECE,
-        F.when(F.col("_cuts").isNull() | at.isNull(), F.lit(0)).otherwise(count_not_after(F.col("_cuts"), at)),
-    ).drop("_cuts")
-    return Layout(cut, keys, [*keys, PIECE], cuts)
+    piece = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(count_not_after(F.col("_cuts"), F.col("_at")))
+    cut = attach(df.withColumn("_at", order_tuple(df, cuts.order)), cuts.frame, keys, rows=cuts.pieces)
+    return Layout(cut.withColumn(PIECE, piece).drop("_cuts", "_at"), keys, [*keys, PIECE], cuts)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from metframe.functions.expr import EARTH_KM, haversine_km
 from metframe.operators.series import head_per, with_position
-from metframe.operators.skew import BROADCAST_ROWS, is_small, lookup_join
+from metframe.operators.skew import is_small, lookup_join
 from metframe.session import cut_lineage
 
 INLINE_STATIONS = 512
@@ -18,7 +18,7 @@ INLINE_STATIONS = 512
 def only_keys(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is listed."""
     listed = dim.select(*on).distinct()
-    if is_small(listed, BROADCAST_ROWS):
+    if is_small(listed):
         return df.join(F.broadcast(listed), list(on), "left_semi")
     return lookup_join(df, listed, on)
 
@@ -57,7 +57,7 @@ def nearest_station(obs: DataFrame, dim: DataFrame, lat: str, lon: str, name: st
     stations = dim.select(
         F.col(name).alias("_name"), F.col(dim_lat).cast("double").alias("_slat"),
         F.col(dim_lon).cast("double").alias("_slon"),
-    )
+    ).dropna(subset=["_slat", "_slon"])
     few = stations.limit(inline + 1).collect()
     if len(few) <= inline:
         listed = F.array(*[

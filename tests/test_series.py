@@ -91,10 +91,32 @@ def test_uneven_times_are_cut_evenly(spark):
     assert len(sizes) >= 8 and max(sizes) <= 150
 
 
+def test_equal_and_null_times_are_cut(spark):
+    data = [("a", T0 if i % 2 else None, i, float(i), None) for i in range(4_000)]
+    df = spark.createDataFrame(data, SCHEMA)
+    lay = series_layout(df, ["k"], ["t"], 100)
+    sizes = [r["count"] for r in lay.df.groupBy("_piece").count().collect()]
+    assert sum(sizes) == 4_000 and max(sizes) <= 100
+    got = series.with_position(df, ["k"], ["t"], hot=100)
+    assert sorted(r["pos"] for r in got.collect()) == list(range(1, 4_001))
+    assert got.where("t is null").agg(F.max("pos")).first()[0] == 2_000
+
+
+def test_every_hot_key_is_cut(spark):
+    """Thousands of keys, all alike."""
+    df = spark.range(60_000).select(
+        (F.col("id") % 3_000).cast("string").alias("k"), F.timestamp_seconds("id").alias("t"), "id", F.col("id").cast("double").alias("x"))
+    lay = series_layout(df, ["k"], ["t"], 8)
+    assert lay.df.groupBy("k", "_piece").count().agg(F.max("count")).first()[0] <= 8
+    assert lay.cuts.frame.count() == 3_000
+    assert rows(series.diff(df, ["k"], ["t"], "x", hot=8), "id") == rows(series.diff(df, ["k"], ["t"], "x"), "id")
+
+
 def test_cuts_only_for_hot_keys(spark):
     df = make(spark, LENGTHS)
     assert find_cuts(df, ["k"], ["t"], 10_000).frame is None
-    assert [r["k"] for r in hot_keys(df, ["k"], 50)] == ["hot", "warm"]
+    assert hot_keys(df, ["k"], 10_000) is None
+    assert sorted(r["k"] for r in hot_keys(df, ["k"], 50).collect()) == ["hot", "warm"]
     assert sorted(r["k"] for r in find_cuts(df, ["k"], ["t"], 50).frame.collect()) == ["hot", "warm"]
 
 
