@@ -2,9 +2,9 @@
 
 Spark collects per series the sums of products of the twice-differenced values at the lags the
 two regressions need (one aggregate), keeps the bounded end of each train part from which the state
-follows, and deals the held-out rows out in blocks of steps. Numpy solves the small system of a
-series and steps a state forward; a jump to the start of a block is a power of the step matrix, so
-a long horizon is no sequence of tasks.
+follows, and deals the held-out rows out in blocks of steps. Numpy solves the small systems of many
+series at once and gets all steps of a block from a few products of the step matrix; a jump to the
+start of a block is a power of it, so a long horizon is no sequence of tasks.
 """
 
 from __future__ import annotations
@@ -51,41 +51,39 @@ def lag_sums(long: DataFrame, series: Sequence[str]) -> DataFrame:
 
 
 def solve(sums: np.ndarray) -> np.ndarray:
-    """Coefficients of one series from its sums; NaN where a system is singular."""
-    n = len(LAGS)
-    gram = np.zeros((n, n))
-    gram[np.triu_indices(n)] = sums
-    gram = gram + np.triu(gram, 1).T
+    """Coefficients of many series from their sums, a row each; NaN where a system is singular."""
+    n, many = len(LAGS), len(sums)
+    gram = np.zeros((many, n, n))
+    rows, columns = np.triu_indices(n)
+    gram[:, rows, columns] = sums
+    gram[:, columns, rows] = sums
     at = {k: i for i, k in enumerate(LAGS)}
     ar = [at[1], at[P], at[P + 1]]
-    failed = np.full(4, np.nan)
-    if gram[0, 0] <= 0 or np.linalg.cond(gram[np.ix_(ar, ar)]) > 1e10:
-        return failed
-    a = np.linalg.solve(gram[np.ix_(ar, ar)], gram[ar, 0])
-
-    def unit(k: int) -> np.ndarray:
-        row = np.zeros(n)
-        row[at[k]] = 1.0
-        return row
-
-    def residual(k: int) -> np.ndarray:
-        row = unit(k)
-        for coef, lag in zip(a, (1, P, P + 1)):
-            row[at[k + lag]] -= coef
-        return row
 
+    def solved(system: np.ndarray, right: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        usable = usable & np.isfinite(system).all(axis=(1, 2))
+        usable[usable] = np.linalg.cond(system[usable]) <= 1e10
+        out = np.full(right.shape, np.nan)
+        out[usable] = np.linalg.solve(system[usable], right[usable][..., None])[..., 0]
+        return out, usable
+
+    a, usable = solved(gram[:, ar][:, :, ar], gram[:, ar, 0], gram[:, 0, 0] > 0)
+    # The regressors as combinations of the lags: w and the residual, one step and one season back.
     # e[t-13] is left to the product term of the model; its own column would need longer lags.
-    x = np.array([unit(1), residual(1), unit(P), residual(P)])
-    system = x @ gram @ x.T
-    if np.linalg.cond(system) > 1e10:
-        return failed
-    return np.clip(np.linalg.solve(system, x @ gram[:, 0]), -LIMIT, LIMIT)
+    x = np.zeros((many, 4, n))
+    for i, k in enumerate((1, P)):
+        x[:, 2 * i, at[k]] = x[:, 2 * i + 1, at[k]] = 1.0
+        for j, lag in enumerate((1, P, P + 1)):
+            x[:, 2 * i + 1, at[k + lag]] -= a[:, j]
+    xg = x @ gram
+    coefs, _ = solved(xg @ x.transpose(0, 2, 1), xg[:, :, 0], usable)
+    return np.clip(coefs, -LIMIT, LIMIT)
 
 
 def fit_sarima(long: DataFrame, series: Sequence[str]) -> DataFrame:
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def solved(sums: pd.Series) -> pd.Series:
-        return pd.Series([solve(np.asarray(s, dtype=float)) for s in sums])
+        return pd.Series(list(solve(np.array(sums.to_list(), dtype=float).reshape(len(sums), -1))))
 
     fit = lag_sums(long, series).where(F.col("n_obs") >= MIN_OBS).select(
         *series, solved("sums").alias("c")
@@ -170,12 +168,12 @@ def jump(state: np.ndarray, matrix: np.ndarray, steps: int) -> np.ndarray:
 
 
 def walk(state: np.ndarray, matrix: np.ndarray, steps: int) -> np.ndarray:
-    """The next ``steps`` values of y."""
-    out = np.empty(steps)
-    for i in range(steps):
-        state = matrix @ state
-        out[i] = state[0]
-    return out
+    """The next ``steps`` values of y: each product doubles the states that are known."""
+    states, power = (matrix @ state)[:, None], matrix
+    while states.shape[1] < steps:
+        states = np.hstack([states, power @ states])
+        power = power @ power
+    return states[0, :steps]
 
 
 def score_sarima(long: DataFrame, states: DataFrame, series: Sequence[str], block: int = BLOCK) -> DataFrame:
@@ -212,16 +210,27 @@ def score_sarima(long: DataFrame, states: DataFrame, series: Sequence[str], bloc
     )
 
 
+def ahead(states: np.ndarray, coefs: np.ndarray, steps: int) -> np.ndarray:
+    """The next ``steps`` values of y of many series, one state and one row of coefficients each."""
+    y, w, e = (states[:, i * DEPTH:(i + 1) * DEPTH] for i in range(3))
+    phi, theta, sphi, stheta = coefs.T
+    out = np.empty((len(states), steps))
+    for i in range(steps):
+        new = phi * w[:, 0] + sphi * w[:, P - 1] - phi * sphi * w[:, P]
+        new = new + theta * e[:, 0] + stheta * e[:, P - 1] + theta * stheta * e[:, P]
+        out[:, i] = new + y[:, 0] + y[:, P - 1] - y[:, P]
+        y, w, e = (np.column_stack([x, old[:, :-1]]) for x, old in ((out[:, i], y), (new, w), (np.zeros(len(e)), e)))
+    return out
+
+
 def next_values(states: DataFrame, series: Sequence[str], steps: int) -> DataFrame:
     """The next ``steps`` values of each series as an array column ``next``."""
     schema = T.StructType([*states.schema.fields, T.StructField("next", T.ArrayType(T.DoubleType()))])
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            rows["next"] = [
-                walk(np.asarray(s, dtype=float), step_matrix(*c), steps)
-                for s, c in zip(rows["state"], rows[COEFS].to_numpy(dtype=float))
-            ]
+            before = np.array(rows["state"].to_list(), dtype=float).reshape(len(rows), 3 * DEPTH)
+            rows["next"] = list(ahead(before, rows[COEFS].to_numpy(dtype=float), steps))
             yield rows
 
     return states.mapInPandas(step, schema)

@@ -8,7 +8,7 @@ from metframe import schemas
 from metframe.functions.expr import time_text
 from metframe.operators import forecast as fc
 from metframe.operators import seasonal
-from metframe.operators.refine import ARIMA, SARIMA, fit_css
+from metframe.operators.refine import ARIMA, LEVELS, SARIMA, SHRINK, axis, fit_css
 from metframe.operators.skew import HOT_ROWS
 from metframe.plans import charts, views
 from metframe.plans.catalog.ordered import SMALL_PIECE
@@ -304,30 +304,89 @@ def merge_predictions(spark, sf):
     return rounded(out, [c for c in out.columns if c not in ("city", "time_of_prediction_predit")], 4)
 
 
-S_LAGS = [0, 1, 12, 14]
+def seasonal_sql(history):
+    """Rows ``sd`` of every series with the twice-differenced value ``w0`` and its lags ``w1`` to ``w26``."""
+    lags = ", ".join(f"lag(w0, {k}) over w as w{k}" for k in seasonal.LAGS[1:])
+    return f"""{LAGS_SQL.replace(HISTORY_SQL, history)},
+sy as (
+  select city_name, variable, time, y, pos, n_train, (y - lag(y, 1) over w) - (lag(y, 12) over w - lag(y, 13) over w) as w0
+  from series window w as (partition by city_name, variable order by pos)),
+sd as (select *, {lags} from sy window w as (partition by city_name, variable order by pos))"""
+
+
+def eliminated(name, source, n, keep):
+    """Tables that solve the symmetric systems m_i_j x = b_i of ``source`` by elimination: ``name`` has x0 and so on."""
+    steps, before = [], source
+    for k in range(n - 1):
+        columns = [f"m_{i}_{j} - m_{i}_{k} / m_{k}_{k} * m_{k}_{j} as m_{i}_{j}" for i in range(k + 1, n) for j in range(k + 1, n)]
+        columns += [f"b_{i} - m_{i}_{k} / m_{k}_{k} * b_{k} as b_{i}" for i in range(k + 1, n)]
+        steps.append(f"{name}_{k} as (select * replace ({', '.join(columns)}) from {before})")
+        before = f"{name}_{k}"
+    for i in reversed(range(n)):
+        known = "".join(f" - m_{i}_{j} * x{j}" for j in range(i + 1, n))
+        steps.append(f"{name}_x{i} as (select *, (b_{i}{known}) / m_{i}_{i} as x{i} from {before})")
+        before = f"{name}_x{i}"
+    return ", ".join([*steps, f"{name} as (select {keep}, {', '.join(f'x{i}' for i in range(n))} from {before})"])
+
+
+def regressed(regressors):
+    """Sums of products for a regression of w0, as the matrix m and the right side b."""
+    n = range(len(regressors))
+    return ", ".join([
+        *[f"sum({regressors[i]} * {regressors[j]}) as m_{i}_{j}" for i in n for j in n],
+        *[f"sum({c} * w0) as b_{i}" for i, c in enumerate(regressors)],
+    ])
+
+
+LONG_SQL = HISTORY_SQL.replace("select station as city_name", "select event_type as city_name")
+
+# First the lags of w alone; then w and what the first step left over, one step and one season back.
+SARIMA_SQL = f"""{seasonal_sql(LONG_SQL)},
+used as (select * from sd where pos <= n_train and w26 is not null),
+ar_sums as (select city_name, variable, {regressed(['w1', 'w12', 'w13'])} from used group by city_name, variable),
+{eliminated('ar', 'ar_sums', 3, 'city_name, variable')},
+left_over as (
+  select u.*, w1 - x0 * w2 - x1 * w13 - x2 * w14 as r1, w12 - x0 * w13 - x1 * w24 - x2 * w25 as r12
+  from used u join ar using (city_name, variable)),
+ma_sums as (
+  select city_name, variable, {regressed(['w1', 'r1', 'w12', 'r12'])} from left_over group by city_name, variable having count(*) >= 36),
+{eliminated('ma', 'ma_sums', 4, 'city_name, variable')},
+sfit as (select city_name, variable, {', '.join(
+    f"greatest(-0.95::double, least(0.95::double, x{i})) as {c}" for i, c in enumerate(('phi', 'theta', 'sphi', 'stheta')))} from ma)"""
+
+# Over positions, the newest 13 values first: the residuals of the train part, then the forecasts.
+WALK_SQL = f"""path as (select *, row_number() over (partition by city_name, variable order by pos) as step from sy where y is not null),
+walked as (
+  select city_name, variable, 0::bigint as step, [0::double for i in range(13)] as ys, [0::double for i in range(13)] as ws,
+         [0::double for i in range(13)] as es, phi, theta, sphi, stheta from sfit
+  union all
+  select city_name, variable, step, list_prepend(case when known then y else ahead + ys[1] + ys[12] - ys[13] end, ys[:12]),
+         list_prepend(case when not known then ahead when step < 14 then 0 else w end, ws[:12]),
+         list_prepend(case when known and step >= 27 then w - ahead else 0 end, es[:12]), phi, theta, sphi, stheta
+  from (
+    select r.city_name, r.variable, s.step, s.y, s.pos <= s.n_train as known,
+           s.y - ys[1] - ys[12] + ys[13] as w, ys, ws, es, phi, theta, sphi, stheta,
+           phi * ws[1] + sphi * ws[12] - phi * sphi * ws[13] + theta * es[1] + stheta * es[12] + theta * stheta * es[13] as ahead
+    from walked r join path s on r.city_name = s.city_name and r.variable = s.variable and s.step = r.step + 1)),
+ended as (select w.*, p.y, p.pos, p.n_train from walked w join path p using (city_name, variable, step)),
+heads as (
+  select city_name, variable, n_train,
+         ys[1] + ys[12] - ys[13] + phi * ws[1] + sphi * ws[12] - phi * sphi * ws[13]
+           + theta * es[1] + stheta * es[12] + theta * stheta * es[13] as next_value
+  from ended where pos = n_train),
+scores as (select city_name, variable, sqrt(avg(pow(y - ys[1], 2))) as rmse from ended where pos > n_train group by 1, 2)"""
 
 
 @query("sarima_sums", f"""
-with {HISTORY_SQL}, y as (
-  select city_name, time, pressure::double as y, row_number() over w as pos,
-         count(*) over (partition by city_name) as n
-  from hist window w as (partition by city_name order by time)),
-d as (select *, (y - lag(y, 1) over w) - (lag(y, 12) over w - lag(y, 13) over w) as w0
-      from y window w as (partition by city_name order by time)),
-l as (select *, lag(w0, 1) over w as w1, lag(w0, 12) over w as w12, lag(w0, 14) over w as w14,
-             lag(w0, 26) over w as w26
-      from d window w as (partition by city_name order by time))
-select city_name, count(*) as n_obs, sum(w0 * w0) as s_0_0, sum(w0 * w1) as s_0_1, sum(w0 * w12) as s_0_12,
-       sum(w14 * w14) as s_14_14
-from l where pos <= n - ceil(0.2::double * n)::bigint and w26 is not null group by city_name""")
+with {seasonal_sql(HISTORY_SQL)}
+select city_name, variable, count(*) as n_obs, {', '.join(
+    f"{r(f'sum(w{a} * w{b})', 3)} as s_{a}_{b}" for i, a in enumerate(seasonal.LAGS) for b in seasonal.LAGS[i:])}
+from sd where pos <= n_train and w26 is not null group by city_name, variable""")
 def sarima_sums(spark, sf):
-    """The sums the seasonal fit is solved from, for one variable."""
-    rows = fc.series_rows(views.history(spark, sf), KEYS, "time", ["pressure"])
-    sums = seasonal.lag_sums(rows.with_lags(seasonal.Y_LAGS), SERIES)
+    """All the sums that the seasonal fit is solved from, for every variable."""
+    sums = seasonal.lag_sums(rows_of(spark, sf).with_lags(seasonal.Y_LAGS), SERIES)
     pairs = [(a, b) for i, a in enumerate(seasonal.LAGS) for b in seasonal.LAGS[i:]]
-    return sums.select("city_name", "n_obs", *[
-        F.col("sums")[pairs.index(p)].alias(f"s_{p[0]}_{p[1]}") for p in ((0, 0), (0, 1), (0, 12), (14, 14))
-    ])
+    return sums.select(*SERIES, "n_obs", *[fixed(F.col("sums")[i], 3).alias(f"s_{a}_{b}") for i, (a, b) in enumerate(pairs)])
 
 
 def long_rows(spark, sf):
@@ -335,30 +394,118 @@ def long_rows(spark, sf):
     return fc.series_rows(views.history(spark, sf, "event_type"), KEYS, "time", VARIABLES)
 
 
-@query("arima_css")
+def searched(name, kind, values):
+    """Tables of the search in ``refine``, the last one ``name`` with the best coefficients of every series; the
+    moving-average part is undone by recursion over the rows of ``values`` (city_name, variable, pos, w)."""
+    pairs = [(a, b) for i, a in enumerate(kind.lags) for b in kind.lags[i:]]
+    key, lim = "city_name, variable, theta, stheta", f"{kind.limit:e}"
+    out = [f"{name}_path as materialized (select *, row_number() over (partition by city_name, variable order by pos) as step from {values})"]
+    for level in range(LEVELS):
+        n, before = f"{name}{level}", f"{name}{level - 1}"
+        if level == 0:
+            coarse = "[" + ", ".join(f"{x:.17e}" for x in axis(kind.limit, kind.points, 0, None)) + "]"
+            every = (f"cross join (select unnest({coarse}) as theta) "
+                     f"cross join (select unnest({coarse if kind.seasonal else '[0e0]'}) as stheta)")
+            points = f"select city_name, variable, theta, stheta from (select distinct city_name, variable from {name}_path) {every}"
+        else:
+            step = 2 * kind.limit / (kind.points - 1) / SHRINK**level
+            near = f"cross join (select unnest(range(-2, 3)) as i) cross join (select unnest({'range(-2, 3)' if kind.seasonal else '[0]'}) as j)"
+            moved = [f"greatest(-{lim}, least({lim}, {c} + {i} * {step:.17e})) as {c}" for c, i in (("theta", "i"), ("stheta", "j"))]
+            points = f"select distinct city_name, variable, {', '.join(moved)} from {before} {near}"
+        out += [
+            f"{n}_points as materialized ({points})",
+            f"""{n}_inner as (
+  select distinct city_name, variable, theta, 0::bigint as step, 0::double as u from {n}_points
+  union all
+  select r.city_name, r.variable, r.theta, s.step, s.w - r.theta * r.u
+  from {n}_inner r join {name}_path s on r.city_name = s.city_name and r.variable = s.variable and s.step = r.step + 1)""",
+            f"""{n}_outer as (
+  select p.city_name, p.variable, p.theta, p.stheta, step, u
+  from {n}_points p join {n}_inner i on p.city_name = i.city_name and p.variable = i.variable and p.theta = i.theta
+  where step between 1 and 12
+  union all
+  select r.city_name, r.variable, r.theta, r.stheta, i.step, i.u - r.stheta * r.u
+  from {n}_outer r join {n}_inner i
+    on r.city_name = i.city_name and r.variable = i.variable and r.theta = i.theta and i.step = r.step + 12)""",
+            f"{n}_lags as (select *, {', '.join(f'lag(u, {k}) over w as u{k}' for k in kind.lags)} from {n}_outer window w as (partition by {key} order by step))",
+            f"{n}_sums as materialized (select {key}, count(*) as n, {', '.join(f'sum(u{a} * u{b}) as s_{a}_{b}' for a, b in pairs)} "
+            f"from {n}_lags where u{max(kind.lags)} is not null group by {key} having count(*) >= {kind.min_obs} and sum(u0 * u0) > 0)",
+            *(turns(n, lim) if kind.seasonal else [
+                f"{n}_ar as (select *, 0e0 as sphi, case when s_1_1 > 0 then greatest(-{lim}, least({lim}, s_0_1 / s_1_1)) end as phi from {n}_sums)"]),
+            f"{n}_sse as (select *, s_0_0 - 2 * phi * s_0_1 + phi * phi * s_1_1 as sse from {n}_ar)" if not kind.seasonal else
+            f"{n}_sse as (select *, {' + '.join(f'{1 if a == b else 2} * {WEIGHTS[a]} * {WEIGHTS[b]} * s_{a}_{b}' for a, b in pairs)} as sse from {n}_ar)",
+            f"{n} as materialized (select city_name, variable, phi, theta, sphi, stheta, n from {n}_sse where sse is not null "
+            "qualify row_number() over (partition by city_name, variable order by sse, abs(theta), abs(stheta), theta, stheta) = 1)",
+        ]
+    return ", ".join([*out, f"{name} as (select * from {name}{LEVELS - 1})"])
+
+
+WEIGHTS = {0: "1", 1: "-phi", 12: "-sphi", 13: "phi * sphi"}
+
+
+def turns(n, lim):
+    """phi and the seasonal phi by turns, 25 times."""
+    def ratio(top, bottom):
+        return f"case when {bottom} > 0 then greatest(-{lim}, least({lim}, ({top}) / ({bottom}))) else 0 end"
+    phi = ratio("s_0_1 - sphi * s_0_13 - sphi * s_1_12 + sphi * sphi * s_12_13", "s_1_1 - 2 * sphi * s_1_13 + sphi * sphi * s_13_13")
+    sphi = ratio("s_0_12 - phi * s_0_13 - phi * s_1_12 + phi * phi * s_1_13", "s_12_12 - 2 * phi * s_12_13 + phi * phi * s_13_13")
+    return [
+        f"""{n}_turns as (
+  select *, 0 as turn, 0e0 as phi, 0e0 as sphi from {n}_sums
+  union all
+  select * replace ({sphi} as sphi) from (select * replace (turn + 1 as turn, {phi} as phi) from {n}_turns where turn < 25))""",
+        f"{n}_ar as (select * from {n}_turns where turn = 25)",
+    ]
+
+
+CHOSEN_SQL = f"{state_sql('state', 'n_train').replace('join fit f', 'join css f')}, {SCORE_SQL.split(STATE_SQL + ', ')[1]}"
+ARIMA_CSS = f"""{LAGS_SQL.replace(HISTORY_SQL, LONG_SQL)},
+css_w as (select city_name, variable, pos, w0 as w from series where pos <= n_train and w0 is not null),
+{searched('css', ARIMA, 'css_w')}"""
+SARIMA_CSS = f"""{seasonal_sql(LONG_SQL)},
+scss_w as (select city_name, variable, pos, w0 as w from sd where pos <= n_train and w0 is not null),
+{searched('scss', SARIMA, 'scss_w')}"""
+
+
+@query("arima_css", f"with recursive {ARIMA_CSS} select city_name, variable, {r('phi', 4)} as phi, {r('theta', 6)} as theta, n from css")
 def arima_css(spark, sf):
-    """G1 by least squares instead of sums; a search in numpy, so no SQL."""
-    return fit_css(long_rows(spark, sf), ARIMA).select(*SERIES, "phi", "theta", "n")
+    """G1 by least squares instead of sums."""
+    return rounded(rounded(fit_css(long_rows(spark, sf), ARIMA).select(*SERIES, "phi", "theta", "n"), ["phi"], 4), ["theta"])
 
 
-@query("sarima_css")
+@query("sarima_css", f"""
+with recursive {SARIMA_CSS} select city_name, variable, {r('phi', 4)} as phi, {r('theta', 6)} as theta,
+  {r('sphi', 4)} as seasonal_phi, {r('stheta', 6)} as seasonal_theta, n from scss""")
 def sarima_css(spark, sf):
     """G2 by least squares."""
-    return fit_css(long_rows(spark, sf), SARIMA).select(
-        *SERIES, "phi", "theta", "seasonal_phi", "seasonal_theta", "n"
-    )
+    out = fit_css(long_rows(spark, sf), SARIMA).select(*SERIES, *seasonal.COEFS, "n")
+    return rounded(rounded(out, ["phi", "seasonal_phi"], 4), ["theta", "seasonal_theta"])
 
 
-@query("sarima_models")
+@query("sarima_models", f"""
+with recursive {SARIMA_SQL}, {WALK_SQL}
+select city_name, variable, 'sarimax' as model, n_train, {r('phi', 4)} as phi, {r('theta', 4)} as theta, {r('sphi', 4)} as seasonal_phi,
+       {r('stheta', 4)} as seasonal_theta, {r('next_value', 3)} as next_value, {r('rmse', 3)} as rmse
+from heads join scores using (city_name, variable) join sfit using (city_name, variable)""")
 def sarima_models(spark, sf):
-    """Seasonal models from sums; the system is solved in numpy, so no SQL."""
+    """Seasonal models from sums; coefficients, the next value and the score."""
     models = seasonal.sarima_models(long_rows(spark, sf))
-    return models.select(*SERIES, "model", "n_train", "next_value", "rmse")
-
-
-@query("train_models")
+    out = models.select(*SERIES, "model", "n_train", *[F.col("coefs")[c].alias(c) for c in seasonal.COEFS], "next_value", "rmse")
+    return rounded(rounded(out, seasonal.COEFS, 4), ["next_value", "rmse"], 3)
+
+
+@query("train_models", f"""
+with recursive {SARIMA_CSS},
+css_w as (select city_name, variable, pos, w0 as w from series where pos <= n_train and w0 is not null),
+{searched('css', ARIMA, 'css_w')}, {CHOSEN_SQL},
+sfit as (select * from scss), {WALK_SQL},
+found as (
+  select city_name, variable, 'arima' as model, n_train, {ahead_sql('1')} as next_value, rmse, 2 as rank from state join score using (city_name, variable)
+  union all select city_name, variable, 'sarimax', n_train, next_value, rmse, 1 from heads join scores using (city_name, variable))
+select city_name, variable, model, n_train, {r('next_value', 3)} as next_value, {r('rmse', 3)} as rmse from found where rmse is not null
+qualify row_number() over (partition by city_name, variable order by rmse, rank) = 1""")
 def train_models(spark, sf):
     """Both kinds fitted, the better one kept and stored."""
     path = scratch_path(spark, "models")
     writers.write_models(train(views.history(spark, sf, "event_type")), path)
-    return readers.read_table(spark, path).select(*SERIES, "model", "n_train", "next_value", "rmse")
+    return rounded(readers.read_table(spark, path).select(*SERIES, "model", "n_train", "next_value", "rmse"), ["next_value", "rmse"], 3)

@@ -235,6 +235,8 @@ def test_seasonal_state_steps_like_the_recursion():
     state, m = seasonal.state_of(y, *c), seasonal.step_matrix(*c)
     assert np.allclose(seasonal.walk(state, m, 50), want)
     assert np.allclose(seasonal.walk(seasonal.jump(state, m, 20), m, 30), want[20:])
+    assert np.allclose(seasonal.ahead(np.array([state, state]), np.array([c, c]), 50), [want, want])
+    assert seasonal.ahead(np.empty((0, len(state))), np.empty((0, 4)), 2).shape == (0, 2)
     assert seasonal.state_of(y[:20], *c) is None
 
 
@@ -265,7 +267,9 @@ def test_sarima_fit_finds_a_seasonal_process(spark):
     x = np.stack([w[reach - k:len(w) - k] for k in seasonal.LAGS])
     assert sums["n_obs"] == x.shape[1]
     assert np.allclose(sums["sums"], (x @ x.T)[np.triu_indices(len(seasonal.LAGS))])
-    assert np.isnan(seasonal.solve(np.zeros(45))).all()
+    together = seasonal.solve(np.array([np.zeros(45), sums["sums"]]))
+    assert np.isnan(together[0]).all() and np.isfinite(together[1]).all()
+    assert seasonal.solve(np.empty((0, 45))).shape == (0, 4)
 
 
 def brute_css(w, theta):
