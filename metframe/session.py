@@ -21,10 +21,12 @@ SETTINGS = {
 }
 
 
-def local_session(app: str = "metframe", cores: int | str = "*", shuffle: int = 8) -> SparkSession:
+def local_session(
+    app: str = "metframe", cores: int | str = "*", shuffle: int = 8, settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the bench. A cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for name, value in SETTINGS.items():
+    for name, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(name, value)
     spark = (
         builder.config("spark.ui.enabled", "false")
