@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 from pathlib import Path
 
 import pytest
@@ -104,8 +105,12 @@ def test_cadence_and_restart(spark, folder):
     topic, out, check = folder("topic"), folder("out"), folder("check")
     drop_file(topic, 1, [message("a", 0, 1.0)])
     query = feeds.every_step(feeds.append_stream(decoded(spark, topic), out, check))
-    query.processAllAvailable()
+    # Waiting for all there is would last until the next round of the cadence; the first batch comes at once.
+    end = time.monotonic() + 60
+    while query.lastProgress is None and query.isActive and time.monotonic() < end:
+        time.sleep(0.1)
     query.stop()
+    assert readers.read_table(spark, out).count() == 1
     drop_file(topic, 2, [message("a", 10, 2.0)])
     feeds.drain(feeds.append_stream(decoded(spark, topic), out, check))
     assert readers.read_table(spark, out).count() == 2
