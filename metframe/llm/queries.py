@@ -77,14 +77,14 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LEAK_SQL = r"""
 with split as (
-  select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), x -> x <> '') as w from documents
+  select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w from documents
   union all
-  select 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), x -> x <> '') from benchmark),
+  select 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') from benchmark),
 grams as (
-  select distinct side, id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) as g from split),
+  select distinct side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as g from split),
 items as (select id as item_id, g, count(*) over (partition by id) as n_shingles from grams where side = 'i')
 select d.id as doc_id, item_id, n_shingles, count(*) as n_found, count(*) / n_shingles as containment
-from grams d join items using (g) where d.side = 'd' group by all having count(*) / n_shingles >= 0.8"""
+from grams d join items using (g) where d.side = 'd' group by d.id, item_id, n_shingles having count(*) / n_shingles >= 0.8"""
 
 URL_SQL = r"""
 with parts as (
