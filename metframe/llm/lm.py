@@ -1,34 +1,48 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
-The model predicts the class of a token, one of the most frequent words, the end of a text, or any other
-word, from the two tokens before it; which other word it is follows from how often it was seen. The
-corpus is gathered whole, as counts of words and of class trigrams. The model is trained on the trigrams.
+Every word that was counted has a learned class, and there are the more classes the more words there are.
+The most frequent words are classes of their own; the others are clustered by the words they stand between.
+The model predicts the class of a token from those of the two tokens before it; which word of its class it
+is follows from how often it was seen. Class trigrams stay a table, and each pass of the training adds its
+gradients over the partitions.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, span_hashes, word_spans
-from metframe.session import cut_lineage
+from metframe.session import cut_lineage, scratch_path
 
-CLASSES = 192  # frequent words, the end and the rest
-FREQUENT = 200_000  # words whose counts are sent to every task, at most; those of the rest are joined
+CLASSES = 192  # at least, with the end and the unseen
+GROWTH = 5  # classes for each unit of the cube root of the number of words, so that the tables of the model stay small
+FREQUENT = 200_000  # words whose counts and classes are sent to every task, at most; those of the rest are joined
 WIDTH = 32
+SIDE = 12  # numbers that tell a word's neighbours on either side
+CLUSTERING = 6  # passes
 NOISE = 10.0  # noise tokens for each true one
 EPOCHS = 8
+LOTS = 12  # passes of an epoch, each over its share of the contexts
 RATE = 0.05
 PIECE = 2 << 20
+HELD = 1 << 18  # rows that a task gathers before it passes them on
+CONTEXTS = 1 << 14  # of a lot in one task, about
 END_HASH = np.uint64(1)
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LOG10 = math.log(10.0)
 
 
+def class_number(words: int) -> tuple[int, int]:
+    """(classes, words that are one of their own) for so many words."""
+    n = max(CLASSES, int(GROWTH * words ** (1 / 3)))
+    return n, words if words <= n - 2 else (n - 2) // 2
+
+
 def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts, an end after each, and the number of tokens of each text. Words are
     runs of bytes between blanks, A-Z in lower case."""
@@ -63,14 +77,17 @@ def look_up(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Classes:
-    """Numbers of classes: 0 is the end, 1 any word without a class."""
+    """Numbers of classes: 0 is the end, 1 any word that is not among these."""
 
-    def __init__(self, words: np.ndarray):
-        self.words = np.sort(words.astype(np.uint64))
+    def __init__(self, words: np.ndarray, classes: np.ndarray | None = None):
+        order = np.argsort(words.astype(np.uint64))
+        self.words = words.astype(np.uint64)[order]
+        self.classes = order + 2 if classes is None else classes[order]
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         place = look_up(hashes, self.words)
-        return np.where(hashes == END_HASH, 0, np.where(place >= 0, place + 2, 1))
+        known = self.classes[place] if len(self.words) else 1
+        return np.where(hashes == END_HASH, 0, np.where(place >= 0, known, 1))
 
 
 def trigrams(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,16 +100,112 @@ def trigrams(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
     return two, one
 
 
-def trigram_counter(classes):
+def neighbours(parts):
+    """(word, n, f0...) of the words without a class of their own: sums of random signs of the classes on
+    either side."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, sides = parts.value
+        words, sums = np.empty(0, np.uint64), np.empty((0, 2 * SIDE + 1))
+
+        def told() -> pa.RecordBatch:
+            columns = [pa.array(words.view(np.int64)), pa.array(sums[:, 0].astype(np.int64)), *(pa.array(c.astype(np.int64)) for c in sums.T[1:])]
+            return pa.RecordBatch.from_arrays(columns, names=["word", "n", *FEATURES])
+
+        for batch in pieces_of(batches, PIECE):
+            hashes, _ = tokens_of(batch["text"].to_pylist())
+            own = classes.of(hashes)
+            at = np.flatnonzero(own == 1)  # never the end, so the next token is of the same text
+            left = np.concatenate([[0], own])[at]
+            fresh, inverse = np.unique(hashes[at], return_inverse=True)
+            both, where = np.unique(np.concatenate([words, fresh]), return_inverse=True)
+            more = np.zeros((len(both), 2 * SIDE + 1))
+            more[where[: len(words)]] = sums
+            to = where[len(words):]
+            more[to, 0] += np.bincount(inverse, minlength=len(fresh))
+            for i in range(SIDE):
+                more[to, 1 + i] += np.bincount(inverse, sides[0][left, i], len(fresh))
+                more[to, 1 + SIDE + i] += np.bincount(inverse, sides[1][own[at + 1], i], len(fresh))
+            words, sums = both, more
+            if len(words) > HELD:
+                yield told()
+                words, sums = words[:0], sums[:0]
+        yield told()
+
+    return gather
+
+
+FEATURES = [f"f{i}" for i in range(2 * SIDE)]
+NEIGHBOURS = "word long, n long, " + ", ".join(f"{f} long" for f in FEATURES)
+
+
+def directions(batch: pa.RecordBatch, mean: np.ndarray) -> np.ndarray:
+    """How the neighbours of each word differ from those of all, as unit vectors."""
+    n = batch["n"].to_numpy(zero_copy_only=False)
+    x = np.stack([batch[f].to_numpy(zero_copy_only=False) for f in FEATURES], axis=1) - n[:, None] * mean
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def cluster_sums(parts):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mean, centres = parts.value
+        sums = np.zeros(centres.shape)
+        for batch in batches:
+            x = directions(batch, mean)
+            at, n = (x @ centres.T).argmax(axis=1), np.log1p(batch["n"].to_numpy(zero_copy_only=False))
+            sums += np.stack([np.bincount(at, n * column, len(centres)) for column in x.T], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()])], names=["sums"])
+
+    return add
+
+
+def cluster_of(parts, first: int):
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mean, centres = parts.value
+        for batch in batches:
+            at = (directions(batch, mean) @ centres.T).argmax(axis=1) + first
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(at.astype(np.int32))], names=["word", "n", "class"])
+
+    return tell
+
+
+def clustered(training: DataFrame, own: Classes, clusters: int) -> DataFrame:
+    """(word, n, class) of all words without a class of their own, by spherical k-means over the neighbours."""
+    spark = training.sparkSession
+    first = len(own.words) + 2
+    rng = np.random.default_rng(3)
+    sent = spark.sparkContext.broadcast((own, rng.choice([-1, 1], (2, first, SIDE))))
+    sums = training.mapInArrow(neighbours(sent), NEIGHBOURS).groupBy("word").agg(F.sum("n").alias("n"), *(F.sum(f).alias(f) for f in FEATURES))
+    table = cut_lineage(sums)
+    total = table.agg(F.sum("n"), *(F.sum(f) for f in FEATURES)).first()
+    mean = np.array([x or 0.0 for x in total[1:]]) / max(1, total[0] or 0)
+    start = pa.RecordBatch.from_pandas(table.orderBy(F.desc("n"), "word").limit(clusters).toPandas())
+    centres = directions(start, mean)
+    for _ in range(CLUSTERING if len(centres) else 0):
+        parts = spark.sparkContext.broadcast((mean, centres))
+        new = sum(np.frombuffer(r.sums).reshape(centres.shape) for r in table.mapInArrow(cluster_sums(parts), "sums binary").collect())
+        size = np.linalg.norm(new, axis=1, keepdims=True)
+        centres = np.where(size > 0, new / np.maximum(size, 1e-9), centres)
+    parts = spark.sparkContext.broadcast((mean, centres))
+    return cut_lineage(table.mapInArrow(cluster_of(parts, first), "word long, n long, class int"))
+
+
+def gram_counter(n_classes: int):
+    """(code, n) of the class trigrams of coded texts."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in pieces_of(batches, PIECE):
-            hashes, sizes = tokens_of(batch["text"].to_pylist())
-            own = classes.value.of(hashes)
-            two, one = trigrams(own, sizes)
-            fresh, n = np.unique((two * CLASSES + one) * CLASSES + own, return_counts=True)
+        for batch in batches:
+            lists = batch["classes"]
+            sizes = np.diff(lists.offsets.to_numpy())
+            own = lists.flatten().to_numpy().astype(np.int64)
+            two, one = trigrams(own, sizes.astype(np.int64))
+            fresh, n = np.unique((two * n_classes + one) * n_classes + own, return_counts=True)
             both, at = np.unique(np.concatenate([codes, fresh]), return_inverse=True)
             codes, counts = both, np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
+            if len(codes) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
+                codes, counts = codes[:0], counts[:0]
         yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
 
     return count
@@ -112,87 +225,201 @@ class LogBilinear:
     def parameters(self) -> list[np.ndarray]:
         return [self.before, self.after, self.far, self.near, self.bias]
 
-    def train(self, codes: np.ndarray, counts: np.ndarray, epochs: int, rate: float, noise: float) -> "LogBilinear":
-        """Noise-contrastive estimation: tell the counted trigrams from ones whose last class is drawn from the
-        unigram distribution. The expectation over the noise is taken exactly, context by context."""
+    def gradient(self, codes: np.ndarray, counts: np.ndarray, unigram: np.ndarray, noise: float) -> list[np.ndarray]:
+        """Sums over the counted trigrams, sorted by code, all those of a context among them. The expectation
+        over the noise is taken exactly, context by context."""
         n = len(self.bias)
         context, word = codes // n, codes % n
-        unigram = np.bincount(word, counts, n) + 0.1
-        unigram /= unigram.sum()
-        self.bias = np.log(unigram)
-        shift = np.log(noise * unigram)
         contexts, begin = np.unique(context, return_index=True)
         ends = np.append(begin[1:], len(codes))
-        total = counts.sum()
-        order = np.random.default_rng(2).permutation(len(contexts))
+        shift = self.bias - np.log(noise * unigram)
+        chance = (noise * unigram).astype(np.float32)
+        after = self.after.astype(np.float32)
+        out = [np.zeros_like(p) for p in self.parameters()]
+        for lot in np.array_split(np.arange(len(contexts)), max(1, len(contexts) // 1024)):
+            two, one = contexts[lot] // n, contexts[lot] % n
+            hidden = self.far * self.before[two] + self.near * self.before[one]
+            sure = 1 / (1 + np.exp(-np.clip(hidden.astype(np.float32) @ after.T + shift.astype(np.float32), -30, 30)))
+            seen = np.zeros((len(lot), n), np.float32)
+            at = np.arange(begin[lot[0]], ends[lot[-1]]) if len(lot) else np.arange(0)
+            seen[np.repeat(np.arange(len(lot)), ends[lot] - begin[lot]), word[at]] = counts[at]
+            own = seen.sum(axis=1, keepdims=True)
+            slope = own * chance * sure - seen * (1 - sure)
+            inner = slope @ after
+            np.add.at(out[0], two, inner * self.far)
+            np.add.at(out[0], one, inner * self.near)
+            for total, more in zip(out[1:], [slope.T @ hidden.astype(np.float32), (inner * self.before[two]).sum(axis=0), (inner * self.before[one]).sum(axis=0), slope.sum(axis=0)]):
+                total += more
+        return out
+
+    def learn(self, gradients: Sequence[Callable[[], list[np.ndarray]]], total: float, epochs: int, rate: float) -> "LogBilinear":
+        """One step after each lot's gradient, all lots in each epoch."""
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.parameters()]
-        step, lots = 0, np.array_split(order, max(1, len(order) // 1024))
+        step = 0
         for epoch in range(epochs):
-            for lot in lots:
+            pace = rate * (1 - epoch / epochs) + 1e-4
+            for of_lot in gradients:
                 step += 1
-                c = contexts[lot]
-                two, one = c // n, c % n
-                hidden = self.far * self.before[two] + self.near * self.before[one]
-                odds = hidden @ self.after.T + self.bias - shift
-                sure = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-                seen = np.zeros((len(lot), n))
-                spans = ends[lot] - begin[lot]
-                at = np.repeat(begin[lot] - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
-                seen[np.repeat(np.arange(len(lot)), spans), word[at]] = counts[at]
-                own = seen.sum(axis=1, keepdims=True)
-                slope = (own * noise * unigram * sure - seen * (1 - sure)) * (len(lots) / total)
-                inner = slope @ self.after
-                before = np.zeros_like(self.before)
-                np.add.at(before, two, inner * self.far)
-                np.add.at(before, one, inner * self.near)
-                slopes = [before, slope.T @ hidden, (inner * self.before[two]).sum(axis=0), (inner * self.before[one]).sum(axis=0), slope.sum(axis=0)]
-                pace = rate * (1 - epoch / epochs) + 1e-4
-                for p, g, (first, second) in zip(self.parameters(), slopes, moments):
+                for p, g, (first, second) in zip(self.parameters(), of_lot(), moments):
+                    g = g * (len(gradients) / total)
                     first += 0.1 * (g - first)
                     second += 0.01 * (g * g - second)
                     p -= pace * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         return self
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(far, near, norm): log probability of w after a, b is far[a, w] + near[b, w] - norm[a, b]."""
-        far = (self.far * self.before) @ self.after.T
-        near = (self.near * self.before) @ self.after.T + self.bias
-        norm = np.empty((len(far), len(far)))
+    def train(self, codes: np.ndarray, counts: np.ndarray, epochs: int, rate: float, noise: float) -> "LogBilinear":
+        """Noise-contrastive estimation: tell the counted trigrams from ones whose last class is drawn from the
+        unigram distribution. Here of trigrams in memory."""
+        n = len(self.bias)
+        unigram = unigram_of(np.bincount(codes % n, counts, n))
+        self.bias = np.log(unigram)
+        lot = np.random.default_rng(2).permutation(n * n)[codes // n] % max(1, len(np.unique(codes // n)) // 1024)
+        parts = [lot == i for i in range(lot.max() + 1)]
+        return self.learn([lambda i=i: self.gradient(codes[i], counts[i], unigram, noise) for i in parts], counts.sum(), epochs, rate)
+
+    def norms(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """The logarithms of the sums over all classes, for rows of ``far`` and all of ``near``."""
+        out = np.empty((len(far), len(near)))
         for a in range(len(far)):
             scores = near + far[a]
             top = scores.max(axis=1, keepdims=True)
-            norm[a] = np.log(np.exp(scores - top).sum(axis=1)) + top[:, 0]
-        return far, near, norm
+            out[a] = np.log(np.exp(scores - top).sum(axis=1)) + top[:, 0]
+        return out
 
+    def sides(self) -> tuple[np.ndarray, np.ndarray]:
+        return (self.far * self.before) @ self.after.T, (self.near * self.before) @ self.after.T + self.bias
 
-def scorer(parts):
-    """Of each text what the frequent words and the model give, and its infrequent words."""
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(far, near, norm): log probability of w after a, b is far[a, w] + near[b, w] - norm[a, b]."""
+        far, near = self.sides()
+        return far, near, self.norms(far, near)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, keys, counts, (far, near, norm) = parts.value
+
+def unigram_of(counts: np.ndarray) -> np.ndarray:
+    return (counts + 0.1) / (counts + 0.1).sum()
+
+
+def fitted(grams: DataFrame, n_classes: int, class_counts: np.ndarray, epochs: int) -> LogBilinear:
+    """The model trained on counts of trigrams, which are written by lots of contexts and read again in each pass."""
+    spark = grams.sparkSession
+    model, unigram, total = LogBilinear(n_classes, WIDTH), unigram_of(class_counts), class_counts.sum()
+    model.bias = np.log(unigram)
+    parts = max(2, n_classes * n_classes // (LOTS * CONTEXTS))
+    hashed = F.xxhash64(F.expr(f"code div {n_classes}"))
+    placed = grams.withColumns({"lot": F.pmod(hashed, F.lit(LOTS)).cast("int"), "part": F.pmod(F.shiftright(hashed, 20), F.lit(parts))})
+    path = scratch_path(spark, "grams")
+    dealt = placed.repartition(LOTS * parts, "lot", "part").groupBy("lot", "part", "code").agg(F.sum("n").alias("n"))
+    dealt.sortWithinPartitions("lot", "code").write.partitionBy("lot").parquet(path)
+
+    def of_lot(lot: int) -> list[np.ndarray]:
+        sent = spark.sparkContext.broadcast((model, unigram))
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            got = [(b["code"].to_numpy(), b["n"].to_numpy()) for b in batches]
+            codes, counts = (np.concatenate(x) for x in zip(*got)) if got else (np.empty(0, np.int64),) * 2
+            order = np.argsort(codes)
+            own, share = sent.value
+            out = own.gradient(codes[order], counts[order], share, NOISE)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in out], names=NAMES)
+
+        rows = spark.read.schema("code long, n long, lot int").parquet(path).where(F.col("lot") == lot).select("code", "n").mapInArrow(add, ", ".join(f"{x} binary" for x in NAMES)).collect()
+        sent.unpersist()
+        return [sum((np.frombuffer(r[x]) for r in rows), np.zeros(p.size)).reshape(p.shape) for x, p in zip(NAMES, model.parameters())]
+
+    lots = range(LOTS) if total else []
+    return model.learn([lambda i=i: of_lot(i) for i in lots], total, epochs, RATE) if lots else model
+
+
+NAMES = ["before", "after", "far", "near", "bias"]
+
+
+def tables_of(spark, model: LogBilinear) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tables of the model, their sums made side by side."""
+    far, near = model.sides()
+    sent = spark.sparkContext.broadcast((model, far, near))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, a, b = sent.value
+        for batch in batches:
+            at = batch["id"].to_numpy()
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.tobytes() for x in own.norms(a[at], b)])], names=["id", "norm"])
+
+    rows = spark.range(0, len(far), 1, max(1, len(far) // 64)).mapInArrow(some, "id long, norm binary").collect()
+    norm = np.empty_like(far)
+    for r in rows:
+        norm[r.id] = np.frombuffer(r.norm)
+    return far, near, norm
+
+
+def coder(parts):
+    """Of each text the classes of its tokens, -1 for words that were not sent, and those words."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, classes, inner = parts.value
         for batch in pieces_of(batches, PIECE):
             hashes, sizes = tokens_of(batch["text"].to_pylist())
-            doc = np.repeat(np.arange(len(sizes)), sizes)
             n = len(sizes)
-            own = classes.of(hashes)
-            two, one = trigrams(own, sizes)
-            model = np.bincount(doc, far[two, own] + near[one, own] - norm[two, one], n)
+            doc = np.repeat(np.arange(n), sizes)
             place = look_up(hashes, keys)
-            hit, other = place >= 0, own == 1
-            logs = np.log(np.where(hit, counts[place] if len(counts) else 0, 0) + 1.0)
+            hit = place >= 0
+            at = place[hit]
             rare = np.flatnonzero(~hit)
+            own = np.full(len(hashes), -1, np.int32)
+            own[hit] = classes[at]
+            # The end is always told, also where nothing was counted.
+            end = hashes == END_HASH
+            own[end] = 0
+            rare = rare[~end[rare]]
             ends = np.searchsorted(doc[rare], np.arange(n + 1))
+            logs = np.bincount(doc[hit], np.log(counts[at] + 1.0), n)
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
             columns = [
-                batch["doc_id"], pa.array(sizes.astype(np.int64)), pa.array(np.bincount(doc[hit], minlength=n)), pa.array(np.bincount(doc[other], minlength=n)),
-                *(pa.array(np.asarray(x, np.float64)) for x in (np.bincount(doc, logs, n), np.bincount(doc[other], logs[other], n), model)),
+                batch["doc_id"], pa.array(sizes.astype(np.int64)), pa.array(np.bincount(doc[hit], minlength=n)), pa.array(np.asarray(logs, np.float64)),
+                pa.array(np.asarray(np.bincount(doc[hit], inner[at], n), np.float64)), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(own)),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[rare].view(np.int64))),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_hit", "n_other", "logs", "other_logs", "model", "rare"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_hit", "logs", "inner", "classes", "rare"])
 
-    return score
+    return code
+
+
+CODED = "doc_id long, n_tokens long, n_hit long, logs double, inner double, classes array<int>, rare array<long>"
+
+
+def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The coded texts with the classes of the joined words, 1 for words that were never seen."""
+    for batch in batches:
+        out = []
+        for own, rare, words, classes in zip(*(batch[c] for c in ("classes", "rare", "words", "of_words"))):
+            codes = own.values.to_numpy().astype(np.int32)
+            if len(rare.values):
+                known = Classes(words.values.to_numpy().view(np.uint64), classes.values.to_numpy()) if words.is_valid else Classes(np.empty(0, np.uint64))
+                codes = codes.copy()
+                codes[codes < 0] = known.of(rare.values.to_numpy().view(np.uint64))
+            out.append(codes)
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in out])])
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(out) if out else np.empty(0, np.int32)))
+        names = [c for c in batch.schema.names if c not in ("classes", "rare", "words", "of_words")]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), lists], names=[*names, "classes"])
 
 
-PARTS = "doc_id long, n_tokens long, n_hit long, n_other long, logs double, other_logs double, model double, rare array<long>"
+def scorer(parts):
+    """The log probability of each text's classes."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (far, near, norm), unseen = parts.value
+        for batch in batches:
+            lists = batch["classes"]
+            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            own = lists.flatten().to_numpy()
+            two, one = trigrams(own, sizes)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            logs = np.where(own == 1, math.log(unseen), far[two, own] + near[one, own] - norm[two, one] + math.log1p(-unseen))
+            model = np.bincount(doc, logs, len(sizes))
+            names = [c for c in batch.schema.names if c != "classes"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(model)], names=[*names, "model"])
+
+    return score
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -214,41 +441,52 @@ def scored(
     base = corpus(docs, doc_id, text)
     training = base.where(~held_out()).select("text")
     counts = cut_lineage(training.mapInArrow(word_counter, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    words = counts.where(F.col("word") != int(END_HASH))
-    top = words.orderBy(F.desc("n"), "word").limit(CLASSES - 2).select("word", "n").collect()
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
-    classes = spark.sparkContext.broadcast(Classes(np.array([r.word for r in top], np.int64).view(np.uint64)))
-    grams = training.mapInArrow(trigram_counter(classes), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    # At most CLASSES ** 3 rows, whatever the corpus.
-    grams = cut_lineage(grams.select(F.col("code").cast("int"), "n")).toPandas()
-    model = LogBilinear(CLASSES, WIDTH)
-    if len(grams):
-        order = np.argsort(grams["code"].to_numpy())
-        model.train(grams["code"].to_numpy()[order].astype(np.int64), grams["n"].to_numpy()[order], epochs, RATE, NOISE)
-    del grams
+    n_classes, n_own = class_number(max(0, distinct - 1))
+    top = counts.where(F.col("word") != int(END_HASH)).orderBy(F.desc("n"), "word").limit(n_own).select("word").collect()
+    own = Classes(np.array([r.word for r in top], np.int64).view(np.uint64))
+    # Every counted word with its class.
+    single = spark.createDataFrame([(int(END_HASH), 0), *((int(w), int(c)) for w, c in zip(own.words.view(np.int64), own.classes))], "word long, class int")
+    words = counts.join(F.broadcast(single), "word")
+    if n_own < distinct - 1:
+        words = words.unionByName(clustered(training, own, n_classes - 2 - n_own))
+    sizes = words.groupBy("class").agg(F.sum("n").alias("tokens"), F.count("*").alias("words"))
+    sizes = cut_lineage(sizes)
+    class_counts = np.zeros(n_classes)
+    for r in sizes.collect():
+        class_counts[r["class"]] = r.tokens
+    inner = F.log(F.col("n") + 1.0) - F.log(F.when(F.col("words") > 1, F.col("tokens") + F.col("words")).otherwise(F.col("n") + 1.0))
+    words = cut_lineage(words.join(F.broadcast(sizes), "class").select("word", "n", "class", inner.alias("inner")))
     # The least count that a word must have for no more than so many words to have it.
-    sizes = counts.groupBy("n").agg(F.count("*").alias("words"))
+    steps = counts.groupBy("n").agg(F.count("*").alias("words"))
     upto = F.sum("words").over(Window.orderBy(F.desc("n")))
-    least = sizes.withColumn("upto", upto).where(F.col("upto") <= frequent).agg(F.min("n")).first()[0]
-    has_class = F.col("word").isin([int(END_HASH), *(r.word for r in top)])
-    is_sent = has_class if least is None else has_class | (F.col("n") >= least)
-    sent = counts.where(is_sent).toPandas()
-    keys = sent["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    known = sent["n"].to_numpy(np.int64)[order]
-    parts = spark.sparkContext.broadcast((classes.value, keys[order], known, model.tables()))
-    rows = cut_lineage(base.mapInArrow(scorer(parts), PARTS).withColumn("row", F.monotonically_increasing_id()))
+    least = steps.withColumn("upto", upto).where(F.col("upto") <= frequent).agg(F.min("n")).first()[0]
+    is_sent = F.col("class") < n_own + 2
+    is_sent = is_sent if least is None else is_sent | (F.col("n") >= least)
+    sent = words.where(is_sent).toPandas()
+    sent = sent.iloc[np.argsort(sent["word"].to_numpy(np.int64).view(np.uint64))]
+    parts = spark.sparkContext.broadcast((
+        sent["word"].to_numpy(np.int64).view(np.uint64), sent["n"].to_numpy(np.int64), sent["class"].to_numpy(np.int32), sent["inner"].to_numpy(np.float64)))
+    rows = cut_lineage(base.mapInArrow(coder(parts), CODED).withColumn("row", F.monotonically_increasing_id()))
     # Infrequent words: none of them is in many rows, so no key of this join is hot.
-    rest = counts.where(~is_sent)
+    rest = words.where(~is_sent)
     met = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times")).join(rest, "word")
-    more = met.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log(F.col("n") + 1.0)).alias("more_logs"))
-    other_tokens = total - sum(r.n for r in top) - (counts.where(F.col("word") == int(END_HASH)).agg(F.sum("n")).first()[0] or 0)
-    other_words = max(0, distinct - len(top) - 1)
-    zero = F.lit(0.0)
-    extra = F.coalesce("more_logs", zero)
-    base_norm, other_norm = math.log(total + distinct + 1), math.log(other_tokens + other_words + 1)
-    return rows.join(more, "row", "left").select(
-        "doc_id", held_out().alias("held_out"), "n_tokens", (F.col("n_hit") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), ((F.col("logs") + extra - F.col("n_tokens") * base_norm) / LOG10).alias("base_score"),
-        ((F.col("model") + F.col("other_logs") + extra - F.col("n_other") * other_norm) / LOG10).alias("score"),
+    more = met.groupBy("row").agg(
+        F.sum("times").alias("more"), F.sum(F.col("times") * F.log(F.col("n") + 1.0)).alias("more_logs"), F.sum(F.col("times") * F.col("inner")).alias("more_inner"),
+        F.sort_array(F.collect_list(F.struct("word", "class"))).alias("found"))
+    zero, none = F.lit(0.0), F.lit(0)
+    base_norm = math.log(total + distinct + 1)
+    joined = rows.join(more, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("n_hit") + F.coalesce("more", none)).alias("n_known"), (F.col("logs") + F.coalesce("more_logs", zero)).alias("logs"),
+        (F.col("inner") + F.coalesce("more_inner", zero)).alias("inner"), "classes", "rare", F.col("found.word").alias("words"), F.col("found.class").alias("of_words"))
+    coded = cut_lineage(joined.mapInArrow(filled, "doc_id long, n_tokens long, n_known long, logs double, inner double, classes array<int>"))
+    grams = coded.where(~held_out()).select("classes").mapInArrow(gram_counter(n_classes), "code long, n long")
+    model = fitted(grams, n_classes, class_counts, epochs)
+    # Words never seen have the base's probability after any others; the classes that were seen share the rest.
+    model.before[1], model.after[1], model.bias[1] = 0, 0, -1e9
+    tables = spark.sparkContext.broadcast((tables_of(spark, model), 1 / (total + distinct + 1)))
+    done = coded.mapInArrow(scorer(tables), "doc_id long, n_tokens long, n_known long, logs double, inner double, model double")
+    return done.select(
+        "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        ((F.col("logs") - F.col("n_tokens") * base_norm) / LOG10).alias("base_score"), ((F.col("model") + F.col("inner")) / LOG10).alias("score"),
     )

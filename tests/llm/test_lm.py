@@ -70,3 +70,22 @@ def test_model_is_normalised_and_learns():
 def test_class_contexts():
     two, one = lm.trigrams(np.array([5, 6, 0, 0, 7, 0]), np.array([3, 1, 2]))
     assert list(zip(two.tolist(), one.tolist())) == [(0, 0), (0, 5), (5, 6), (0, 0), (0, 0), (0, 7)]
+
+
+def test_infrequent_words_are_scored_in_context(spark):
+    rng = np.random.default_rng(5)
+    fillers = " ".join(f"filler{i}" for i in range(200))
+    rows = [(i, fillers) for i in range(100)]
+    kinds = [[f"{k}{i}" for i in range(400)] for k in "ab"]
+    rows += [(1000 + i, " ".join(w for pair in zip(*(rng.choice(k, 20) for k in kinds)) for w in pair)) for i in range(400)]
+    one, two = (rng.choice(k, 20) for k in kinds)
+    ids = [i for i in range(9000, 9100) if is_held_out(i)][:2]
+    rows += [(ids[0], " ".join(w for pair in zip(one, two) for w in pair)), (ids[1], " ".join([*one, *two]))]
+    got = {r.doc_id: r for r in lm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert abs(got[ids[0]].base_score - got[ids[1]].base_score) < 1e-6
+    assert got[ids[0]].score > got[ids[1]].score + 5
+
+
+def test_classes_grow_with_the_words():
+    assert lm.class_number(100) == (lm.CLASSES, 100)
+    assert lm.CLASSES < lm.class_number(369_033)[0] < lm.class_number(3_690_330)[0]
