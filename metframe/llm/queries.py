@@ -67,7 +67,7 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and an edited version's, and how near they and the next one's are."""
-    return fingerprints.compared(table(spark, sf_dir, "documents")).drop("edited_digests")
+    return fingerprints.compared(table(spark, sf_dir, "documents"), pieces=fingerprints.CLAUSES).drop("edited_digests")
 
 
 def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
