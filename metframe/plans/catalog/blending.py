@@ -136,6 +136,33 @@ def blend_observations(spark, sf):
     return rounded(out, ["humidity", "temperature_feels_like", "temperature_2m", "temp", "elevation"])
 
 
+@query("blend_slots", f"""
+with {AB}, pa as (select *, floor(epoch(ts) / 600) as slot, row_number() over (partition by name, time
+                    order by ts desc, event_id desc) as rn from a),
+     pb as (select *, floor(epoch(ts) / 600) as slot, row_number() over (partition by city_name, floor(epoch(ts) / 600)
+                    order by ts desc, event_id desc) as rn from b)
+select pa.name as city_name, {text('pa.time')} as time, pa.weather_description,
+       {r('(pb.relative_humidity_2m + pa.humidity) / 2')} as humidity,
+       {r('(pb.apparent_temperature + pa.feels_like) / 2')} as temperature_feels_like,
+       {r('(pa.temp + pb.temperature_2m) / 2')} as temperature_2m, {r('pa.temp')} as temp, pb.relative_humidity_2m,
+       {r('pb.elevation')} as elevation
+from pa join pb on pa.name = pb.city_name and pa.slot = pb.slot
+where pa.rn = 1 and pb.rn = 1""")
+def blend_slots(spark, sf):
+    """J1, E1 to E3, P12 on all readings: provider A's by city and time meet the newest of provider B in their slot."""
+    newest = [F.desc("ts"), F.desc("event_id")]
+    ev = views.events(spark, sf)
+    a = latest_per(flatten_a(views.nested_a(ev), ["event_id", "ts"]), ["city_name", "time"], newest)
+    a = a.withColumn("_slot", slot("ts", 600)).drop("event_id", "ts")
+    b = flatten_b(views.nested_b(ev), ["event_id", "ts"]).withColumn("_slot", slot("ts", 600))
+    b = latest_per(b, ["city_name", "_slot"], newest).drop("event_id", "ts")
+    out = blend_sources(a, b, ["city_name", "_slot"], BLENDS).select(
+        "city_name", time_text("time").alias("time"), F.array_join("weather_description", ",").alias("weather_description"),
+        "humidity", "temperature_feels_like", "temperature_2m", "temp", "relative_humidity_2m", "elevation",
+    )
+    return rounded(out, ["humidity", "temperature_feels_like", "temperature_2m", "temp", "elevation"])
+
+
 @query("mean_one", f"select event_type, {r('avg(value)')} as value from events group by event_type")
 def mean_one(spark, sf):
     """A1."""
