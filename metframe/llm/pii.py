@@ -40,8 +40,7 @@ DIGITS = re.compile(r"[^\s]{0,40}[0-9][^\s]{0,40}")
 WORD = re.compile(r"[^\W\d_]+")
 GATE = re.compile(r"[0-9@]|[(\[]at[)\]]")
 
-NEAR = 48  # characters before a string in which its pattern is sought
-ROUNDS = 3
+NEAR = 48  # characters before a string in which its pattern is sought; a word that begins before them is whole
 SUPPORT = 8  # different known instances that a pattern must introduce
 CONFIDENCE = 0.8  # of a pattern, as the lower end of its interval, and of a string
 Z = 1.28  # of that interval
@@ -121,10 +120,15 @@ def alikes(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int,
     return out
 
 
-def pattern(text: str, start: int) -> str | None:
-    """The last two words before a place, in lower case; None where there are no two."""
-    words = WORD.findall(text[max(0, start - NEAR): start].lower())
-    return " ".join(words[-2:]) if len(words) > 1 else None
+def pattern(text: str, start: int) -> str:
+    """The last two words before a place, in lower case. Where there are no two, what there is after a mark
+    that tells whether the text begins there."""
+    begin = max(0, start - NEAR)
+    if WORD.match(text, begin):
+        while begin > 0 and WORD.match(text[begin - 1]):
+            begin -= 1
+    words = [w if len(w) <= NEAR else hashlib.sha256(w.encode()).hexdigest() for w in WORD.findall(text[begin:start].lower())[-2:]]
+    return " ".join(words if len(words) > 1 else ["..." if begin else "^", *words])
 
 
 def told(spans: list[tuple[str, int, int]]) -> str:
@@ -167,17 +171,18 @@ def lower_end(share: Column, n: Column) -> Column:
     return (share + z2 / (2 * n) - Z * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
-def bootstrap(marks: DataFrame, rounds: int, support: int, confidence: float) -> DataFrame:
+def bootstrap(marks: DataFrame, support: int, confidence: float) -> DataFrame:
     """(kind, instance) of the strings that patterns vouch for.
 
     ``marks`` has kind, pattern, instance and whether a format proves it. A pattern's confidence in a kind is
     the lower end of the share of its strings that are known instances of the kind, other strings with
-    digits being its misses. A string's is the noisy-or of its patterns.
+    digits being its misses. A string's is the noisy-or of its patterns. Strings are added until a round adds none.
     """
-    edges = cut_lineage(marks.where("pattern is not null").groupBy("pattern", "kind", "instance").agg(F.max("known").alias("known")))
+    edges = cut_lineage(marks.groupBy("pattern", "kind", "instance").agg(F.max("known").alias("known")))
     strings = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    accepted = edges.where("known").select("kind", "instance").distinct()
-    for _ in range(rounds):
+    accepted = cut_lineage(edges.where("known").select("kind", "instance").distinct())
+    before, now = -1, accepted.count()
+    while now > before:
         known = edges.join(accepted, ["kind", "instance"]).groupBy("pattern", "kind").agg(F.count("*").alias("hits"))
         scored = known.where(F.col("hits") >= support).join(strings, "pattern")
         good = scored.withColumn("sure", lower_end(F.col("hits") / F.col("n"), F.col("n"))).where(F.col("sure") >= confidence)
@@ -185,26 +190,26 @@ def bootstrap(marks: DataFrame, rounds: int, support: int, confidence: float) ->
         score = 1 - F.exp(F.sum(F.log1p(-F.least(F.col("sure"), F.lit(1 - 1e-9)))))
         fresh = vouched.groupBy("kind", "instance").agg(score.alias("score")).where(F.col("score") >= confidence).select("kind", "instance")
         accepted = cut_lineage(accepted.union(fresh).distinct())
+        before, now = now, accepted.count()
     return accepted
 
 
 def personal_data(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT, confidence: float = CONFIDENCE
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``row_key``, the number of proven identifiers of each kind,
     ``base_sha256`` of their spans and ``spans``, all spans as kind:start:end in code points, proven or
     vouched for by patterns.
 
-    An identifier-like string is added where it stands behind a pattern, if it is accepted anywhere in the
-    corpus. Added spans overlap neither proven ones nor each other. Null and empty texts have none. Null ids
+    An identifier-like string is added wherever it stands, if it is accepted anywhere in the corpus. Added spans overlap neither proven ones nor each other. Null and empty texts have none. Null ids
     and repeated rows are kept, each in a row.
     """
     base = corpus(docs, doc_id, text)
     found = cut_lineage(base.select("doc_id", row_key().alias("row_key"), "text").mapInArrow(find, FOUND))
     each = found.select("doc_id", "row_key", F.inline("marks"))
     marks = cut_lineage(each.distinct())
-    accepted = bootstrap(marks.select("pattern", "kind", "instance", "known"), rounds, support, confidence)
-    new = marks.where(~F.col("known") & (F.col("kind") != OTHER) & F.col("pattern").isNotNull()).join(accepted, ["kind", "instance"], "left_semi")
+    accepted = bootstrap(marks.select("pattern", "kind", "instance", "known"), support, confidence)
+    new = marks.where(~F.col("known") & (F.col("kind") != OTHER)).join(accepted, ["kind", "instance"], "left_semi")
     added = new.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
     added = added.select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "added")
     rows = found.drop("marks").join(added, (F.col("row_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")

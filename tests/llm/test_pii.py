@@ -72,3 +72,29 @@ def test_masking(spark):
     rows = [(1, "x 1.2.3.4", "k"), (None, "y b@c.d", "l"), (2, None, "m"), (1, "x 1.2.3.4", "n"), (3, "plain", None)]
     got = pii.masked(spark.createDataFrame(rows, "doc_id long, text string, row_key string"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "x [IP]", "k"), (None, "y [EMAIL]", "l"), (2, None, "m"), (1, "x [IP]", "n"), (3, "plain", None)], key=str)
+
+
+def test_accepted_identifiers_are_masked_at_every_place(spark):
+    docs = [(i, f"Please call me on +1 (201) 555-{1000 + i} or later.") for i in range(40)]
+    docs += [(100, "They said: call me on 201 555 0199 or write."), (101, "201 555 0199"), (102, "Tel 201 555 0199"), (103, "they " + "-" * 60 + " 201 555 0199")]
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, text in docs[40:]:
+        at = text.index("201 555 0199")
+        assert got[i] == f"phone:{at}:{at + 12}"
+
+
+def test_chains_of_patterns_are_followed_to_their_end(spark):
+    number, docs = iter(range(1000, 9999)), []
+    groups = [[f"201 555 {next(number)}" for _ in range(10)] for _ in range(7)]
+    for k in range(6):
+        own = [f"+1 201 555 {next(number)}" for _ in range(70 if k == 0 else 60)] + (groups[k] if k else []) + groups[k + 1]
+        docs += [f"step {'abcdef'[k] * 3} {x}" for x in own]
+    rows = pii.personal_data(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    assert all(r.spans for r in rows)
+
+
+def test_patterns_of_all_places():
+    assert [pii.pattern(t, len(t)) for t in ("", "Tel ", "call Me on ", "one " + "-" * 60, "call " + "-" * 60 + " me ")] == ["^", "^ tel", "me on", "...", "... me"]
+    assert pii.pattern("donaudampfschiff is " + "x" * 20 + " " + "9" * 20, 41 + 20) == "is " + "x" * 20
+    long = "a" * 100
+    assert pii.pattern(f"{long} me ", 104) == pii.pattern(f"so {long} me ", 107) != pii.pattern(f"b{long} me ", 105)
