@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metframe.llm import bpe, decontaminate, fingerprints, jaccard_join, lm, pii, quality, suffixes, toxicity, urls
+from metframe.llm import align, bpe, decontaminate, fingerprints, jaccard_join, lm, pii, quality, suffixes, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 # Rules over hosts and paths, and the hosts that the globs block.
 RULES = [
@@ -75,6 +76,11 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents"), keep_first=False, with_bytes=False)
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the groups and links of two tokenizers' tokens."""
+    return align.aligned(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED), with_groups=False)
+
+
 LEAK_SQL = r"""
 with split as (
   select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w from documents
@@ -118,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op8_invertible_bloom_fingerprints": versions,
     "op9_bootstrapped_pii": personal,
     "op10_suffix_repeats": repeats,
+    "op13_shared_cut_alignment": alignment,
 }
 
 ORACLES: dict[str, str] = {"op1_benchmark_containment": LEAK_SQL, "op5_url_wildcard_automaton": URL_SQL}
