@@ -8,12 +8,15 @@ halves; an interval without a shared cut inside is a group. All intervals of a b
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
@@ -26,12 +29,19 @@ SENT = 1 << 20      # most frequent pairs whose counts may go to every task, 16
 SLICE = 512         # rows whose pairs are looked at together
 SEPARATORS = ",|;"  # after a token, after the first side's tokens of a group, after a group
 
+# Fixed value: how the byte-level vocabulary splits a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG = 100_000  # characters of a text from which the slower library, which has no trouble with endless runs, encodes it
+
 #: A side of the alignment: the token ids of texts, and the bytes of every token.
-Side = tuple[Callable[[list[str]], list[list[int]]], list[bytes]]
+Side = tuple[Callable[[list[str]], list[np.ndarray]], list[bytes]]
 
 
 def byte_level(file: bytes) -> Side:
-    """A byte-level vocabulary; the texts are encoded after a blank, special tokens' strings as plain text."""
+    """A byte-level vocabulary; the texts are encoded after a blank, special tokens' strings as plain text.
+
+    Where ids follow the order of the merges, they are ranks, by which a faster library gives the same ids.
+    """
     tokenizer = Tokenizer.from_buffer(file)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -39,7 +49,18 @@ def byte_level(file: bytes) -> Side:
     byte_of = {letter: bytes([b]) for b, letter in enumerate(byte_letters())}
     names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
     tokens = [b"".join(byte_of.get(c, c.encode()) for c in name) for name in names]
-    return lambda texts: [e.ids for e in tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)], tokens
+
+    def slow(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(" " + text, add_special_tokens=False).ids, np.int64)
+
+    model = json.loads(file)["model"]
+    made = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    if made != sorted(made) or len(set(made)) < len(made):
+        return lambda texts: [slow(t) for t in texts], tokens
+    special = {t["content"] for t in json.loads(file)["added_tokens"]}
+    ranks = {tokens[i]: i for name, i in model["vocab"].items() if name not in special}
+    ranked = tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [slow(t) if len(t) > LONG else ranked.encode_to_numpy(" " + t, disallowed_special=()).astype(np.int64) for t in texts], tokens
 
 
 def pieces(file: bytes) -> Side:
@@ -47,7 +68,7 @@ def pieces(file: bytes) -> Side:
     processor = sentencepiece.SentencePieceProcessor(model_proto=file)
     names = [processor.id_to_piece(i) for i in range(processor.get_piece_size())]
     tokens = [bytes([int(n[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", n) else n.replace("▁", " ").encode() for n in names]
-    return lambda texts: processor.encode(texts, num_threads=1), tokens
+    return lambda texts: [np.array(ids, np.int64) for ids in processor.encode(texts, num_threads=1)], tokens
 
 
 def ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,11 +137,37 @@ def written(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray
     return [flat[s:e - 1] for s, e in zip(starts.tolist(), stops.tolist())]
 
 
-def tokens_of(side: Side, texts: list[str], whole: list[bytes]) -> tuple[list[list[int]], np.ndarray]:
+def tokens_of(side: Side, texts: list[str], whole: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     """The ids of each text, and whether their bytes are the whole text."""
     encode, tokens = side
     ids = encode(texts) if texts else []
-    return ids, np.array([b"".join(map(tokens.__getitem__, i)) == w for i, w in zip(ids, whole)], bool)
+    return ids, np.array([b"".join(map(tokens.__getitem__, i.tolist())) == w for i, w in zip(ids, whole)], bool)
+
+
+def overlaps(ends: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of either side that overlap: between two neighbouring ends lies the overlap of one pair."""
+    order = np.argsort(np.concatenate([ends, other]), kind="stable")
+    marks, first = np.concatenate([ends, other])[order], order < len(ends)
+    final = np.append(marks[1:] != marks[:-1], True)
+    both = np.diff(np.flatnonzero(final), prepend=-1) == 2
+    passed, at = np.cumsum(first)[final], np.flatnonzero(final)
+    return passed - (first[final] | both), at + 1 - passed - (~first[final] | both)
+
+
+def packed(pairs: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted pairs by their differences, and how often each occurs."""
+    return zstandard.ZstdCompressor(1).compress(np.diff(pairs, prepend=0).tobytes() + times.astype(np.int32).tobytes())
+
+
+def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, pair and times of all pairs of a batch."""
+    opened, sizes = zstandard.ZstdDecompressor(), batch["n_pairs"].to_numpy()
+    data = [opened.decompress(p) for p in batch["pairs"].to_pylist()]
+    if not data:
+        return (np.empty(0, np.int64),) * 3
+    pairs = [np.cumsum(np.frombuffer(d, np.int64, n)) for d, n in zip(data, sizes.tolist())]
+    times = [np.frombuffer(d, np.int32, n, 8 * n) for d, n in zip(data, sizes.tolist())]
+    return np.repeat(np.arange(len(data)), sizes), np.concatenate(pairs), np.concatenate(times).astype(np.int64)
 
 
 class Aligner:
@@ -139,33 +186,33 @@ class Aligner:
         fit = np.flatnonzero(exact[0] & exact[1])
         at = np.array(some, np.int64)[fit]
         counts = np.zeros((5, n), np.int64)  # tokens of both sides, groups, links, distinct pairs
-        digests, groups, pairs, times = [""] * n, [""] * n, np.empty(0, np.int64), np.empty(0, np.int64)
+        digests, groups, pairs = [""] * n, [""] * n, [packed(*np.empty((2, 0), np.int64))] * n
         if len(fit):
             sizes = [np.array([len(ids[i]) for i in fit]) for ids in given]
-            a, b = (np.concatenate([np.array(ids[i], np.int64) for i in fit]) for ids in given)
+            a, b = (np.concatenate([ids[i] for i in fit]) for ids in given)
             ends = [np.cumsum(lengths[ids]) for lengths, ids in zip(self.lengths, (a, b))]
             last = [np.cumsum(size) - 1 for size in sizes]
             cuts = shared_cuts(*ends, last[0])
             group_last = np.searchsorted(cuts, last[0]) + 1
             for i, text in zip(at.tolist(), written(a, b, cuts + 1, np.searchsorted(ends[1], ends[0][cuts]) + 1, group_last, self.table)):
                 digests[i], groups[i] = hashlib.sha256(text).hexdigest(), text.decode()
-            # Between two neighbouring ends of either side lies the overlap of one pair of tokens.
-            marks = np.union1d(*ends)
-            own = np.searchsorted(ends[0][last[0]], marks)
+            of_a, of_b = overlaps(*ends)
+            own = np.repeat(np.arange(len(at)), sizes[0])[of_a]
             width = len(self.lengths[1])
-            keys = a[np.searchsorted(ends[0], marks)] * width + b[np.searchsorted(ends[1], marks)]
             space = len(self.lengths[0]) * width
-            keys, times = np.unique(own * space + keys, return_counts=True)
-            pairs = keys % space
-            counts[:, at] = [*sizes, np.diff(group_last, prepend=0), np.bincount(own, minlength=len(at)), np.bincount(keys // space, minlength=len(at))]
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts[4])]), pa.int32())
+            keys, times = np.unique(own * space + a[of_a] * width + b[of_b], return_counts=True)
+            distinct = np.bincount(keys // space, minlength=len(at))
+            stops = np.cumsum(distinct)
+            for i, start, stop in zip(at.tolist(), (stops - distinct).tolist(), stops.tolist()):
+                pairs[i] = packed(keys[start:stop] % space, times[start:stop])
+            counts[:, at] = [*sizes, np.diff(group_last, prepend=0), np.bincount(own, minlength=len(at)), distinct]
         return pa.RecordBatch.from_arrays([
-            batch["doc_id"], *map(pa.array, counts[:4]), pa.array(digests, pa.string()), pa.array(groups if self.with_groups else [None] * n, pa.string()),
-            pa.ListArray.from_arrays(offsets, pa.array(pairs)), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
-        ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups", "pairs", "times"])
+            batch["doc_id"], *map(pa.array, counts), pa.array(digests, pa.string()), pa.array(groups if self.with_groups else [None] * n, pa.string()),
+            pa.array(pairs, pa.binary()),
+        ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_pairs", "groups_sha256", "groups", "pairs"])
 
 
-ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, pairs array<long>, times array<int>"
+ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_pairs long, groups_sha256 string, groups string, pairs binary"
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +231,7 @@ def pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held, size = [], 0
     for batch in slices(batches):
-        held.append(np.unique(batch["pairs"].flatten().to_numpy(), return_counts=True))
+        held.append(np.unique(unpacked(batch)[1], return_counts=True))
         size += len(held[-1][0])
         if size > 4 * HELD:
             held = [merged(held)]
@@ -231,7 +278,7 @@ def aligned(
 
     width = len(pieces(files.value[1])[1])
     rows = cut_lineage(corpus(docs, doc_id, text).mapInArrow(align, ROWS).withColumn("row", F.monotonically_increasing_id()))
-    counts = rows.select("pairs").mapInArrow(pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = rows.select("pairs", "n_pairs").mapInArrow(pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     # The pairs of one first id are at most as many as the second vocabulary has tokens.
     most = F.max("n").over(Window.partitionBy(F.expr(f"pair div {width}")))
     counts = cut_lineage(counts.select("pair", "n", (F.col("n") == most).alias("best")))
@@ -239,11 +286,9 @@ def aligned(
     known = counts.where(F.col("n") >= cut).toArrow().sort_by("pair")
     table = spark.sparkContext.broadcast(tuple(known[c].to_numpy() for c in ("pair", "n", "best")))
 
-    def split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def looked_up(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Row, pair and times of all pairs of a batch, whether each is known, and its place in the table."""
-        lists, keys = batch["pairs"], table.value[0]
-        own = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-        pair, times = lists.flatten().to_numpy(), batch["times"].flatten().to_numpy()
+        keys, (own, pair, times) = table.value[0], unpacked(batch)
         place = np.searchsorted(keys, pair)
         hit = place < len(keys)
         hit[hit] = keys[place[hit]] == pair[hit]
@@ -252,8 +297,8 @@ def aligned(
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, n, best = table.value
         for batch in slices(batches):
-            own, _, times, hit, place = split(batch)
-            own, times, place = own[hit], times[hit].astype(np.int64), place[hit]
+            own, _, times, hit, place = looked_up(batch)
+            own, times, place = own[hit], times[hit], place[hit]
             added = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]
             for out, value in zip(added, (best[place], n[place])):
                 np.add.at(out, own, times * value)
@@ -261,12 +306,12 @@ def aligned(
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own, pair, times, hit, _ = split(batch)
+            own, pair, times, hit, _ = looked_up(batch)
             yield pa.RecordBatch.from_arrays([pa.array(batch["row"].to_numpy()[own[~hit]]), pa.array(pair[~hit]), pa.array(times[~hit])], names=["row", "pair", "times"])
 
     out = rows.mapInArrow(sums, KEPT_ROWS)
     if cut > 1:
-        rare = rows.select("row", "pairs", "times").mapInArrow(others, "row long, pair long, times int").join(counts, "pair").groupBy("row").agg(
+        rare = rows.select("row", "pairs", "n_pairs").mapInArrow(others, "row long, pair long, times long").join(counts, "pair").groupBy("row").agg(
             F.sum(F.col("times") * F.col("best").cast("int")).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_sum"))
         added = {c: F.col(c) + F.coalesce(F.col(m), F.lit(0)) for c, m in (("n_best", "more_best"), ("count_sum", "more_sum"))}
         out = out.join(rare, "row", "left").withColumns(added).drop("more_best", "more_sum")
@@ -274,4 +319,4 @@ def aligned(
 
 
 KEPT = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups"]
-KEPT_ROWS = "row long, " + ROWS.split(", pairs")[0] + ", n_best long, count_sum long"
+KEPT_ROWS = "row long, " + ", ".join(c for c in ROWS.split(", ") if c.split()[0] in KEPT) + ", n_best long, count_sum long"

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from metframe.llm import align
 
@@ -80,3 +81,15 @@ def test_odd_rows(odd, empty, sides):
     want = plain([r.text for r in odd.collect()], sides)
     assert sorted((r.n_a, r.n_links, r.n_best, r.count_sum) for r in rows) == sorted((w[0], w[3], w[4], w[5]) for w in want)
     assert align.aligned(empty, *FILES).count() == 0
+
+
+def test_ranks_give_the_ids_of_the_file(sides):
+    """Every code point at the start, inside and at the end of words, numbers, marks and blanks; endless runs."""
+    file = open(FILES[0], "rb").read()
+    tokenizer = Tokenizer.from_buffer(file)
+    tokenizer.encode_special_tokens = True
+    code_points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b 1{c}2 {c} !{c}{c} " for c in code_points[i:i + 64]) for i in range(0, len(code_points), 64)]
+    texts += [c * n for c in ("x", " ", "\n", "1", "é", "a b") for n in (5000, align.LONG + 1)]
+    want = tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    assert all(i.tolist() == w.ids for i, w in zip(sides[0][0](texts), want))
