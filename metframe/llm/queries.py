@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metframe.llm import align, bpe, decontaminate, fingerprints, jaccard_join, lm, pii, quality, suffixes, toxicity, urls
+from metframe.llm import align, bpe, chat, decontaminate, fingerprints, jaccard_join, lm, pii, quality, suffixes, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,18 @@ def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.aligned(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED), with_groups=False)
 
 
+def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as canonical turns, formatted under a loss mask and read back."""
+    own = spark.createDataFrame([(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    out = chat.formatted(chat.canonical(chat.records_of(rows))).select("conv_id", "layout", "formatted", "loss")
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return chat.read_back(out).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "layout")
+
+
 LEAK_SQL = r"""
 with split as (
   select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w from documents
@@ -113,6 +125,23 @@ select page_id, host, path, rule, case
   else 'allow' end as verdict
 from ruled"""
 
+CHAT_SQL = r"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized as (
+  select *, length(role || text) + list_sum(list_transform(['\', '<|', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>'],
+    lambda c: (length(role) - length(replace(role, c, '')) + length(text) - length(replace(text, c, ''))) // length(c))) as chars
+  from said)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(chars + length('<|im_start|><|im_sep|><|im_end|>'))::bigint as formatted_chars,
+  case when list(role order by turn, role, text) = ['user', 'assistant'] then 'prompt'
+    when list(role order by turn, role, text) = ['system', 'user', 'assistant'] then 'instruction'
+    when bool_and(role in ('system', 'user', 'assistant')) then 'conversations' else 'messages' end as layout
+from sized group by conv_id"""
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_containment": leaks,
     "op2_ngram_jaccard_join": jaccard,
@@ -124,7 +153,8 @@ QUERIES: dict[str, Query] = {
     "op8_invertible_bloom_fingerprints": versions,
     "op9_bootstrapped_pii": personal,
     "op10_suffix_repeats": repeats,
+    "op12_schema_fingerprint_chat": chats,
     "op13_shared_cut_alignment": alignment,
 }
 
-ORACLES: dict[str, str] = {"op1_benchmark_containment": LEAK_SQL, "op5_url_wildcard_automaton": URL_SQL}
+ORACLES: dict[str, str] = {"op1_benchmark_containment": LEAK_SQL, "op5_url_wildcard_automaton": URL_SQL, "op12_schema_fingerprint_chat": CHAT_SQL}
