@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metframe.llm import align, bpe, chat, decontaminate, fingerprints, jaccard_join, lm, pii, quality, suffixes, toxicity, urls
+from metframe.llm import align, bpe, chat, decontaminate, fingerprints, jaccard_join, lm, negatives, pii, quality, suffixes, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,12 @@ def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.aligned(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED), with_groups=False)
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor and positive; an anchor's id is divisible by 100."""
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=changed)
+
+
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as canonical turns, formatted under a loss mask and read back."""
     own = spark.createDataFrame([(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
@@ -125,6 +131,25 @@ select page_id, host, path, rule, case
   else 'allow' end as verdict
 from ruled"""
 
+NEGATIVE_SQL = """
+with sound as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)),
+scores as (
+  select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as id, list_dot_product(a.v, b.v)::bigint as score
+  from sound a join sound b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, id, score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, p.id as positive_id, row_number() over (partition by anchor_id, p.id order by n.score desc, n.id)::int as rank,
+  n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scores n using (anchor_id)
+where not same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify row_number() over (partition by anchor_id, p.id order by n.score desc, n.id) <= 10"""
+
 CHAT_SQL = r"""
 with said as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -153,8 +178,9 @@ QUERIES: dict[str, Query] = {
     "op8_invertible_bloom_fingerprints": versions,
     "op9_bootstrapped_pii": personal,
     "op10_suffix_repeats": repeats,
+    "op11_threshold_join_negatives": hard_negatives,
     "op12_schema_fingerprint_chat": chats,
     "op13_shared_cut_alignment": alignment,
 }
 
-ORACLES: dict[str, str] = {"op1_benchmark_containment": LEAK_SQL, "op5_url_wildcard_automaton": URL_SQL, "op12_schema_fingerprint_chat": CHAT_SQL}
+ORACLES: dict[str, str] = {"op1_benchmark_containment": LEAK_SQL, "op5_url_wildcard_automaton": URL_SQL, "op11_threshold_join_negatives": NEGATIVE_SQL, "op12_schema_fingerprint_chat": CHAT_SQL}
