@@ -4,7 +4,7 @@ Rows are dealt out in blocks, anchors in chunks, and each task joins one chunk w
 a block has the entries of its rows by dimension, heaviest dimensions first, but for those that a bound covers: from
 some dimension on the norm of the rest of a row times that of an anchor is below every threshold, so a pair must
 have met before. Partial scores grow along the index, a row is dropped once the norms of what remains cannot lift it
-to the threshold of any anchor, and pairs that are left get the rest of their score. Thresholds start high and fall until
+to the threshold of any anchor, and rows that are left get the rest of their score. Thresholds start high and fall until
 an anchor's windows are full or its floor is reached, so what a task returns is exact.
 """
 
@@ -24,7 +24,7 @@ BLOCK, LEAST, SPREAD = 1 << 16, 1 << 12, 64  # most rows of a block; blocks are
 CHUNK = 1 << 14   # anchors that a task joins with a block
 TOGETHER = 64     # anchors that are searched side by side
 SLAB = 1 << 13    # rows of a block that are indexed together
-STEP = 8          # dimensions between two prunings
+STEP = 16         # dimensions between two prunings
 FALL = 0.8        # by which a threshold falls
 SCALE = 256.0
 SLACK = 1 + 1e-9  # of bounds, for the rounding of norms
@@ -68,28 +68,29 @@ class Index:
     def reaching(self, anchors: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Anchor, row and score of all pairs whose score is at least the anchor's threshold."""
         anchors = anchors[:, self.order]
-        own = rests(anchors) * SLACK
+        own = rests(anchors)
+        # Scores are whole numbers, and none is below the least of these.
+        thresholds = np.maximum(np.ceil(thresholds), -np.ceil(own[:, 0] * self.rest[:, 0].max(initial=0.0) * SLACK) - 1)
+        tops = own.max(0) * SLACK
         # Dimensions up to ``listed`` are in the index; the rest of a row is below every threshold by itself.
-        listed = np.minimum((self.rest * own.max(0) >= thresholds.min()).sum(1), self.width)
+        listed = np.minimum((self.rest * tops >= thresholds.min()).sum(1), self.width)
         rows = np.flatnonzero(listed > 0)
-        sums, start = np.zeros((len(anchors), len(rows))), 0
-        while len(rows) and start < self.width:
-            stop = min(start + STEP, self.width)
-            entries = np.where(np.arange(start, stop) < listed[rows, None], self.rows[rows, start:stop], 0)
-            sums += anchors[:, start:stop] @ entries.T
-            seen = np.minimum(listed[rows], stop)
-            alive = (sums + own[:, seen] * self.rest[rows, seen] >= thresholds[:, None]).any(0)
-            if alive.mean() < 0.7:
-                rows, sums = rows[alive], sums[:, alive]
-            start = stop
-        bound = own[:, listed[rows]] * self.rest[rows, listed[rows]]
-        a, at = np.nonzero(sums + bound >= thresholds[:, None])
-        r, scores = rows[at], sums[a, at]
-        for part in np.array_split(np.flatnonzero(listed[r] < self.width), len(r) // SLAB + 1):
-            left = np.arange(self.width) >= listed[r[part], None]
-            scores[part] += np.where(left, anchors[a[part]] * self.rows[r[part]], 0).sum(1)
-        hit = scores >= thresholds[a]
-        return a[hit], r[hit], scores[hit]
+        above = np.repeat(-thresholds[:, None], len(rows), 1)  # partial scores less the threshold
+        # First along the index, then, for the rows that are left, what was kept out of it.
+        for of_index in (True, False):
+            for start in range(0, self.width, STEP):
+                stop = min(start + STEP, self.width)
+                entries = self.rows[rows, start:stop]
+                entries[(np.arange(start, stop) < listed[rows, None]) != of_index] = 0
+                above += anchors[:, start:stop] @ entries.T
+                seen = np.minimum(listed[rows], stop) if of_index else np.maximum(listed[rows], stop)
+                alive = above.max(0) + tops[seen] * self.rest[rows, seen] >= 0
+                if len(alive) and alive.mean() < 0.7:
+                    rows, above = rows[alive], above[:, alive]
+            if not len(rows) or listed[rows].min() == self.width:
+                break
+        a, at = np.nonzero(above >= 0)
+        return a, rows[at], above[a, at] + thresholds[a]
 
 
 @dataclass
@@ -215,20 +216,26 @@ def joiner(width: int, same: bool, size: int):
         values, seeking = matrix(rows["embedding"], width), matrix(anchors["embedding"], width)
         windows = anchors["windows"].combine_chunks()
         owner = np.repeat(np.arange(len(anchors)), pc.list_value_length(windows).to_numpy())
-        flat = windows.flatten()
+        flat, wanted = windows.flatten(), anchors["label"].to_numpy()
         low, high = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("low", "high"))
-        seekers = Seekers(seeking, anchors["label"].to_numpy(), anchors["key"].to_numpy(), owner, low, high, same, size)
         exact = np.abs(values).max(initial=0.0) * np.abs(seeking).max(initial=0.0) * max(width, 1) < EXACT
-        found = Found.none()
-        if len(owner):
-            for start in range(0, len(rows), SLAB):
-                part = slice(start, start + SLAB)
+        out = Found.none()
+        # Anchors that look for their own label meet only its rows.
+        for one in np.unique(wanted).tolist() if same else [None]:
+            mine, theirs = (np.flatnonzero(x == one) if same else np.arange(len(x)) for x in (wanted, label))
+            own = np.flatnonzero(np.isin(owner, mine))
+            seekers = Seekers(seeking[mine], wanted[mine], anchors["key"].to_numpy()[mine], np.searchsorted(mine, owner[own]), low[own], high[own], same, size)
+            found = Found.none()
+            for start in range(0, len(theirs) if len(own) else 0, SLAB):
+                part = theirs[start:start + SLAB]
                 found = seekers.searched(found, Slab(values[part], vec_id[part], label[part], key[part], exact))
-        named = pc.take(flat, pa.array(found.window))
+            found.window = own[found.window]
+            out = Found(*(np.concatenate(x) for x in zip(out.parts(), found.parts())))
+        named = pc.take(flat, pa.array(out.window))
         return pa.table({
-            "anchor_key": seekers.key[owner[found.window]], "anchor_id": anchors["vec_id"].to_numpy()[owner[found.window]],
+            "anchor_key": anchors["key"].to_numpy()[owner[out.window]], "anchor_id": anchors["vec_id"].to_numpy()[owner[out.window]],
             "positive_id": named.field("vec_id"), "positive_key": named.field("key"), "positive_score": named.field("score"),
-            "vec_id": found.vec_id, "key": found.key, "score": found.score,
+            "vec_id": out.vec_id, "key": out.key, "score": out.score,
         })
 
     return join
