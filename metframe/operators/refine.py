@@ -4,11 +4,11 @@ The conditional sum of squares of an ARIMA model depends on its moving-average p
 way, but once that part is undone the rest is a regression on lags. So the fit is a search over the
 moving-average coefficients only: a coarse grid, then finer ones around the best point.
 
-A series is packed into blocks of values, each with the end of the block before it as a run-in long
-enough for what lies further back to have died out. A pass undoes every grid point on every block
-(numpy, vectorised along the block) and gives sums of lag products; Spark adds them per series and
-grid point and keeps the point of the smallest sum of squares. The blocks are written once and no
-pass shuffles them.
+A series is packed into blocks of values. A pass undoes every grid point on every block (numpy, vectorised along
+the block) and gives sums of lag products; Spark adds them per series and grid point and keeps the point of the
+smallest sum of squares. The blocks are written once. A series of one block starts from zeros; for the blocks of
+longer ones a scan (``scan``) first gives the state in front of each, so the sums are those of one pass over the
+whole series, wherever it is cut.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metframe.operators import forecast, seasonal
 from metframe.operators.forecast import SeriesRows
-from metframe.operators.seasonal import P, undo
+from metframe.operators.scan import MAP, P, entering, undo_from, undone, width
 from metframe.operators.series import POS
 from metframe.operators.skew import lookup_join
 from metframe.session import cut_lineage
@@ -41,15 +41,14 @@ class Kind:
     lags: tuple[int, ...]      # lags whose products are summed
     y_lags: tuple[int, ...]    # lags of the values that one difference needs
     limit: float
-    run_in: int                # limit ** (run_in / period) no longer matters
     points: int                # coarse grid points per coefficient
     seasonal: bool
     min_obs: int
 
 
-ARIMA = Kind(forecast.w_lag, (0, 1), (0, 1), forecast.LIMIT, 3_700, 41, False, forecast.MIN_OBS)
+ARIMA = Kind(forecast.w_lag, (0, 1), (0, 1), forecast.LIMIT, 41, False, forecast.MIN_OBS)
 SARIMA = Kind(
-    seasonal.w_lag, (0, 1, P, P + 1), (0, 1, P, P + 1), seasonal.LIMIT, seasonal.TAIL, 13, True, seasonal.MIN_OBS,
+    seasonal.w_lag, (0, 1, P, P + 1), (0, 1, P, P + 1), seasonal.LIMIT, 13, True, seasonal.MIN_OBS,
 )
 
 
@@ -61,23 +60,46 @@ def axis(limit: float, points: int, level: int, centre: float | None) -> list[fl
     return list(np.unique(np.clip(centre + np.arange(-2, 3) * step, -limit, limit)))
 
 
-def pack(rows: SeriesRows, kind: Kind, block: int = BLOCK) -> DataFrame:
-    """One row per series and block of its train part: values in time order, and how many at the
-    head are the run-in. A block holds at most ``block + run_in`` values."""
+def pack(rows: SeriesRows, kind: Kind, block: int) -> DataFrame:
+    """One row per series and block of at most ``block`` values of its train part, in time order; ``many`` tells
+    that the series may have more than one block."""
     values = rows.with_lags(kind.y_lags).where(F.col(POS) <= F.col("n_train")).select(
-        *rows.series, POS, kind.difference(0).alias("w")
+        *rows.series, POS, "n_train", kind.difference(0).alias("w")
     ).dropna(subset=["w"])
-    own = F.floor((F.col(POS) - 1) / block).cast("long")
-    reach = min(kind.run_in, block)
-    at_end = (F.col(POS) - 1) % block >= block - reach
-    dealt = values.withColumn("_b", F.explode(F.when(at_end, F.array(own, own + 1)).otherwise(F.array(own))))
-    packed = dealt.groupBy(*rows.series, "_b").agg(
-        F.sort_array(F.collect_list(F.struct(POS, "w"))).alias("_v"),
-        F.count_if(own < F.col("_b")).alias("skip"),
-    )
-    return packed.where(F.size("_v") > F.col("skip")).select(
-        *rows.series, "_b", "skip", F.col("_v.w").alias("w")
-    )
+    packed = values.groupBy(*rows.series, F.floor((F.col(POS) - 1) / block).cast("long").alias("_b")).agg(
+        F.sort_array(F.collect_list(F.struct(POS, "w"))).alias("_v"), (F.max("n_train") > block).alias("many"))
+    return packed.select(*rows.series, "_b", "many", F.col("_v.w").alias("w"))
+
+
+def grid(kind: tuple[float, int, bool], level: int, centre: tuple) -> list[tuple[float, list[float]]]:
+    """Each value of theta to try with its values of the seasonal theta."""
+    limit, points, is_seasonal = kind
+    outer = axis(limit, points, level, centre[1]) if is_seasonal else [0.0]
+    return [(float(theta), [float(s) for s in outer]) for theta in axis(limit, points, level, centre[0])]
+
+
+def with_states(work: DataFrame, series: Sequence[str], kind: Kind, level: int) -> DataFrame:
+    """The blocks with the number of values ``before`` them and the ``state`` of every grid point there."""
+    own = (kind.limit, kind.points, kind.seasonal)
+    schema = T.StructType([*[work.schema[k] for k in series], *MAP])
+    names, columns, seasonal_too = list(series), schema.fieldNames(), kind.seasonal
+
+    def maps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                values, zero = np.asarray(row["w"], dtype=float), np.zeros(width(seasonal_too))
+                points, states = [], []
+                for theta, outer in grid(own, level, (row.get("theta"), row.get("seasonal_theta"))):
+                    inner = undo_from(values, theta, 0.0)
+                    for stheta in outer:
+                        points += [theta, stheta]
+                        states.append(undone(values, theta, stheta, zero, inner)[1])
+                out.append((*[row[k] for k in names], row["_b"], len(values), points, np.concatenate(states)))
+            yield pd.DataFrame(out, columns=columns)
+
+    states = cut_lineage(entering(cut_lineage(work.mapInPandas(maps, schema)), series, kind.seasonal))
+    return lookup_join(work, states, [*series, "_b"])
 
 
 def grid_sums(blocks: DataFrame, series: Sequence[str], kind: Kind, level: int) -> DataFrame:
@@ -89,30 +111,32 @@ def grid_sums(blocks: DataFrame, series: Sequence[str], kind: Kind, level: int)
         *[T.StructField(n, T.DoubleType()) for n in names],
     ])
     # Plain values only: what the function below holds is sent to the workers.
-    lags, limit, points, is_seasonal = kind.lags, kind.limit, kind.points, kind.seasonal
+    lags, own, is_seasonal = kind.lags, (kind.limit, kind.points, kind.seasonal), kind.seasonal
     reach, names_of_key, columns = max(lags), list(series), schema.fieldNames()
     at = [(lags.index(a), lags.index(b)) for a, b in pairs]
 
-    def block_sums(values: np.ndarray, skip: int, centre: tuple) -> Iterator[tuple]:
-        first = max(skip, reach)
-        n = len(values) - first
+    def block_sums(values: np.ndarray, before: int, states: np.ndarray | None, centre: tuple) -> Iterator[tuple]:
+        first = max(0, reach - before)  # values in front of which the series has not all lags
+        n, nth, zero = len(values) - first, 0, np.zeros(width(is_seasonal))
         if n <= 0:
             return
-        for theta in axis(limit, points, level, centre[0]):
-            inner = undo(values, theta, 1)
-            for stheta in axis(limit, points, level, centre[1]) if is_seasonal else [0.0]:
-                u = undo(inner, stheta, P) if is_seasonal else inner
-                lagged = np.stack([u[first - k:len(u) - k] for k in lags])
+        for theta, outer in grid(own, level, centre):
+            inner = undo_from(values, theta, 0.0 if states is None else states[nth, 0])
+            for stheta in outer:
+                u, _ = undone(values, theta, stheta, zero if states is None else states[nth], inner)
+                nth += 1
+                lagged = np.stack([u[reach + first - k:len(u) - k] for k in lags])
                 gram = lagged @ lagged.T
-                yield (float(theta), float(stheta), n, *[float(gram[i, j]) for i, j in at])
+                yield (theta, stheta, n, *[float(gram[i, j]) for i, j in at])
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.to_dict("records"):
                 key = tuple(row[k] for k in names_of_key)
                 centre = (row.get("theta"), row.get("seasonal_theta"))
+                states = None if row["state"] is None else np.reshape(row["state"], (-1, width(is_seasonal)))
                 values = np.asarray(row["w"], dtype=float)
-                found = [(*key, *s) for s in block_sums(values, int(row["skip"]), centre)]
+                found = [(*key, *s) for s in block_sums(values, 0 if states is None else int(row["before"]), states, centre)]
                 yield pd.DataFrame(found, columns=columns)
 
     per_block = blocks.mapInPandas(sums, schema)
@@ -163,16 +187,21 @@ def solve_sarima(sums: DataFrame, kind: Kind) -> DataFrame:
     return sums.withColumn("_s", solved(*names)).select("*", "_s.*").drop("_s")
 
 
-def fit_css(rows: SeriesRows, kind: Kind, block: int = BLOCK, levels: int = LEVELS) -> DataFrame:
+def fit_css(rows: SeriesRows, kind: Kind, block: int | None = None, levels: int = LEVELS) -> DataFrame:
     """Coefficients of every series that is long enough and not constant."""
     series = rows.series
-    blocks = cut_lineage(pack(rows, kind, block))
+    blocks = cut_lineage(pack(rows, kind, block or BLOCK))
+    any_many = not blocks.where("many").isEmpty()
+    fresh = {"before": F.lit(None).cast("long"), "state": F.lit(None).cast("array<double>")}
     best = None
     for level in range(levels):
         work = blocks
         if best is not None:
             work = lookup_join(blocks, best.select(*series, *CENTRE.fieldNames()), series)
-        sums = grid_sums(work, series, kind, level)
+        ready = work.withColumns(fresh)
+        if any_many:
+            ready = work.where("not many").withColumns(fresh).unionByName(with_states(work.where("many"), series, kind, level))
+        sums = grid_sums(ready, series, kind, level)
         solved = solve_sarima(sums, kind) if kind.seasonal else solve_arima(sums, kind)
         usable = solved.where((F.col("n") >= kind.min_obs) & (F.col("s_0_0") > 0) & F.col("sse").isNotNull())
         coefs = F.struct("phi", "theta", "seasonal_phi", "seasonal_theta", "sse", "n")

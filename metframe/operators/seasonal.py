@@ -1,8 +1,8 @@
 """SARIMA(1,1,1)(1,1,1,12) for many series at once.
 
 Spark collects per series the sums of products of the twice-differenced values at the lags the
-two regressions need (one aggregate), keeps the bounded end of each train part from which the state
-follows, and deals the held-out rows out in blocks of steps. Numpy solves the small systems of many
+two regressions need (one aggregate), gets the state at the end of each train part from its blocks, whose maps are
+composed (``scan``), and deals the held-out rows out in blocks of steps. Numpy solves the small systems of many
 series at once and gets all steps of a block from a few products of the step matrix; a jump to the
 start of a block is a power of it, so a long horizon is no sequence of tasks.
 """
@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metframe import schemas
 from metframe.operators.forecast import SeriesRows, lag_col
+from metframe.operators.scan import MAP, behind, undone, width
 from metframe.operators.series import POS
+from metframe.operators.skew import lookup_join
 from metframe.session import cut_lineage
 
 P = schemas.SEASON
@@ -25,10 +27,10 @@ LAGS = [0, 1, 2, P, P + 1, P + 2, 2 * P, 2 * P + 1, 2 * P + 2]
 Y_LAGS = sorted({k + j for k in LAGS for j in (0, 1, P, P + 1)})
 LIMIT = 0.95
 MIN_OBS = 3 * P
-# 0.95 ** (TAIL / 12) < 1e-16: what lies further back no longer reaches the state.
-TAIL = 8_640
-BLOCK = 4_096
+BLOCK = 4_096      # held-out steps a task scores
+PACKED = 65_536    # train values a task undoes
 DEPTH = P + 1  # values of y, w and e the state keeps
+LEAD = 2 * DEPTH  # values in front of a residual that its lags reach
 COEFS = ["phi", "theta", "seasonal_phi", "seasonal_theta"]
 
 
@@ -93,15 +95,6 @@ def fit_sarima(long: DataFrame, series: Sequence[str]) -> DataFrame:
     )
 
 
-def undo(x: np.ndarray, coef: float, step: int) -> np.ndarray:
-    """y with y[t] + coef * y[t - step] = x[t], by doubling: 1/(1+q) = (1-q)(1+q^2)(1+q^4)..."""
-    y, factor, lag = x.astype(float), -coef, step
-    while lag < len(y) and abs(factor) > 1e-18:
-        y[lag:] += factor * y[:-lag]
-        factor, lag = factor * factor, lag * 2
-    return y
-
-
 def step_matrix(phi: float, theta: float, sphi: float, stheta: float) -> np.ndarray:
     """One step of the state (y[t..t-12], w[t..t-12], e[t..t-12]) with no new shock."""
     d = DEPTH
@@ -119,48 +112,69 @@ def step_matrix(phi: float, theta: float, sphi: float, stheta: float) -> np.ndar
     return m
 
 
+def last_ones(values: np.ndarray) -> np.ndarray:
+    """The last ``DEPTH`` values, newest first; zeros where there are none."""
+    return np.concatenate([np.zeros(DEPTH), values])[:-DEPTH - 1:-1]
+
+
+def block_map(values: np.ndarray, phi: float, theta: float, sphi: float, stheta: float) -> tuple[int, np.ndarray, np.ndarray]:
+    """From values in time order, the first ``LEAD`` of which only serve as lags: how many residuals there are, the state
+    they give from zeros, and the last values of y and w."""
+    y = values[~np.isnan(values)]
+    d = np.diff(y)
+    w = d[P:] - d[:-P]
+    z = w[P + 1:] - phi * w[P:-1] - sphi * w[1:-P] + phi * sphi * w[:-P - 1]
+    state = undone(z, theta, stheta, np.zeros(width(True)))[1] if len(z) else np.zeros(width(True))
+    return len(z), state, np.concatenate([last_ones(y), last_ones(w)])
+
+
 def state_of(values: np.ndarray, phi: float, theta: float, sphi: float, stheta: float) -> np.ndarray | None:
-    """State at the end of a train tail in time order; residuals before it count as zero."""
+    """State at the end of a whole series; residuals before it count as zero."""
     y = np.asarray(values, dtype=float)
-    y = y[~np.isnan(y)]
-    if len(y) < 3 * DEPTH:
+    if np.count_nonzero(~np.isnan(y)) < 3 * DEPTH:
         return None
-    w = np.diff(y)[P:] - np.diff(y)[:-P]
-    z = w[P + 1:] - phi * w[P:-1] - sphi * w[1:-P] + phi * sphi * w[:-P - 1]
-    e = np.concatenate([np.zeros(DEPTH), undo(undo(z, theta, 1), stheta, P)])
-    return np.concatenate([y[-DEPTH:][::-1], w[-DEPTH:][::-1], e[-DEPTH:][::-1]])
+    _, state, last = block_map(y, phi, theta, sphi, stheta)
+    return np.concatenate([last, state[1:]])
 
 
-def end_state(long: DataFrame, coefs: DataFrame, series: Sequence[str]) -> DataFrame:
-    """State of each series at the end of its train part, from its last ``TAIL`` rows.
+def end_state(long: DataFrame, coefs: DataFrame, series: Sequence[str], block: int | None = None) -> DataFrame:
+    """State of each series at the end of its train part.
 
-    The positions are known, so the tail is a filter and a group in Python is bounded.
+    The rows are packed into blocks, each with the few values in front of it that its lags need; every block gives
+    its map of the residuals' state, and the maps of a series are composed.
     """
-    tail = long.where(
-        (F.col(POS) <= F.col("n_train")) & (F.col(POS) > F.col("n_train") - TAIL)
-    ).select(*series, "time", "y", POS, "n_train")
-    schema = T.StructType([
-        *[long.schema[k] for k in series], T.StructField("n_train", T.LongType()),
-        T.StructField("last_time", long.schema["time"].dataType),
-        *[T.StructField(c, T.DoubleType()) for c in COEFS],
-        T.StructField("state", T.ArrayType(T.DoubleType())),
-    ])
-
-    columns = schema.fieldNames()
-
-    def states(key: tuple, rows: pd.DataFrame, fit: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or fit.empty:
-            return pd.DataFrame(columns=columns)
-        rows = rows.sort_values(POS)
-        c = [float(fit[name].iloc[0]) for name in COEFS]
-        state = state_of(rows["y"].to_numpy(), *c)
-        if state is None:
-            return pd.DataFrame(columns=columns)
-        return pd.DataFrame(
-            [(*key, int(rows["n_train"].iloc[0]), rows["time"].iloc[-1], *c, state)], columns=columns
-        )
-
-    return tail.groupBy(*series).cogroup(coefs.groupBy(*series)).applyInPandas(states, schema)
+    size = max(block or PACKED, LEAD)
+    own = F.expr(f"({POS} - 1) div {size}")
+    at_end = (F.col(POS) - 1) % size >= size - LEAD
+    rows = long.where((F.col(POS) <= F.col("n_train")) & F.col("y").isNotNull()).withColumn("_own", own)
+    dealt = rows.withColumn("_b", F.explode(F.when(at_end, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    mine = F.col("_own") == F.col("_b")
+    packed = dealt.groupBy(*series, "_b").agg(
+        F.sort_array(F.collect_list(F.struct(POS, "y"))).alias("_v"), F.count_if(mine).alias("_n"),
+        F.max("n_train").alias("n_train"), F.max(F.when(mine, F.col("time"))).alias("_time"),
+    ).where("_n > 0").select(*series, "_b", "_n", "n_train", "_time", F.col("_v.y").alias("y"))
+    joined = lookup_join(packed, coefs.select(*series, *COEFS), series)
+    extra = [
+        T.StructField("_n", T.LongType()), T.StructField("n_train", T.LongType()), T.StructField("_time", long.schema["time"].dataType),
+        T.StructField("_last", T.ArrayType(T.DoubleType())), *[T.StructField(c, T.DoubleType()) for c in COEFS],
+    ]
+    schema = T.StructType([*[long.schema[k] for k in series], *MAP, *extra])
+    names, columns = list(series), schema.fieldNames()
+
+    def maps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                c = [float(row[name]) for name in COEFS]
+                n, state, last = block_map(np.asarray(row["y"], dtype=float), *c)
+                out.append((*[row[k] for k in names], row["_b"], n, [c[1], c[3]], state, row["_n"], row["n_train"], row["_time"], last, *c))
+            yield pd.DataFrame(out, columns=columns)
+
+    blocks = cut_lineage(joined.mapInPandas(maps, schema))
+    newest = F.max_by(F.struct("n_train", F.col("_time").alias("last_time"), *COEFS, "_last"), "_b")
+    ends = blocks.groupBy(*series).agg(newest.alias("_e"), F.sum("_n").alias("_n")).where(F.col("_n") >= 3 * DEPTH)
+    return ends.join(behind(blocks.select(*series, *[f.name for f in MAP]), series, True), list(series)).select(
+        *series, "_e.n_train", "_e.last_time", *[f"_e.{c}" for c in COEFS], F.concat("_e._last", F.slice("c", 2, DEPTH)).alias("state"))
 
 
 def jump(state: np.ndarray, matrix: np.ndarray, steps: int) -> np.ndarray:

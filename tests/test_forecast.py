@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metframe import schemas
-from metframe.operators import forecast as fc, refine, seasonal
+from metframe.operators import forecast as fc, refine, scan, seasonal
 from tests.compare import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -26,7 +26,7 @@ def simulate(n, phi, theta, seed, seasonal_part=False):
 
 def history(spark, series, extra=None):
     data = [
-        (city, T0 + dt.timedelta(minutes=10 * i), *[float(v) for v in values])
+        (city, T0 + dt.timedelta(minutes=10 * i), *[None if v is None else float(v) for v in values])
         for city, columns in series.items() for i, values in enumerate(zip(*columns))
     ]
     names = ["temp", "humidity"][: len(next(iter(series.values())))]
@@ -207,7 +207,7 @@ def test_undo_is_the_recursion():
         y = x.copy()
         for t in range(step, 200):
             y[t] -= coef * y[t - step]
-        assert np.allclose(seasonal.undo(x, coef, step), y)
+        assert np.allclose(scan.undo(x, coef, step), y)
 
 
 def seasonal_recursion(y, phi, theta, sphi, stheta, steps):
@@ -273,7 +273,7 @@ def test_sarima_fit_finds_a_seasonal_process(spark):
 
 
 def brute_css(w, theta):
-    u = seasonal.undo(w, theta, 1)
+    u = scan.undo(w, theta, 1)
     phi = np.clip(u[1:] @ u[:-1] / (u[:-1] @ u[:-1]), -0.99, 0.99)
     r = u[1:] - phi * u[:-1]
     return float(r @ r), phi
@@ -284,10 +284,7 @@ def test_css_arima(spark, block):
     y = simulate(1_000, 0.6, -0.4, 31)
     rows_ = fc.series_rows(history(spark, {"A": (y,), "flat": (np.full(40, 1.0),), "two": ([1.0, 2.0],)}),
                            ["city_name"], "time", ["temp"], share=0.0)
-    kind = refine.ARIMA if block > 1_000 else refine.Kind(
-        **{**refine.ARIMA.__dict__, "run_in": 150}
-    )
-    got = {r["city_name"]: r for r in refine.fit_css(rows_, kind, block).collect()}
+    got = {r["city_name"]: r for r in refine.fit_css(rows_, refine.ARIMA, block).collect()}
     assert set(got) == {"A"}
     w = np.diff(y)
     best = min((brute_css(w, t)[0], t) for t in np.linspace(-0.99, 0.99, 2_001))
@@ -297,13 +294,68 @@ def test_css_arima(spark, block):
     assert got["A"]["n"] == 998
 
 
-def test_css_blocks_do_not_change_the_fit(spark):
-    ys = {"A": (simulate(700, 0.3, 0.5, 41),), "B": (simulate(90, 0.3, 0.5, 42),)}
+def assert_same_fit(cut, whole):
+    cut, whole = ({(r["city_name"], r["variable"]): r for r in f.collect()} for f in (cut, whole))
+    assert set(cut) == set(whole) and cut
+    for key, r in cut.items():
+        for c in ("phi", "theta", "seasonal_phi", "seasonal_theta", "n"):
+            assert math.isclose(r[c], whole[key][c], rel_tol=1e-7, abs_tol=1e-7), (key, c)
+        assert math.isclose(r["sse"], whole[key]["sse"], rel_tol=1e-8)
+
+
+@pytest.mark.parametrize("kind", [refine.ARIMA, refine.SARIMA], ids=["arima", "sarima"])
+@pytest.mark.parametrize("block", [7, 64])
+def test_css_blocks_do_not_change_the_fit(spark, kind, block, monkeypatch):
+    """With groups of three blocks, so the scan goes through several rounds."""
+    monkeypatch.setattr(scan, "FAN", 3)
+    ys = {"A": (simulate(700, 0.3, 0.5, 41),), "B": (simulate(90, 0.3, 0.5, 42),), "gap": ([None] * 70 + list(simulate(90, 0.3, 0.5, 43)),)}
     rows_ = fc.series_rows(history(spark, ys), ["city_name"], "time", ["temp"])
-    kind = refine.Kind(**{**refine.ARIMA.__dict__, "limit": 0.6, "run_in": 80})
-    cut = rows(refine.fit_css(rows_, kind, 100).select("city_name", F.round("theta", 6), F.round("phi", 6)), "city_name")
-    whole = rows(refine.fit_css(rows_, kind).select("city_name", F.round("theta", 6), F.round("phi", 6)), "city_name")
-    assert cut == whole
+    assert_same_fit(refine.fit_css(rows_, kind, block, 2), refine.fit_css(rows_, kind, levels=2))
+
+
+def near_unit_root(n, seed=61, theta=0.9, stheta=-0.95):
+    rng = np.random.default_rng(seed)
+    e = rng.normal(size=n + 13)
+    w = e[13:] + theta * e[12:-1] + stheta * e[1:-12] + theta * stheta * e[:-13]
+    y = list(rng.normal(size=13))
+    for x in w:
+        y.append(x + y[-1] + y[-12] - y[-13])
+    return np.array(y)
+
+
+def test_a_long_seasonal_series_near_the_unit_root_is_exact(spark):
+    """What lies 9,000 rows back still counts; blocks of 64 give what one pass gives."""
+    y = near_unit_root(9_500)
+    rows_ = fc.series_rows(history(spark, {"A": (y,)}), ["city_name"], "time", ["temp"], share=0.0)
+    assert_same_fit(refine.fit_css(rows_, refine.SARIMA, 64, 1), refine.fit_css(rows_, refine.SARIMA, levels=1))
+    c = (0.2, 0.9, 0.1, -0.95)
+    coefs = spark.createDataFrame(
+        [("A", "temp", *c)], "city_name string, variable string, phi double, theta double, seasonal_phi double, seasonal_theta double")
+    plain = rows_.with_lags([])
+    whole, want = (seasonal.end_state(plain, coefs, rows_.series, b).first()["state"] for b in (64, None)), seasonal.state_of(y, *c)
+    for state in whole:
+        assert np.allclose(state, want, rtol=1e-8, atol=1e-8)
+    residuals, e = [], np.zeros(13)
+    w = np.diff(y)[12:] - np.diff(y)[:-12]
+    for t in range(13, len(w)):
+        new = w[t] - c[0] * w[t - 1] - c[2] * w[t - 12] + c[0] * c[2] * w[t - 13] - c[1] * e[0] - c[3] * e[11] - c[1] * c[3] * e[12]
+        e = np.concatenate([[new], e[:-1]])
+    assert np.allclose(want[26:], e, rtol=1e-7, atol=1e-7)
+
+
+@pytest.mark.parametrize("block", [3, 26, 40, 1000])
+def test_end_states_of_blocks(spark, block, monkeypatch):
+    monkeypatch.setattr(scan, "FAN", 2)
+    ys = {"A": (simulate(240, 0.3, 0.2, 12, True),), "gap": ([None] * 33 + list(simulate(100, 0.3, 0.2, 14, True)),), "tiny": (simulate(30, 0.1, 0.1, 13),)}
+    rows_ = fc.series_rows(history(spark, ys), ["city_name"], "time", ["temp"], share=0.0)
+    c = (0.3, 0.8, 0.2, -0.9)
+    coefs = spark.createDataFrame(
+        [(k, "temp", *c) for k in ys], "city_name string, variable string, phi double, theta double, seasonal_phi double, seasonal_theta double")
+    got = {r["city_name"]: r for r in seasonal.end_state(rows_.with_lags([]), coefs, rows_.series, block).collect()}
+    assert set(got) == {"A", "gap"}
+    for key, r in got.items():
+        assert np.allclose(r["state"], seasonal.state_of(np.array(ys[key][0], float), *c), rtol=1e-8, atol=1e-8)
+        assert r["n_train"] == len(ys[key][0])
 
 
 def test_css_sarima(spark):

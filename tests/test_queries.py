@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from metframe.operators import refine, seasonal
 from tests.compare import of_spark, table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -37,5 +38,13 @@ def test_query(spark, duck, name):
     assert got == table([d[0] for d in cursor.description], cursor.fetchall())
 
 
+@pytest.mark.parametrize("name", ["arima_css", "sarima_css", "sarima_models", "train_models"])
+def test_fits_of_blocks(spark, duck, name, monkeypatch):
+    """The same SQL with every series cut into blocks of 64 values."""
+    monkeypatch.setattr(refine, "BLOCK", 64)
+    monkeypatch.setattr(seasonal, "PACKED", 64)
+    test_query(spark, duck, name)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
