@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from metframe.operators import series
 from metframe.operators.skew import count_not_after, find_cuts, hot_keys, lookup_join, series_layout
-from metframe.operators.stations import label_by_position, missing_keys, nearest_station, only_keys
+from metframe.operators.stations import label_by_position, missing_keys, nearest_by_cells, nearest_station, only_keys
 from tests.compare import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -205,3 +205,31 @@ def test_nearest_station(spark, inline):
     want = brute_nearest(spots, sites)
     assert {i: n for i, (_, n) in got.items()} == {i: n for i, (_, n) in want.items()}
     assert all(math.isclose(got[i][0], want[i][0], abs_tol=1e-6) for i in want)
+
+
+def test_a_spot_meets_few_of_many_stations(spark):
+    """10,000 stations in crowds, copies among them; spots in the crowds, between them and on the other side of the globe."""
+    rng = np.random.default_rng(9)
+    crowds = [(48.0, 2.0, 0.2), (31.0, -7.0, 4.0), (-33.0, 151.0, 0.001), (0.0, 179.99, 0.05)]
+    sites = []
+    for i in range(10_000):
+        lat, lon, wide = crowds[i % 4]
+        sites.append((f"s{i:05d}", float(lat + rng.normal() * wide), float(lon + rng.normal() * wide)))
+    sites += [("a copy", *sites[17][1:]), ("z copy", *sites[18][1:])]
+    spots = [(float(rng.uniform(-90, 90)), float(rng.uniform(-180, 180))) for _ in range(60)]
+    spots += [(float(rng.normal(48, 0.3)), float(rng.normal(2, 0.3))) for _ in range(60)]
+    spots += [sites[17][1:], sites[18][1:], (-48.0, -178.0), (90.0, 0.0), (-90.0, 0.0), (0.0, -179.99), (33.0, -29.0)]
+    frame = spark.createDataFrame(spots, "_lat double, _lon double")
+    listed = spark.createDataFrame(sites, "_name string, _slat double, _slon double")
+    got = {(r["_lat"], r["_lon"]): r for r in nearest_by_cells(frame, listed).collect()}
+    assert len(got) == len(spots)
+    lat, lon = (np.radians([q[k] for q in sites]) for k in (1, 2))
+    for spot, r in got.items():
+        a, o = map(math.radians, spot)
+        h = np.sin((lat - a) / 2) ** 2 + np.cos(a) * np.cos(lat) * np.sin((lon - o) / 2) ** 2
+        km = 2 * 6371.0088 * np.arcsin(np.sqrt(np.minimum(h, 1)))
+        assert math.isclose(r["_km"], km.min(), abs_tol=1e-5)
+        assert r["_name"] in {sites[i][0] for i in np.flatnonzero(km <= km.min() + 1e-5)}
+        assert r["_pairs"] < 1_000
+    assert got[sites[17][1:]]["_name"] == "a copy" and got[sites[18][1:]]["_name"] == "s00018"
+    assert sum(r["_pairs"] for r in got.values()) < 200 * len(got)
