@@ -246,19 +246,25 @@ def csv_snapshot(spark, sf):
 
 
 @query("csv_predictions", f"""
-with {EV}
+with {EV}, sent as (
+  select user_id, event_type, ts, case when event_type <> 'view' then value end as value, case when event_type <> 'click' then ts end as made from ev)
 select 'S' || user_id as city_name, event_type as variable, {text("min_by(ts, ts)")} as time,
-       {r('min_by(value, ts)')} as predicted_value, {text("min(ts) + interval 10 minute")} as time_of_prediction
-from ev group by user_id, event_type""")
+       {r('min_by(value, ts) filter (value is not null)')} as predicted_value, {text("min(made) + interval 10 minute")} as time_of_prediction
+from sent group by user_id, event_type""")
 def csv_predictions(spark, sf):
-    """All part files of a prediction folder in one scan, first per city and variable."""
-    path = scratch_path(spark, "predictions")
-    ev = views.events(spark, sf)
-    writers.write_csv(ev.select(
+    """All part files of a prediction folder by the header of each, first per city and variable. The parts of
+    purchases have their columns in another order and one more, those of views no value, those of clicks no time of prediction."""
+    path, ev = scratch_path(spark, "predictions"), views.events(spark, sf)
+    rows = ev.select(
         F.col("station").alias("city_name"), F.col("ts").alias("time"), F.col("event_type").alias("variable"),
-        F.col("value").alias("predicted_value"),
-        (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("time_of_prediction"),
-    ), path)
+        F.col("value").alias("predicted_value"), (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("time_of_prediction"))
+    kind = F.col("variable")
+    writers.write_csv(rows.where(~kind.isin("purchase", "view", "click")), path)
+    for part in (
+        rows.where(kind == "purchase").select("variable", "time_of_prediction", F.lit('a "name", quoted').alias("note"), "predicted_value", "time", "city_name"),
+        rows.where(kind == "view").drop("predicted_value"), rows.where(kind == "click").select("predicted_value", "variable", "city_name", "time"),
+    ):
+        part.write.mode("append").option("header", True).csv(path)
     good, _ = readers.read_predictions(spark, path)
     first = readers.first_predictions(good)
     return rounded(
@@ -385,22 +391,29 @@ def quarantine(spark, sf):
 
 
 @query("corrupt_csv", """
-select count(*) filter (where event_type <> 'error') as n_good,
-       count(*) filter (where event_type = 'error') as n_bad,
-       round(sum(value) filter (where event_type <> 'error'), 2) as total from events""")
+select count(*) filter (where event_type not in ('error', 'view')) as n_good,
+       count(*) filter (where event_type = 'error') as n_bad, 2::bigint as n_unread,
+       round(sum(value) filter (where event_type not in ('error', 'view')), 2) as total from events""")
 def corrupt_csv(spark, sf):
-    """Lines that do not parse and a part that is no readable file do not stop the scan."""
-    path = scratch_path(spark, "parts")
-    ev = views.events(spark, sf)
+    """Lines that do not parse, a part that is no text, one without the key columns (the views) and an empty one do
+    not stop the scan; the first two are listed."""
+    path, ev = scratch_path(spark, "parts"), views.events(spark, sf)
     is_bad = F.col("event_type") == "error"
-    ev.select(
+    ev.where("event_type <> 'view'").select(
         F.col("station").alias("city_name"), F.col("ts").alias("time"), F.col("event_type").alias("variable"),
         F.when(is_bad, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("predicted_value"),
         F.col("ts").alias("time_of_prediction"),
     ).write.option("header", True).csv(path)
+    ev.where("event_type = 'view'").select("station", "value").coalesce(1).write.mode("append").option("header", True).csv(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, content in (("broken.csv", bytes(range(128, 256)) * 9), ("empty.csv", b"")):
+        out = fs.create(hadoop(f"{path}/{name}"))
+        out.write(bytearray(content))
+        out.close()
     good, bad = readers.read_predictions(spark, path)
     return good.agg(F.count("*").alias("n_good"), F.round(F.sum("predicted_value"), 2).alias("total")).select(
-        "n_good", bad.agg(F.count("*")).scalar().alias("n_bad"), "total"
+        "n_good", bad.agg(F.count("*")).scalar().alias("n_bad"), readers.unread_parts(spark, path).agg(F.count("*")).scalar().alias("n_unread"), "total"
     )
 
 

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from metframe import schemas
-from metframe.operators.quality import CORRUPT
+from metframe.operators.quality import CORRUPT, conform
 from metframe.operators.series import first_per, top_n
+from metframe.operators.skew import lookup_join
 from metframe.operators.stations import only_keys
+from metframe.session import cut_lineage
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -59,26 +61,63 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType = schemas.
     return read_csv(spark, path, schema, schemas.OBSERVATION_KEY)
 
 
+PART_KEYS = ["city_name", "variable"]
+FILE = "_file"
+
+
+def part_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """(``_file``, ``_header``): the first line of each part as column names. Parts that cannot be read have none."""
+    first = _lines(spark, folder).where(F.col("_metadata.file_block_start") == 0).select(
+        "value", F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias("_nth"))
+    heads = first.groupBy(FILE).agg(F.min_by("value", "_nth").alias("_line"))
+    bare = F.regexp_replace(F.regexp_replace("_line", "^\ufeff", ""), '[\r"]', "")
+    return heads.select(FILE, "_line", F.transform(F.split(bare, ","), lambda c: F.lower(F.trim(c))).alias("_header"))
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv").text(folder)
+
+
+def has_keys(header: Column) -> Column:
+    return F.coalesce(F.forall(F.array(*map(F.lit, PART_KEYS)), lambda k: F.array_contains(header, k)), F.lit(False))
+
+
 def read_predictions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All ``*.csv`` parts of a prediction folder, and the lines that could not be read.
 
-    The header of the folder's files tells the order of the columns. A part file that is broken as a
-    whole is passed over. The lines are parsed as an expression, because the CSV scan does not answer
-    questions about its rejected lines alone.
+    Every part has its own header, which tells its columns, in any order; columns that a part lacks are null, others are
+    left out. A line with more or fewer fields than its header, or with a value of another type, could not be read.
+    Parts that are broken, or whose header lacks city or variable, are passed over; ``unread_parts`` lists them.
     """
-    parts = spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv")
-    header = parts.option("header", True).csv(folder).columns
-    wanted = {f.name: f for f in schemas.PREDICTIONS}
-    missing = [n for n in wanted if n not in header]
-    if missing:
-        raise ValueError(f"{folder} has no column {', '.join(missing)}")
-    ddl = ", ".join(f"`{c}` {wanted[c].dataType.simpleString() if c in wanted else 'string'}" for c in header)
-    lines = parts.text(folder).where(F.col("value") != ",".join(header))
-    rows = lines.select(
-        F.from_csv("value", f"{ddl}, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}).alias("r")
-    ).select("r.*")
-    good = rows.where(F.col(CORRUPT).isNull()).select(*wanted)
-    return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    heads = part_headers(spark, folder).where(has_keys(F.col("_header")))
+    heads = cut_lineage(heads)
+    most = heads.agg(F.max(F.size("_header"))).first()[0] or 1
+    lines = _lines(spark, folder).select("value", F.col("_metadata.file_path").alias(FILE))
+    lines = lookup_join(lines, heads, [FILE]).where(F.col("value") != F.col("_line"))
+    # Fields beyond the widest header must not be lost unseen, so they are counted in the text.
+    bare = F.regexp_replace("value", r'"(?:[^"\\]|\\.|"")*"', "")
+    fits = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1 == F.size("_header")
+    named = ", ".join(f"_c{i} string" for i in range(most))
+    fields = F.from_csv("value", named)
+    rows = lines.withColumn("_f", F.array(*[fields[f"_c{i}"] for i in range(most)])).withColumn("_fits", fits)
+    texts = {f.name: F.get("_f", F.array_position("_header", f.name).cast("int") - 1) for f in schemas.PREDICTIONS}
+    rows = rows.select("value", "_fits", *[
+        F.when(F.array_contains("_header", n), c).alias(n) for n, c in texts.items()
+    ])
+    good, lost = conform(rows.where("_fits").select("value", *texts), T.StructType([T.StructField("value", T.StringType()), *schemas.PREDICTIONS]))
+    bad = rows.where("not _fits").select(F.col("value").alias(CORRUPT)).union(lost.select("value"))
+    return good.drop("value"), bad
+
+
+def unread_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """(``part``, ``bytes``, ``reason``) of the ``*.csv`` parts that ``read_predictions`` passes over. Only their names
+    and sizes are listed, their content is not read as a whole; empty parts have nothing to pass over."""
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path", "length")
+    heads = part_headers(spark, folder)
+    reason = F.when(F.col("_header").isNull(), "unreadable").when(~has_keys(F.col("_header")), "other columns")
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    found = parts.withColumn(FILE, plain).join(heads.withColumn(FILE, F.regexp_replace(F.url_decode(FILE), "^file:/+", "/")), FILE, "left")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("part"), F.col("length").alias("bytes"), reason.alias("reason")).dropna(subset=["reason"])
 
 
 def first_predictions(predictions: DataFrame) -> DataFrame:

@@ -136,6 +136,24 @@ def test_predictions_folder(spark, folder):
     assert first == {"temp": 2.5, "humidity": 50.0}
 
 
+def test_prediction_parts_have_headers_of_their_own(spark, folder):
+    Path(folder("p")).mkdir()
+    part = lambda name, text: Path(folder("p"), name).write_bytes(text.encode() if isinstance(text, str) else text)
+    part("1.csv", "city_name,time,variable,predicted_value,time_of_prediction\nX,2024-01-01,temp,1.5,2024-01-02\n")
+    part("2.csv", "variable,time,city_name,time_of_prediction,predicted_value\ntemp,2024-01-01,Y,2024-01-02,2.5\n")
+    part("3.csv", '\ufeffnote,"Variable",city_name , predicted_value\r\n"a, ""b""",temp,Z,3.5\r\nshort,temp,Z\r\nlong,temp,Z,1,2,3,4,5\r\n')
+    part("4.csv", "city_name,variable\nQ,temp\nQ,temp,7\n")
+    part("other.csv", "a,b\n1,2\n")
+    part("empty.csv", "")
+    part("broken.csv", bytes(range(128, 256)))
+    good, bad = readers.read_predictions(spark, folder("p"))
+    assert rows(good.select("city_name", "variable", "predicted_value", "time"), "city_name") == [
+        ("Q", "temp", None, None), ("X", "temp", 1.5, T0), ("Y", "temp", 2.5, T0), ("Z", "temp", 3.5, None)]
+    assert sorted(r[0].strip() for r in bad.collect()) == ["Q,temp,7", "long,temp,Z,1,2,3,4,5", "short,temp,Z"]
+    parts = {r["part"]: (r["bytes"], r["reason"]) for r in readers.unread_parts(spark, folder("p")).collect()}
+    assert parts == {"other.csv": (8, "other columns"), "broken.csv": (128, "other columns")}
+
+
 def test_read_or_empty(spark, folder):
     schema = schemas.struct(a=schemas.L)
     assert readers.read_or_empty(spark, folder("none"), schema).collect() == []
