@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from metframe.llm.components import components
+from metframe.llm.components import became, components
 from metframe.llm.text import U64, corpus, fresh, keyed, meets, mix, pieces_of, row_key, same_row, shingle_hashes, small, without
 from metframe.session import cut_lineage
 
@@ -180,8 +180,12 @@ def near_classes(
     ))
     marks = nodes.select("set_id", F.posexplode("bands").alias("band", "mark"))
     shared = marks.groupBy("band", "mark").agg(F.count("*").alias("n"), F.min("set_id").alias("a")).where("n > 1")
-    groups = components(marks.join(shared, ["band", "mark"]).select("a", F.col("set_id").alias("b")))
-    members = nodes.join(groups.select(F.col("node").alias("set_id"), F.col("root").alias("group")), "set_id").select(
+    # A set goes to the first of those that lead its bands; only the leaders are linked with each other.
+    led = cut_lineage(marks.join(shared, ["band", "mark"]).groupBy("set_id").agg(F.collect_set("a").alias("leaders")))
+    led = led.select("set_id", F.array_min("leaders").alias("group"), "leaders")
+    leaders = components(led.select(F.col("group").alias("a"), F.explode("leaders").alias("b")))
+    groups = became(led.drop("leaders"), leaders, "group")
+    members = nodes.join(groups, "set_id").select(
         "at.doc_id", "at.row_key", "set_id", "n_grams", "copies", "group"
     )
     checked = cut_lineage(similar_sets(nodes, cut_lineage(members), base, words, similarity))
