@@ -8,7 +8,6 @@ whole, so agreement on both sides makes the result exact.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import itertools
 import json
@@ -23,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from metframe.llm.text import corpus, pieces_of
+from metframe.llm.text import Sent, corpus, pieces_of
 
 LEAF = 48  # symbols that are encoded in one go; longer words go through the tree
 WINDOW = 4  # tokens on either side of a join that the first window takes
@@ -228,11 +227,15 @@ def normal(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-@functools.cache
+SPLITTERS = {}  # a cache that workers get with the code; functools.cache would be looked up by the package's name
+
+
 def splitters(specials: tuple[str, ...]):
-    marks = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-    # The same split for texts of blanks, ASCII and accented Latin letters alone, by the faster engine.
-    return regex.compile(SPLIT), re.compile(LATIN_SPLIT), re.compile(LATIN), re.compile(f"({marks})") if marks else None
+    if specials not in SPLITTERS:
+        marks = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
+        # The same split for texts of blanks, ASCII and accented Latin letters alone, by the faster engine.
+        SPLITTERS[specials] = regex.compile(SPLIT), re.compile(LATIN_SPLIT), re.compile(LATIN), re.compile(f"({marks})") if marks else None
+    return SPLITTERS[specials]
 
 
 def words_of(v: Vocabulary, text: str) -> list[str | int]:
@@ -316,7 +319,7 @@ def encoded(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
     A null or empty text has no tokens and decodes to an empty text. Each row is encoded for itself:
     null ids, repeated rows and other columns do not matter.
     """
-    v = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    v = Sent(docs.sparkSession, read_vocabulary(vocabulary))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return encoder(v.value, with_ids)(batches)

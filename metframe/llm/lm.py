@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, span_hashes, word_spans
+from metframe.llm.text import Sent, byte_codes, corpus, pieces_of, prefix_sums, span_hashes, word_spans
 from metframe.session import cut_lineage, scratch_path
 
 CLASSES = 192  # at least, with the end and the unseen
@@ -174,7 +174,7 @@ def clustered(training: DataFrame, own: Classes, clusters: int) -> DataFrame:
     spark = training.sparkSession
     first = len(own.words) + 2
     rng = np.random.default_rng(3)
-    sent = spark.sparkContext.broadcast((own, rng.choice([-1, 1], (2, first, SIDE))))
+    sent = Sent(spark, (own, rng.choice([-1, 1], (2, first, SIDE))))
     sums = training.mapInArrow(neighbours(sent), NEIGHBOURS).groupBy("word").agg(F.sum("n").alias("n"), *(F.sum(f).alias(f) for f in FEATURES))
     table = cut_lineage(sums)
     total = table.agg(F.sum("n"), *(F.sum(f) for f in FEATURES)).first()
@@ -312,7 +312,7 @@ def fitted(grams: DataFrame, n_classes: int, class_counts: np.ndarray, epochs: i
     dealt.sortWithinPartitions("lot", "code").write.partitionBy("lot").parquet(path)
 
     def of_lot(lot: int) -> list[np.ndarray]:
-        sent = spark.sparkContext.broadcast((model, unigram))
+        sent = Sent(spark, (model, unigram))
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             got = [(b["code"].to_numpy(), b["n"].to_numpy()) for b in batches]
@@ -336,7 +336,7 @@ NAMES = ["before", "after", "far", "near", "bias"]
 def tables_of(spark, model: LogBilinear) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The tables of the model, their sums made side by side."""
     far, near = model.sides()
-    sent = spark.sparkContext.broadcast((model, far, near))
+    sent = Sent(spark, (model, far, near))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, a, b = sent.value

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metframe.session import cut_lineage
 
@@ -16,6 +17,26 @@ BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _POWERS = {}
 
 
+class Sent:
+    """A value for the workers. It travels with the code of its classes, so workers need no copy of the package;
+    a plain broadcast would look the classes up there by name."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.data, self.loaded = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data, "loaded": None}
+
+    @property
+    def value(self) -> object:
+        if self.loaded is None:
+            self.loaded = cloudpickle.loads(self.data.value)
+        return self.loaded
+
+    def unpersist(self) -> None:
+        self.data.unpersist()
+
+
 def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, a null text as an empty one. Other columns of any name are left out."""
     return docs.select(

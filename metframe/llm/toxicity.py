@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metframe.llm.text import byte_codes, corpus, pieces_of, prefix_sums, span_hashes
+from metframe.llm.text import Sent, byte_codes, corpus, pieces_of, prefix_sums, span_hashes
 from metframe.session import cut_lineage
 
 TRAIN_ROWS = 10_000  # labelled documents that are learned from, at most, chosen by a hash of their id
@@ -269,6 +269,6 @@ def scored(
     rows = training.mapInArrow(feature_rows(voters), "doc_id long, mark long, votes array<int>, words array<int>").toPandas().sort_values("doc_id")
     model = Model(
         voters, [np.asarray(v, np.int64) for v in rows["votes"]], [np.asarray(w, np.int64) for w in rows["words"]], rows["mark"].to_numpy(np.int64))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(docs.sparkSession, model)
     scores = base.mapInArrow(scorer(sent), "doc_id long, score double")
     return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
