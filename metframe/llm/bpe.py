@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from metframe.llm.text import Sent, corpus, pieces_of
+from metframe.llm.text import corpus, pieces_of
 
 LEAF = 48  # symbols that are encoded in one go; longer words go through the tree
 WINDOW = 4  # tokens on either side of a join that the first window takes
@@ -319,10 +319,11 @@ def encoded(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
     A null or empty text has no tokens and decodes to an empty text. Each row is encoded for itself:
     null ids, repeated rows and other columns do not matter.
     """
-    v = Sent(docs.sparkSession, read_vocabulary(vocabulary))
+    # As plain values, which a worker keeps for all its tasks.
+    v = docs.sparkSession.sparkContext.broadcast(tuple(vars(read_vocabulary(vocabulary)).values()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return encoder(v.value, with_ids)(batches)
+        return encoder(Vocabulary(*v.value), with_ids)(batches)
 
     return corpus(docs, doc_id, text).mapInArrow(encode, DIGESTS + (", ids array<int>, decoded string" if with_ids else ""))
 

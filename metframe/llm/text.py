@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,7 +88,7 @@ def without(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def pieces_of(batches: Iterator[pa.RecordBatch], size: int = 2 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes of text, at least a row each. What Arrow holds of the
+    """The same rows in batches of about ``size`` bytes of text, at least a row each. What is held of the
     rows before is given back after each batch, as workers stay for later stages."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
@@ -102,7 +103,16 @@ def pieces_of(batches: Iterator[pa.RecordBatch], size: int = 2 << 20, text: str
             yield batch.slice(start, stop - start)
             start = stop
         del batch, col, ends
-        pa.default_memory_pool().release_unused()
+        give_back()
+    give_back()
+
+
+def give_back() -> None:
+    """Return the free memory of Arrow and of the C library, which keeps that of arrays else, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def _inverse(x: int) -> int:
