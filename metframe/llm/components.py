@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metframe.llm.text import small
 from metframe.session import cut_lineage
 
-NODE_BYTES = 128  # of two nodes, as counted for a broadcast
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b); nodes of one component have the same root, one of them.
 
@@ -35,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def became(df: DataFrame, roots: DataFrame, name: str) -> DataFrame:
     """The column's nodes replaced by their roots, if they have one."""
-    named = small(roots.select(F.col("node").alias("_node"), F.col("root").alias("_root")), NODE_BYTES)
+    named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     return df.join(named, df[name] == named["_node"], "left").withColumn(name, F.coalesce("_root", name)).drop("_node", "_root")
 
 
