@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from metframe.llm.text import corpus, pieces_of
 
 LEAF = 48  # symbols that are encoded in one go; longer words go through the tree
+PIECE = 1 << 20  # bytes of text whose symbols a worker holds at once
 WINDOW = 4  # tokens on either side of a join that the first window takes
 
 # How the vocabulary splits words, and its white space.
@@ -293,7 +294,7 @@ def encode_texts(v: Vocabulary, texts: Sequence[str]) -> tuple[list[np.ndarray],
 
 def encoder(vocabulary: Vocabulary, with_ids: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches):
+        for batch in pieces_of(batches, PIECE):
             ids, decoded = encode_texts(vocabulary, batch["text"].to_pylist())
             columns = [
                 batch["doc_id"], pa.array([len(i) for i in ids], pa.int64()),
