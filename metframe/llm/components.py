@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from metframe.session import cut_lineage
 
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b); nodes of one component have the same root, one of them.
 
