@@ -6,9 +6,11 @@ the batch before left it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from metframe import schemas
 from metframe.functions.expr import slot
@@ -23,7 +25,8 @@ from metframe.operators.stations import nearest_station, only_keys
 from metframe.sources.readers import (
     path_exists, read_history, read_messages, read_or_empty, read_raw, read_table,
 )
-from metframe.sources.writers import store_observations, write_csv, write_models, write_replace
+from metframe.sources.writers import mark, store_observations, write_csv, write_models, write_replace
+from metframe.streaming.feeds import on_batch
 
 
 SLOT = 600  # seconds between two batches of a provider
@@ -39,6 +42,11 @@ class Places:
     snapshot: str
     predictions: str
     models: str
+    ledger: str = ""  # of the stages that numbered batches have finished
+
+
+# A later version of an observation is the one of which provider B was read later, or else a later batch.
+ORDER = ["read_at", "batch"]
 
 
 def snapshot(table: DataFrame, n: int = 37) -> DataFrame:
@@ -60,11 +68,12 @@ def label_by_place(records: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def land(spark: SparkSession, source, schema: T.StructType, path: str, cities: DataFrame | None = None) -> DataFrame:
-    """Decode the messages of a topic into Parquet; returns those that are no such record.
+    """Decode the messages of a topic, or of a frame of them, into Parquet; returns those that are no such record.
 
     With a city list, the records are named by their coordinates.
     """
-    records, bad = decode_messages(read_messages(spark, source), schema)
+    messages = source if isinstance(source, DataFrame) else read_messages(spark, source)
+    records, bad = decode_messages(messages, schema)
     records = records.select(*schema.fieldNames())
     write_replace(records if cities is None else label_by_place(records, cities), path)
     return bad
@@ -75,12 +84,13 @@ def merge(raw_a: DataFrame, raw_b: DataFrame) -> DataFrame:
 
     The providers meet by city and ten-minute slot of their own times, so a batch may span many slots. A
     repeated message is taken once: of provider A one per city and time, which is the key of the table, of
-    provider B the newest per city and slot. So the join has one partner per row.
+    provider B the newest per city and slot. So the join has one partner per row. ``read_at`` is the time of
+    provider B's reading.
     """
     a = flatten_a(raw_a)
     a = latest_per(a, ["city_name", "time"], [F.desc(F.xxhash64(*a.columns))])
     b = flatten_b(raw_b.select("*", F.col("current.time").alias("_at")), ["_at"])
-    b = b.withColumn("_slot", slot(F.col("_at").try_cast("timestamp"), SLOT))
+    b = b.withColumn("read_at", F.col("_at").try_cast("timestamp")).withColumn("_slot", slot("read_at", SLOT))
     b = latest_per(b, ["city_name", "_slot"], [F.desc("_at"), F.desc(F.xxhash64(*schemas.PATHS_B))])
     return blend_columns(a.withColumn("_slot", slot("time", SLOT)).join(b.drop("_at"), ["city_name", "_slot"]).drop("_slot"))
 
@@ -102,24 +112,70 @@ def train_from_csv(spark: SparkSession, path: str, models: str) -> None:
     write_models(train(read_history(spark, path)), models)
 
 
-def run_batch(spark: SparkSession, source_a, source_b, places: Places, n: int = 37,
-              cities: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Snapshot, land both feeds, predict, merge and upsert. Returns what was rejected."""
-    if path_exists(spark, places.table):
-        write_csv(
-            snapshot(read_table(spark, places.table), n).select(*schemas.HISTORY.fieldNames()), places.snapshot
+def run_batch(spark: SparkSession, source_a, source_b, places: Places, n: int = 37, cities: DataFrame | None = None,
+              batch: int | None = None, after: Callable[[str], None] | None = None) -> dict[str, DataFrame]:
+    """Snapshot, land both feeds, predict, merge and upsert. Returns what was rejected.
+
+    With a number, each stage is entered in the ledger when it has finished, and a batch that is run again goes on
+    behind the last one entered: the snapshot is not taken from a table that holds the batch already, and a finished
+    batch changes nothing. Each stage replaces what it writes, or upserts it, so one that failed halfway is repeated
+    whole. Numbers ascend with the messages; an older batch run late does not replace what a newer one has written.
+    Only stages that ran have rejected rows. ``after`` is called with the name of a stage that has run, before it
+    is entered.
+    """
+    if batch is not None and not places.ledger:
+        raise ValueError("a numbered batch needs a ledger")
+    rejected = {}
+
+    def take() -> None:
+        if path_exists(spark, places.table):
+            newest = snapshot(read_table(spark, places.table), n)
+            write_csv(newest.select(*schemas.HISTORY.fieldNames()), places.snapshot)
+
+    def land_both() -> None:
+        rejected["provider_a"] = land(spark, source_a, schemas.PROVIDER_A, places.raw_a)
+        rejected["provider_b"] = land(spark, source_b, schemas.PROVIDER_B, places.raw_b, cities)
+
+    def forecast() -> None:
+        if path_exists(spark, places.snapshot):
+            rows = read_history(spark, places.snapshot)
+            models = read_or_empty(spark, places.models, schemas.MODELS)
+            write_csv(
+                predict(rows, models, ["city_name"], "time", schemas.FORECAST_VARIABLES), places.predictions,
+                "yyyy-MM-dd HH:mm:ss",
+            )
+
+    def store() -> None:
+        merged = merge(
+            read_or_empty(spark, places.raw_a, schemas.PROVIDER_A), read_or_empty(spark, places.raw_b, schemas.PROVIDER_B)
         )
-    bad_a = land(spark, source_a, schemas.PROVIDER_A, places.raw_a)
-    bad_b = land(spark, source_b, schemas.PROVIDER_B, places.raw_b, cities)
-    if path_exists(spark, places.snapshot):
-        rows = read_history(spark, places.snapshot)
-        models = read_or_empty(spark, places.models, schemas.MODELS)
-        write_csv(
-            predict(rows, models, ["city_name"], "time", schemas.FORECAST_VARIABLES), places.predictions,
-            "yyyy-MM-dd HH:mm:ss",
+        rejected["observations"] = store_observations(
+            spark, places.table, merged.withColumn("batch", F.lit(batch).cast("long")), ORDER
         )
-    merged = merge(
-        read_raw(spark, places.raw_a, schemas.PROVIDER_A), read_raw(spark, places.raw_b, schemas.PROVIDER_B)
-    )
-    rejected = store_observations(spark, places.table, merged)
-    return {"provider_a": bad_a, "provider_b": bad_b, "observations": rejected}
+
+    for name, work in (("snapshot", take), ("land", land_both), ("predict", forecast), ("merge", store)):
+        entered = f"{places.ledger}/{batch}/{name}"
+        if batch is not None and path_exists(spark, entered):
+            continue
+        work()
+        if after is not None:
+            after(name)
+        if batch is not None:
+            mark(spark, entered)
+    return rejected
+
+
+def run_stream(a: DataFrame, b: DataFrame, places: Places, checkpoint: str, n: int = 37, cities: DataFrame | None = None,
+               after: Callable[[str], None] | None = None) -> DataStreamWriter:
+    """The same over two streams of messages (``value``): what both have brought since the last micro-batch is one
+    batch, its number that of the micro-batch. A micro-batch that is run again changes every output once.
+
+    The checkpoint and the ledger belong together: a new checkpoint counts from 0 again and needs a new ledger.
+    """
+    both = a.select("value", F.lit("a").alias("feed")).unionByName(b.select("value", F.lit("b").alias("feed")))
+
+    def work(messages: DataFrame, number: int) -> None:
+        one, other = (messages.where(F.col("feed") == feed).select("value") for feed in "ab")
+        run_batch(messages.sparkSession, one, other, places, n, cities, number, after)
+
+    return on_batch(both, work, checkpoint)

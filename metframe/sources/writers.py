@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from metframe import schemas
-from metframe.operators.blend import merge_latest, table_columns
+from metframe.operators.blend import merge_latest
 from metframe.operators.quality import conform
 from metframe.operators.series import latest_per
 from metframe.session import cut_lineage, scratch_path
-from metframe.sources.readers import path_exists, read_table
+from metframe.sources.readers import path_exists, read_raw, read_table
 
 DAY = "date"
 
@@ -81,9 +81,8 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
         fresh = latest_per(new, keys, [*[F.desc_nulls_last(o) for o in order], F.desc(F.xxhash64(*names))])
         write_days(fresh.hint("rebalance", DAY), path)
         return len(days)
-    table = read_table(spark, path)
-    old = table.where(F.col(DAY).isin(written)).select(
-        *names, *[F.col(o) if o in table.columns else F.lit(None).cast(new.schema[o].dataType).alias(o) for o in order], DAY)
+    # By a given schema, as files from before the order columns lack them.
+    old = read_raw(spark, path, new.schema).where(F.col(DAY).isin(written)).select(*names, *order, DAY)
     staged = scratch_path(spark, "upsert")
     write_days(merge_latest(old, new, list(keys), order).hint("rebalance", DAY), staged)
     write_days(read_table(spark, staged).select(*old.columns), path)
@@ -97,6 +96,12 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file, on any Hadoop file system."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop_path, True).close()
+
+
 def write_days(df: DataFrame, path: str) -> None:
     """Write the days the frame holds over those at ``path``; other days stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
@@ -104,9 +109,10 @@ def write_days(df: DataFrame, path: str) -> None:
 
 def store_observations(spark: SparkSession, path: str, merged: DataFrame, seq: Sequence[str] = ()) -> DataFrame:
     """Upsert blended observations into the observation table; returns the rejected rows: those with a value
-    that does not fit, and those without a key."""
-    raw = table_columns(merged)
+    that does not fit, and those without a key. ``seq`` names further columns that tell which version is the last."""
+    further = [merged.schema[s] for s in seq if s not in schemas.OBSERVATIONS.fieldNames()]
+    raw = merged.select(*schemas.OBSERVATIONS.fieldNames(), *[f.name for f in further])
     keyless = F.col(schemas.OBSERVATION_KEY[0]).isNull() | F.col(schemas.OBSERVATION_KEY[1]).isNull()
-    rows, rejected = conform(raw.where(~keyless), schemas.OBSERVATIONS)
+    rows, rejected = conform(raw.where(~keyless), T.StructType([*schemas.OBSERVATIONS, *further]))
     upsert(spark, path, rows, schemas.OBSERVATION_KEY, list(seq), schemas.OBSERVATIONS)
-    return rejected.unionByName(raw.where(keyless))
+    return rejected.unionByName(raw.where(keyless)).select(*schemas.OBSERVATIONS.fieldNames())

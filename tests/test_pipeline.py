@@ -97,3 +97,70 @@ def test_training_keeps_the_listed_cities(spark):
     models = pipeline.train(history, spark.createDataFrame([("Nord",), ("West",)], "city_name string")).collect()
     assert [(m["city_name"], m["variable"], m["n_train"]) for m in models] == [("Nord", "temp", 64)]
     assert set(models[0].asDict()) == set(schemas.MODELS.fieldNames())
+
+
+def outputs(spark, places):
+    good, _ = readers.read_predictions(spark, places.predictions)
+    return [
+        rows(readers.read_table(spark, places.table).select("city_name", "time", "temp", "temperature_2m"), "city_name", "time"),
+        rows(readers.read_history(spark, places.snapshot).select("city_name", "time", "temp"), "city_name", "time"),
+        rows(good.select("city_name", "time", "variable", "predicted_value"), "city_name", "time", "variable"),
+    ]
+
+
+def test_a_batch_that_failed_after_any_stage_counts_once(spark, folder):
+    topics = [
+        (topic(folder, f"a{i}", [reading_a("Nord", i, 20.0 + i), reading_a("Ost", i, 9.0)]),
+         topic(folder, f"b{i}", [reading_b("Nord", 22.0 + i, i), reading_b("Ost", 9.0, i)])) for i in range(2)
+    ]
+    models = spark.createDataFrame([("Nord", "temp", "arima", {"phi": 0.1}, 10, None, [1.0], 25.0, 0.5)], schemas.MODELS)
+    seen = []
+    for failing in ("none", "snapshot", "land", "predict", "merge"):
+        places = pipeline.Places(*[folder(f"{failing}-{n}") for n in ("a", "b", "table", "snapshot", "predictions", "models", "ledger")])
+        models.write.parquet(places.models)
+        pipeline.run_batch(spark, *topics[0], places, batch=0)
+
+        def fail(stage):
+            if stage == failing:
+                raise RuntimeError(stage)
+
+        try:
+            pipeline.run_batch(spark, *topics[1], places, batch=1, after=fail)
+        except RuntimeError:
+            assert failing != "none"
+            pipeline.run_batch(spark, *topics[1], places, batch=1)
+        assert pipeline.run_batch(spark, *topics[1], places, batch=1) == {}
+        seen.append(outputs(spark, places))
+    assert len(seen[0][0]) == 4 and len(seen[0][1]) == 2 and len(seen[0][2]) == 12
+    assert all(s == seen[0] for s in seen)
+
+
+def test_an_older_batch_run_late_changes_nothing_newer(spark, folder):
+    places = pipeline.Places(*[folder(n) for n in ("a", "b", "table", "snapshot", "predictions", "models", "ledger")])
+    for batch, temp in ((5, 20.0), (3, 40.0), (6, 30.0)):
+        pipeline.run_batch(spark, topic(folder, f"a{batch}", [reading_a("Nord", 0, temp), reading_a("Ost", batch, temp)]),
+                           topic(folder, f"b{batch}", [reading_b("Nord", temp), reading_b("Ost", temp, batch)]), places, batch=batch)
+        table = readers.read_table(spark, places.table)
+        assert table.where("city_name = 'Nord'").first()["temp"] == (30.0 if batch == 6 else 20.0)
+    assert table.where("city_name = 'Ost'").count() == 3
+
+
+def test_a_numbered_batch_needs_a_ledger(spark, folder):
+    import pytest
+
+    places = pipeline.Places(*[folder(n) for n in ("a", "b", "table", "snapshot", "predictions", "models")])
+    with pytest.raises(ValueError):
+        pipeline.run_batch(spark, "a", "b", places, batch=0)
+
+
+def test_order_columns_are_added_to_a_table_without_them(spark, folder):
+    from metframe.sources import writers
+
+    schema = schemas.struct(city_name=schemas.S, time=schemas.TS, temp=schemas.D, number=schemas.L)
+    one = spark.createDataFrame([("Nord", dt.datetime(2024, 1, 1), 1.0, 1), ("Ost", dt.datetime(2024, 1, 2), 1.0, 1)], schema)
+    two = spark.createDataFrame([("Nord", dt.datetime(2024, 1, 1), 2.0, 2)], schema)
+    three = spark.createDataFrame([("Nord", dt.datetime(2024, 1, 1), 3.0, 1), ("Ost", dt.datetime(2024, 1, 2), 3.0, 1)], schema)
+    table = schemas.struct(city_name=schemas.S, time=schemas.TS, temp=schemas.D)
+    for updates, seq in ((one, []), (two, ["number"]), (three, ["number"])):
+        writers.upsert(spark, folder("t"), updates, ["city_name", "time"], seq, table)
+    assert rows(readers.read_table(spark, folder("t")).select("city_name", "temp"), "city_name") == [("Nord", 2.0), ("Ost", 3.0)]
