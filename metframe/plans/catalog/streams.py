@@ -44,6 +44,49 @@ def stream_dedupe(spark, sf):
     return readers.read_table(spark, path)
 
 
+DELAY = 86_400 * 3  # seconds that a message may be late
+
+LATE_SQL = f"""
+with {EV}, span as (
+  select epoch_ms(min(ts)) as lo, epoch_ms(max(ts)) as hi from ev),
+due as (
+  select event_id, epoch_ms(ts) as ms, cast(3 * (epoch_ms(ts) - lo) // (hi - lo + 1) as bigint) as third,
+         {r('value')} as value from ev, span),
+arrivals as (
+  select event_id, ms, value, third + case when event_id % 10 = 0 then 1 else 0 end as batch from due
+  union all
+  select event_id, ms, value, third + case when event_id % 10 = 0 then 1 else 0 end + event_id % 3 from due
+  where event_id % 7 = 0),
+latest as (
+  select batch + 1 as batch, max(max(ms)) over (order by batch) - {DELAY * 1000} as passed from arrivals group by batch)
+select event_id, value, case when ms <= passed then 'late' when nth > 1 then 'replay' else 'first' end as kind, count(*) as n
+from (select *, row_number() over (partition by event_id order by batch) as nth from arrivals)
+left join latest using (batch)
+group by all"""
+
+
+@query("stream_late", LATE_SQL)
+def stream_late(spark, sf):
+    """The events in several micro-batches. Each comes with its third of the time, every tenth one batch
+    later; every seventh comes again, in the same batch or one or two later. First, replayed and late ones are all kept,
+    told apart by state and watermark."""
+    ev = views.events(spark, sf)
+    ms = F.unix_millis("ts")
+    span = ev.agg(F.min(ms).alias("lo"), F.max(ms).alias("hi"))
+    due = ev.crossJoin(F.broadcast(span)).withColumn("batch", F.expr("3 * (unix_millis(ts) - lo) div (hi - lo + 1)") + (F.col("event_id") % 10 == 0).cast("int"))
+    again = due.where("event_id % 7 = 0").withColumn("batch", F.col("batch") + F.col("event_id") % 3)
+    arrivals = due.unionByName(again).select("batch", "station", "ts", "event_id", "value")
+    topic, path, checkpoint = (scratch_path(spark, n) for n in ("arrivals", "told", "checkpoint"))
+    schema = schemas.struct(station=schemas.S, ts=schemas.TS, event_id=schemas.L, value=schemas.D)
+    for batch in range(6):  # at most: the third, one later, two later again
+        writers.publish(writers.to_messages(arrivals.where(F.col("batch") == batch).drop("batch"), "station"), topic)
+        records, _ = decode_messages(feeds.read_message_stream(spark, topic), schema)
+        told = feeds.mark_replays(records.select(*schema.fieldNames()), ["station", "ts"], "ts", DELAY)
+        with feeds.keyed_state(spark):
+            feeds.drain(feeds.append_stream(told, path, checkpoint, ["kind"]))
+    return rounded(readers.read_table(spark, path), ["value"]).groupBy("event_id", "value", "kind").agg(F.count("*").alias("n"))
+
+
 @query("stream_blend", f"""
 with {EV}
 select a.event_id as event_a, b.event_id as event_b, a.station as station, {r('(a.value + b.value) / 2')} as blended

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from metframe import schemas
 from metframe.functions.expr import slot
@@ -42,6 +43,71 @@ def drop_replays(stream: DataFrame, keys: Sequence[str], time: str, delay: str =
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+class Arrivals(StatefulProcessor):
+    """Tells the first message of a key from its replays, and both from messages that came too late."""
+
+    def __init__(self, delay_ms: int, names: Sequence[str]):
+        self.delay_ms, self.names = delay_ms, list(names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.seen = handle, handle.getValueState("seen", "ms long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        known, told = self.seen.exists(), Row(*self.names)
+        for row in rows:
+            *values, ms = row
+            if ms is None or ms <= passed:
+                kind = LATE
+            elif known:
+                kind = REPLAY
+            else:
+                kind, known = FIRST, True
+                self.seen.update((ms,))
+                self.handle.registerTimer(ms + self.delay_ms)
+            yield told(*values, kind)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+FIRST, REPLAY, LATE = "first", "replay", "late"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def mark_replays(stream: DataFrame, keys: Sequence[str], time: str, delay_seconds: int = 1800, kind: str = "kind") -> DataFrame:
+    """Every row, with what it is: the ``first`` of its key, a ``replay``, or ``late``.
+
+    ``drop_replays`` loses late rows without a trace; here they come out beside the others. A row is late if its time
+    is not after the watermark, which is the greatest time of the micro-batches before less the delay, or if it has no
+    time. A key is known for the delay after the time of its first row; then a timer lets its state go. Late rows are
+    not remembered. Of equal keys within one micro-batch any may be the first. Rows of a key are looked at one by one,
+    none is held. The query that runs it needs the state store of ``keyed_state``.
+    """
+    names = stream.columns
+    plain = F.timestamp_micros(F.unix_micros(time))  # without the mark of an event time, by which late rows are dropped
+    marked = stream.withWatermark(time, f"{int(delay_seconds)} seconds").select(
+        *[plain.alias(c) if c == time else F.col(f"`{c}`") for c in names], F.unix_millis(time).alias("_ms"))
+    out = T.StructType([*stream.schema, T.StructField(kind, T.StringType())])
+    return marked.groupBy(*keys).transformWithState(Arrivals(int(delay_seconds) * 1000, out.names), out, "append", "EventTime")
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started meanwhile keep their state where ``mark_replays`` needs it."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
 def blend_streams(a: DataFrame, b: DataFrame, key: str, time_a: str, time_b: str, seconds: int,
                   delay: str = "30 minutes") -> DataFrame:
     """Pairs of the same key whose times are at most ``seconds`` apart.
@@ -74,11 +140,14 @@ def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], seq: Sequen
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    return (
+def append_stream(stream: DataFrame, path: str, checkpoint: str, partition: Sequence[str] = ()) -> DataStreamWriter:
+    """Append to the Parquet data at ``path``, each micro-batch once. Partitioned by what rows are, first, replayed and
+    late ones are written apart in one pass."""
+    writer = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", path)
     )
+    return writer.partitionBy(*partition) if partition else writer
 
 
 def every_step(writer: DataStreamWriter, step: str = schemas.STEP):

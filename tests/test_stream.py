@@ -114,3 +114,29 @@ def test_cadence_and_restart(spark, folder):
     drop_file(topic, 2, [message("a", 10, 2.0)])
     feeds.drain(feeds.append_stream(decoded(spark, topic), out, check))
     assert readers.read_table(spark, out).count() == 2
+
+
+def test_first_replayed_and_late_rows_are_told_apart(spark, folder):
+    topic, out, check = folder("topic"), folder("out"), folder("check")
+
+    def run(number, *records):
+        drop_file(topic, number, records)
+        marked = feeds.mark_replays(decoded(spark, topic), schemas.OBSERVATION_KEY, "time", 1800)
+        with feeds.keyed_state(spark):
+            feeds.drain(feeds.append_stream(marked, out, check, ["kind"]))
+        return sorted((r["v"], r["kind"]) for r in readers.read_table(spark, out).collect())
+
+    seen = run(1, message("a", 0, 1.0), message("a", 0, 1.0), message("b", 0, 2.0))
+    assert seen == [(1.0, "first"), (1.0, "replay"), (2.0, "first")]
+    run(2, message("a", 0, 1.0), message("a", 29, 3.0), message("a", 10, 4.0))  # the watermark stands before all
+    seen = run(3, message("a", 300, 5.0), message("b", 0, 2.0))  # at -1 minute still, a replay
+    assert seen[2:] == [(1.0, "replay"), (2.0, "first"), (2.0, "replay"), (3.0, "first"), (4.0, "first"), (5.0, "first")]
+    # At 270 now: late, replayed or not; what is not late goes on as before.
+    run(4, message("a", 20, 6.0), message("a", 29, 3.0), message("a", 270, 7.0), message("a", 271, 8.0),
+        {"city_name": "a", "v": 9.0}, message("a", 300, 5.0))
+    seen = run(5, message("a", 271, 8.0))
+    assert seen[5:] == [
+        (3.0, "first"), (3.0, "late"), (4.0, "first"), (5.0, "first"), (5.0, "replay"), (6.0, "late"), (7.0, "late"),
+        (8.0, "first"), (8.0, "replay"), (9.0, "late"),
+    ]
+    assert spark.conf.get(feeds.STATE_STORE, None) != feeds.ROCKS
