@@ -123,28 +123,40 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], lags: Ma
     """
     lay = series_layout(df, keys, order, hot)
     placed = _positioned(lay, order, pos, size)
-    reach = max((lag for _, lag in lags.values()), default=0)
     names = [*df.columns, pos, size]
-
-    def lagged(frame: DataFrame, group: Sequence[str], by: Sequence[str]) -> DataFrame:
-        over = f"OVER (PARTITION BY {quoted(group)} ORDER BY {quoted(by)})"
-        return frame.selectExpr("*", *[
-            f"lag({quoted([c])}, {k}) {over} AS {quoted([out])}" for out, (c, k) in lags.items()
-        ])
-
     if not lags:
         return placed.select(*names)
     if lay.whole:
-        return lagged(placed, lay.keys, order).select(*names, *lags)
+        return _lagged(placed, lay.keys, order, lags).select(*names, *lags)
+    return _lagged_by_block(placed, lay.keys, lags, pos, size, lay.cuts.rows, F.col("_hot")).select(*names, *lags)
+
+
+def lags_of_placed(placed: DataFrame, keys: Sequence[str], lags: Mapping[str, tuple[str, int]], block: int,
+                   pos: str = POS, size: str = SIZE) -> DataFrame:
+    """``with_lags`` of rows that ``with_position`` has placed: all series are dealt out in blocks of ``block`` positions."""
+    if not lags:
+        return placed
+    return _lagged_by_block(placed, list(keys), lags, pos, size, block, F.lit(True)).select(*placed.columns, *lags)
+
+
+def _lagged(frame: DataFrame, group: Sequence[str], by: Sequence[str], lags: Mapping[str, tuple[str, int]]) -> DataFrame:
+    over = f"OVER (PARTITION BY {quoted(group)} ORDER BY {quoted(by)})"
+    return frame.selectExpr("*", *[
+        f"lag({quoted([c])}, {k}) {over} AS {quoted([out])}" for out, (c, k) in lags.items()
+    ])
+
 
-    block = max(lay.cuts.rows, reach)
-    own = F.when(F.col("_hot"), F.floor((F.col(pos) - 1) / block)).otherwise(0).cast("long")
+def _lagged_by_block(placed: DataFrame, keys: Sequence[str], lags: Mapping[str, tuple[str, int]], pos: str, size: str,
+                     rows: int, dealt_out: Column) -> DataFrame:
+    reach = max(lag for _, lag in lags.values())
+    block = max(rows, reach)
+    own = F.when(dealt_out, F.floor((F.col(pos) - 1) / block)).otherwise(0).cast("long")
     in_block = (F.col(pos) - 1) % block + 1
-    tail = F.col("_hot") & (in_block > block - reach) & (own < F.floor((F.col(size) - 1) / block))
+    tail = dealt_out & (in_block > block - reach) & (own < F.floor((F.col(size) - 1) / block))
     dealt = placed.withColumn(
         "_b", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)))
     ).withColumn("_halo", F.col("_b") != own)
-    return lagged(dealt, [*lay.keys, "_b"], [pos]).where(~F.col("_halo")).select(*names, *lags)
+    return _lagged(dealt, [*keys, "_b"], [pos], lags).where(~F.col("_halo"))
 
 
 def diff(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str = "diff",

@@ -86,13 +86,16 @@ class Cuts:
     """Where the series of hot keys are divided.
 
     ``frame`` has a row per hot key with the sorted order tuples ``_cuts`` at which its later pieces start,
-    ``pieces`` counts all pieces. The frame is None when no key has more than ``rows`` rows.
+    ``pieces`` counts all pieces, ``most`` is the greatest number of cuts of one key, ``longest`` that of its rows. The
+    frame is None when no key has more than ``rows`` rows.
     """
 
     rows: int
     frame: DataFrame | None
     order: list[str] = field(default_factory=list)
     pieces: int = 0
+    most: int = (1 << 30) - 1
+    longest: int | None = None
 
 
 @dataclass
@@ -117,9 +120,9 @@ class Layout:
         return attach(big, small, keys, how, self.cuts.pieces)
 
 
-def count_not_after(cuts: Column, at: Column) -> Column:
-    """How many entries of a sorted array are <= ``at``: binary search inside one expression."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(30))])
+def count_not_after(cuts: Column, at: Column, most: int = (1 << 30) - 1) -> Column:
+    """How many entries of a sorted array of at most ``most`` are <= ``at``: binary search inside one expression."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, most.bit_length())))])
     return F.aggregate(
         steps,
         F.lit(0),
@@ -143,13 +146,14 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: in
     hot = hot_keys(df, keys, rows)
     if hot is None:
         return Cuts(rows, None, order)
-    slim = attach(df.select(*keys, order_tuple(df, order).alias("_at")), hot, keys, "inner", hot.count()).drop("_n")
+    many, longest = hot.agg(F.count("*"), F.max("_n")).first()
+    slim = attach(df.select(*keys, order_tuple(df, order).alias("_at")), hot, keys, "inner", many).drop("_n")
     ranged = slim.repartitionByRange(*keys, "_at").sortWithinPartitions(*keys, "_at")
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     starts = ranged.withColumn("_number", number).where(F.col("_number") % rows == 0)
     frame = cut_lineage(starts.groupBy(*keys).agg(F.sort_array(F.collect_set("_at")).alias("_cuts")))
-    pieces = frame.agg(F.sum(F.size("_cuts") + 1)).first()[0] or 0
-    return Cuts(rows, frame, order, pieces)
+    pieces, most = (x or 0 for x in frame.agg(F.sum(F.size("_cuts") + 1), F.max(F.size("_cuts"))).first())
+    return Cuts(rows, frame, order, pieces, most, longest)
 
 
 def series_layout(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: int | Cuts = HOT_ROWS) -> Layout:
@@ -158,6 +162,6 @@ def series_layout(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot:
     cuts = hot if isinstance(hot, Cuts) else find_cuts(df, keys, order, hot)
     if cuts.frame is None:
         return Layout(df, keys, keys, cuts)
-    piece = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(count_not_after(F.col("_cuts"), F.col("_at")))
+    piece = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(count_not_after(F.col("_cuts"), F.col("_at"), cuts.most))
     cut = attach(df.withColumn("_at", order_tuple(df, cuts.order)), cuts.frame, keys, rows=cuts.pieces)
     return Layout(cut.withColumn(PIECE, piece).drop("_cuts", "_at"), keys, [*keys, PIECE], cuts)
