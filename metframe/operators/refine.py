@@ -62,11 +62,13 @@ def axis(limit: float, points: int, level: int, centre: float | None) -> list[fl
 
 def pack(rows: SeriesRows, kind: Kind, block: int) -> DataFrame:
     """One row per series and block of at most ``block`` values of its train part, in time order; ``many`` tells
-    that the series may have more than one block."""
+    that the series may have more than one block. The search takes far longer than the bytes of a block suggest, so the
+    blocks keep to as many partitions as a shuffle has; small ones are not put together."""
     values = rows.with_lags(kind.y_lags).where(F.col(POS) <= F.col("n_train")).select(
-        *rows.series, POS, "n_train", kind.difference(0).alias("w")
+        *rows.series, POS, "n_train", kind.difference(0).alias("w"), F.floor((F.col(POS) - 1) / block).cast("long").alias("_b")
     ).dropna(subset=["w"])
-    packed = values.groupBy(*rows.series, F.floor((F.col(POS) - 1) / block).cast("long").alias("_b")).agg(
+    parts = int(rows.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = values.repartition(parts, *rows.series, "_b").groupBy(*rows.series, "_b").agg(
         F.sort_array(F.collect_list(F.struct(POS, "w"))).alias("_v"), (F.max("n_train") > block).alias("many"))
     return packed.select(*rows.series, "_b", "many", F.col("_v.w").alias("w"))
 

@@ -102,7 +102,7 @@ def train(history: DataFrame, cities: DataFrame | None = None, hot: int = HOT_RO
     """
     if cities is not None:
         history = only_keys(history, cities, ["city_name"])
-    rows = series_rows(history, ["city_name"], "time", schemas.FORECAST_VARIABLES, hot=hot)
+    rows = series_rows(history, ["city_name"], "time", schemas.FORECAST_VARIABLES, hot=hot).written()
     plain, with_season = fit_css(rows, ARIMA), fit_css(rows, SARIMA)
     both = arima_models(rows, plain).unionByName(sarima_models(rows, with_season))
     return select_model(both, rows.series)

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from metframe.operators import refine
 from metframe.operators.forecast import arima_models, series_rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -40,3 +41,11 @@ def test_hot_models_are_the_cold_ones(history):
         rows = series_rows(history, ["city_name"], "time", ["temp"], hot=hot)
         found.append(sorted((str(r.city_name), round(r.next_value, 6), round(r.rmse, 6)) for r in arima_models(rows).dropna(subset=["rmse"]).collect()))
     assert found[0] == found[1] and found[0]
+
+
+def test_blocks_of_the_search_stay_apart(spark, history):
+    """Small as they are, the blocks are not put into a partition or two."""
+    rows = series_rows(history, ["city_name"], "time", ["temp"])
+    blocks = refine.pack(rows, refine.ARIMA, 4)
+    assert blocks.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert blocks.count() > 40
