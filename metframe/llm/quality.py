@@ -19,7 +19,7 @@ TEMPERATURE = 0.05  # of the sampling: log weights are divided by it before nois
 PRIOR, SHRINK = 5.0, 0.4  # of the log ratios, see there
 SPAN = 40.0  # log weights beyond +- this are one bin when the size of the sample is chosen
 BINS = 1600
-PIECE = 2 << 20
+PIECE = 512 << 10  # bytes of text at once in a worker, whose arrays take many times as much
 # Two more outcomes: whether a word repeats the one before it.
 FEATURES = BUCKETS + 2
 
