@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from metframe.llm.text import Sent, byte_codes, corpus, pieces_of, prefix_sums, span_hashes, word_spans
@@ -30,7 +32,11 @@ EPOCHS = 8
 LOTS = 12  # passes of an epoch, each over its share of the contexts
 RATE = 0.05
 PIECE = 2 << 20
-HELD = 1 << 18  # rows that a task gathers before it passes them on
+BITS = 21  # of a sum, three of which share a number
+HELD = (1 << BITS) - 1  # tokens that a task gathers before it passes on their sums, at most
+TOKENS = 1 << 20  # of coded texts that a task looks at together, about
+BLOCK = 1 << 16  # words in a row of the table that is clustered
+SLICE = 1 << 13  # words compared with all centres together
 CONTEXTS = 1 << 14  # of a lot in one task, about
 END_HASH = np.uint64(1)
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -100,59 +106,166 @@ def trigrams(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
     return two, one
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers, their first bytes in front of their second ones and so on, which packs small ones better."""
+    return zstandard.ZstdCompressor(1).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).ravel()
+
+
+def narrow(sums: np.ndarray, most: int) -> np.ndarray:
+    """Columns of sums from 0 to ``most`` as rows of bytes: bits, halves of bytes, bytes, or whole numbers."""
+    if most == 1:
+        return np.packbits(sums.astype(np.uint8), axis=0).T
+    if most <= 15:
+        return (sums[::2] | sums[1::2] << 4).astype(np.uint8).T
+    return sums.T.astype(np.uint8 if most <= 255 else np.int64, order="C").view(np.uint8)
+
+
+def widened(rows: np.ndarray) -> np.ndarray:
+    """The columns of sums that ``narrow`` made rows of, by the width of these."""
+    columns, width = rows.T, rows.shape[1]
+    if width == SIDE // 4:
+        return np.unpackbits(columns, axis=0)
+    if width == SIDE:
+        return np.stack([columns & 15, columns >> 4], axis=1).reshape(2 * SIDE, -1)
+    return columns if width == 2 * SIDE else np.ascontiguousarray(rows).view(np.int64).T
+
+
 def neighbours(parts):
-    """(word, n, f0...) of the words without a class of their own: sums of random signs of the classes on
-    either side."""
+    """(word, n, ups) of the words without a class of their own: how often random signs of the classes on either
+    side are positive, in as few bytes as n asks for."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, sides = parts.value
-        words, sums = np.empty(0, np.uint64), np.empty((0, 2 * SIDE + 1))
-
-        def told() -> pa.RecordBatch:
-            columns = [pa.array(words.view(np.int64)), pa.array(sums[:, 0].astype(np.int64)), *(pa.array(c.astype(np.int64)) for c in sums.T[1:])]
-            return pa.RecordBatch.from_arrays(columns, names=["word", "n", *FEATURES])
+        # Three sums to a number, as no more than HELD are added.
+        fields = np.where(sides > 0, 1, 0).reshape(2, -1, SIDE // 3, 3) @ (1 << BITS * np.arange(3))
+        held, size = [], 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            hashes, left, right = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(hashes)
+            hashes, near = hashes[order], (left[order], right[order])
+            begins = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+            words, n = hashes[begins].view(np.int64), np.diff(begins, append=len(hashes))
+            sums = np.stack([np.add.reduceat(column[at], begins) for side, at in zip(fields, near) for column in side.T])
+            least = 0
+            for most in (1, 15, 255, HELD):
+                at = np.flatnonzero((n > least) & (n <= most))
+                least = most
+                ups = sums[:, at]
+                rows = narrow(np.stack([ups >> BITS * i & (1 << BITS) - 1 for i in range(3)], axis=1).reshape(2 * SIDE, -1), most)
+                ends = np.arange(len(at) + 1, dtype=np.int32) * rows.shape[1]
+                data = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(rows.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(words[at]), pa.array(n[at]), data], names=["word", "n", "ups"])
 
         for batch in pieces_of(batches, PIECE):
             hashes, _ = tokens_of(batch["text"].to_pylist())
-            own = classes.of(hashes)
+            own = classes.of(hashes).astype(np.int32)
             at = np.flatnonzero(own == 1)  # never the end, so the next token is of the same text
-            left = np.concatenate([[0], own])[at]
-            fresh, inverse = np.unique(hashes[at], return_inverse=True)
-            both, where = np.unique(np.concatenate([words, fresh]), return_inverse=True)
-            more = np.zeros((len(both), 2 * SIDE + 1))
-            more[where[: len(words)]] = sums
-            to = where[len(words):]
-            more[to, 0] += np.bincount(inverse, minlength=len(fresh))
-            for i in range(SIDE):
-                more[to, 1 + i] += np.bincount(inverse, sides[0][left, i], len(fresh))
-                more[to, 1 + SIDE + i] += np.bincount(inverse, sides[1][own[at + 1], i], len(fresh))
-            words, sums = both, more
-            if len(words) > HELD:
-                yield told()
-                words, sums = words[:0], sums[:0]
-        yield told()
+            for some in np.array_split(at, len(at) // HELD + 1):
+                if size + len(some) > HELD:
+                    yield from told()
+                    size = 0
+                held.append((hashes[some], np.where(some > 0, own[some - 1], 0), own[some + 1]))
+                size += len(some)
+        if size:
+            yield from told()
 
     return gather
 
 
-FEATURES = [f"f{i}" for i in range(2 * SIDE)]
-NEIGHBOURS = "word long, n long, " + ", ".join(f"{f} long" for f in FEATURES)
+def sums_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(words, n, signs) of many words in a row, packed: the sums of signs of each word, whose parts come one after
+    the other."""
 
+    def added(words: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begins = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        return words[begins], np.add.reduceat(sums, begins, axis=1)
 
-def directions(batch: pa.RecordBatch, mean: np.ndarray) -> np.ndarray:
+    def told(words: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        signs = (2 * sums[1:] - sums[0]).astype(np.int32 if sums[0].max() < 1 << 31 else np.int64)
+        columns = [packed(words), packed(sums[0]), packed(signs.ravel())]
+        return pa.RecordBatch.from_arrays([pa.array([len(words)]), *(pa.array([c]) for c in columns)], names=["size", "words", "n", "signs"])
+
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        words, data = batch["word"].to_numpy(), batch["ups"]
+        sums = np.empty((2 * SIDE + 1, len(words)), np.int64)
+        sums[0] = batch["n"].to_numpy()
+        ends = np.frombuffer(data.buffers()[1], np.int32, len(data) + 1 + data.offset)[data.offset:]
+        flat, widths = np.frombuffer(data.buffers()[2], np.uint8), np.diff(ends)
+        for width in np.unique(widths):
+            at = np.flatnonzero(widths == width)
+            sums[1:, at] = widened(flat[ends[at][:, None] + np.arange(width)])
+        words, sums = added(words, sums)
+        if held and held[-1][0][-1] == words[0]:
+            held[-1][1][:, -1] += sums[:, 0]
+            words, sums = words[1:], sums[:, 1:]
+        if size > BLOCK and len(words):  # the last word before is complete
+            yield told(np.concatenate([w for w, _ in held]), np.concatenate([s for _, s in held], axis=1))
+            held, size = [], 0
+        if len(words):
+            held.append((words, sums))
+            size += len(words)
+    if held:
+        yield told(np.concatenate([w for w, _ in held]), np.concatenate([s for _, s in held], axis=1))
+
+
+WORDS = "size long, words binary, n binary, signs binary"
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Words, how often each was seen, and its sums of signs, some thousands at a time."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            size, words, n, signs = (batch[c][row].as_py() for c in ("size", "words", "n", "signs"))
+            words, n = unpacked(words, np.int64), unpacked(n, np.int64)
+            signs = unpacked(signs, np.int32 if n.max() < 1 << 31 else np.int64).reshape(2 * SIDE, size)
+            for start in range(0, size, SLICE):
+                part = slice(start, start + SLICE)
+                yield words[part], n[part], signs[:, part].T
+
+
+def directions(n: np.ndarray, signs: np.ndarray, mean: np.ndarray) -> np.ndarray:
     """How the neighbours of each word differ from those of all, as unit vectors."""
-    n = batch["n"].to_numpy(zero_copy_only=False)
-    x = np.stack([batch[f].to_numpy(zero_copy_only=False) for f in FEATURES], axis=1) - n[:, None] * mean
+    x = signs - n[:, None] * mean
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return (x.astype(np.float32) @ centres.T.astype(np.float32)).argmax(axis=1)
+
+
+def all_and_most(clusters: int):
+    """The sums over all words of a task, and the words seen most."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, words, n, signs = np.zeros(2 * SIDE + 1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 2 * SIDE), np.int64)
+        for more_words, more_n, more_signs in blocks(batches):
+            total += np.concatenate([[more_n.sum()], more_signs.sum(axis=0, dtype=np.int64)])
+            words, n, signs = (np.concatenate(x) for x in ((words, more_words), (n, more_n), (signs, more_signs)))
+            first = np.lexsort((words, -n))[:clusters]
+            words, n, signs = words[first], n[first], signs[first]
+        rows = [None, *words.tolist()], [int(total[0]), *n.tolist()], [total[1:].tolist(), *signs.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.list_(pa.int64()))], names=["word", "n", "signs"])
+
+    return tell
+
+
 def cluster_sums(parts):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mean, centres = parts.value
         sums = np.zeros(centres.shape)
-        for batch in batches:
-            x = directions(batch, mean)
-            at, n = (x @ centres.T).argmax(axis=1), np.log1p(batch["n"].to_numpy(zero_copy_only=False))
+        for _, n, signs in blocks(batches):
+            x = directions(n, signs, mean)
+            at, n = nearest(x, centres), np.log1p(n)
             sums += np.stack([np.bincount(at, n * column, len(centres)) for column in x.T], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()])], names=["sums"])
 
@@ -162,9 +275,9 @@ def cluster_sums(parts):
 def cluster_of(parts, first: int):
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mean, centres = parts.value
-        for batch in batches:
-            at = (directions(batch, mean) @ centres.T).argmax(axis=1) + first
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(at.astype(np.int32))], names=["word", "n", "class"])
+        for words, n, signs in blocks(batches):
+            at = nearest(directions(n, signs, mean), centres) + first
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n), pa.array(at.astype(np.int32))], names=["word", "n", "class"])
 
     return tell
 
@@ -175,12 +288,13 @@ def clustered(training: DataFrame, own: Classes, clusters: int) -> DataFrame:
     first = len(own.words) + 2
     rng = np.random.default_rng(3)
     sent = Sent(spark, (own, rng.choice([-1, 1], (2, first, SIDE))))
-    sums = training.mapInArrow(neighbours(sent), NEIGHBOURS).groupBy("word").agg(F.sum("n").alias("n"), *(F.sum(f).alias(f) for f in FEATURES))
-    table = cut_lineage(sums)
-    total = table.agg(F.sum("n"), *(F.sum(f) for f in FEATURES)).first()
-    mean = np.array([x or 0.0 for x in total[1:]]) / max(1, total[0] or 0)
-    start = pa.RecordBatch.from_pandas(table.orderBy(F.desc("n"), "word").limit(clusters).toPandas())
-    centres = directions(start, mean)
+    met = training.mapInArrow(neighbours(sent), "word long, n long, ups binary")
+    table = cut_lineage(met.repartition("word").sortWithinPartitions("word").mapInArrow(sums_of, WORDS))
+    told = table.mapInArrow(all_and_most(clusters), "word long, n long, signs array<long>")
+    total = np.sum([[r.n, *r.signs] for r in told.where("word is null").collect()] or [[0] * (2 * SIDE + 1)], axis=0)
+    mean = total[1:] / max(1, total[0])
+    start = told.where("word is not null").orderBy(F.desc("n"), "word").limit(clusters).collect()
+    centres = directions(np.array([r.n for r in start], float), np.array([r.signs for r in start], float).reshape(-1, 2 * SIDE), mean)
     for _ in range(CLUSTERING if len(centres) else 0):
         parts = spark.sparkContext.broadcast((mean, centres))
         new = sum(np.frombuffer(r.sums).reshape(centres.shape) for r in table.mapInArrow(cluster_sums(parts), "sums binary").collect())
@@ -190,27 +304,82 @@ def clustered(training: DataFrame, own: Classes, clusters: int) -> DataFrame:
     return cut_lineage(table.mapInArrow(cluster_of(parts, first), "word long, n long, class int"))
 
 
-def gram_counter(n_classes: int):
-    """(code, n) of the class trigrams of coded texts."""
+def lists_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows of coded texts at a time, their classes one after the other, and how many each has."""
+    for whole in batches:
+        ends, start = np.cumsum(whole["n_tokens"].to_numpy()), 0
+        while start < whole.num_rows:
+            before = ends[start - 1] if start else 0
+            batch = whole.slice(start, max(1, int(np.searchsorted(ends, before + TOKENS)) - start))
+            start += batch.num_rows
+            lists = [unpacked(c, np.int32) for c in batch["classes"].to_pylist()]
+            yield batch, np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
+
+
+def grams_packed(codes: np.ndarray, counts: np.ndarray) -> bytes:
+    return packed(np.concatenate([np.diff(codes, prepend=0), counts]))
+
+
+def grams_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and their counts."""
+    both = unpacked(data, np.int64)
+    return np.cumsum(both[: len(both) // 2]), both[len(both) // 2:]
+
+
+def gram_counter(n_classes: int, cells):
+    """The class trigrams of coded texts and how often each occurs: (cell, grams), a row for each cell of contexts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
-            lists = batch["classes"]
-            sizes = np.diff(lists.offsets.to_numpy())
-            own = lists.flatten().to_numpy().astype(np.int64)
-            two, one = trigrams(own, sizes.astype(np.int64))
-            fresh, n = np.unique((two * n_classes + one) * n_classes + own, return_counts=True)
-            both, at = np.unique(np.concatenate([codes, fresh]), return_inverse=True)
-            codes, counts = both, np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
-            if len(codes) > HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
-                codes, counts = codes[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
+        cell_of, held, size = cells.value, [], 0
+
+        def told() -> pa.RecordBatch:
+            codes, counts = np.unique(np.concatenate(held), return_counts=True)
+            cell = cell_of[codes // n_classes]
+            order = np.argsort(cell, kind="stable")
+            codes, counts, cell = codes[order], counts[order], cell[order]
+            begins = np.flatnonzero(np.diff(cell, prepend=-1))
+            rows = [grams_packed(*x) for x in zip(np.split(codes, begins[1:]), np.split(counts, begins[1:]))]
+            return pa.RecordBatch.from_arrays([pa.array(cell[begins]), pa.array(rows, pa.binary())], names=["cell", "grams"])
+
+        for _, own, sizes in lists_of(batches):
+            two, one = trigrams(own.astype(np.int64), sizes)
+            held.append((two * n_classes + one) * n_classes + own)
+            size += len(own)
+            if size > HELD:
+                yield told()
+                held, size = [], 0
+        if size:
+            yield told()
 
     return count
 
 
+def gram_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each cell; its parts come one after the other."""
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        codes, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        return codes, np.bincount(where, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+
+    def told() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([grams_packed(*merged(held))], pa.binary())], names=["cell", "grams"])
+
+    cell, held, size = None, [], 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            if (own := batch["cell"][row].as_py()) != cell:
+                if held:
+                    yield told()
+                cell, held, size = own, [], 0
+            held.append(grams_of(batch["grams"][row].as_py()))
+            size += len(held[-1][0])
+            if size > HELD + len(held[0][0]):  # as much as is held already
+                held = [merged(held)]
+                size = len(held[0][0])
+    if held:
+        yield told()
+
+
 class LogBilinear:
     """Score of a class after two others: the inner product of its vector and a weighted sum of theirs, plus a
     bias. After training the scores are normalised exactly, for every pair of classes before."""
@@ -230,8 +399,8 @@ class LogBilinear:
         over the noise is taken exactly, context by context."""
         n = len(self.bias)
         context, word = codes // n, codes % n
-        contexts, begin = np.unique(context, return_index=True)
-        ends = np.append(begin[1:], len(codes))
+        begin = np.flatnonzero(np.diff(context, prepend=-1))
+        contexts, ends = context[begin], np.append(begin[1:], len(codes))
         shift = self.bias - np.log(noise * unigram)
         chance = (noise * unigram).astype(np.float32)
         after = self.after.astype(np.float32)
@@ -239,15 +408,25 @@ class LogBilinear:
         for lot in np.array_split(np.arange(len(contexts)), max(1, len(contexts) // 1024)):
             two, one = contexts[lot] // n, contexts[lot] % n
             hidden = self.far * self.before[two] + self.near * self.before[one]
-            sure = 1 / (1 + np.exp(-np.clip(hidden.astype(np.float32) @ after.T + shift.astype(np.float32), -30, 30)))
-            seen = np.zeros((len(lot), n), np.float32)
+            sure = hidden.astype(np.float32) @ after.T
+            sure += shift.astype(np.float32)
+            np.clip(sure, -30, 30, out=sure)
+            np.negative(sure, out=sure)
+            np.exp(sure, out=sure)
+            sure += 1
+            np.reciprocal(sure, out=sure)
             at = np.arange(begin[lot[0]], ends[lot[-1]]) if len(lot) else np.arange(0)
-            seen[np.repeat(np.arange(len(lot)), ends[lot] - begin[lot]), word[at]] = counts[at]
-            own = seen.sum(axis=1, keepdims=True)
-            slope = own * chance * sure - seen * (1 - sure)
+            place, seen = (np.repeat(np.arange(len(lot)), ends[lot] - begin[lot]), word[at]), counts[at].astype(np.float32)
+            missed = seen * (1 - sure[place])
+            own = np.bincount(place[0], seen, len(lot)).astype(np.float32)
+            slope = sure
+            slope *= chance
+            slope *= own[:, None]
+            slope[place] -= missed
             inner = slope @ after
-            np.add.at(out[0], two, inner * self.far)
-            np.add.at(out[0], one, inner * self.near)
+            for side, weight in ((two, self.far), (one, self.near)):
+                columns = side[:, None] * len(weight) + np.arange(len(weight))
+                out[0] += np.bincount(columns.ravel(), (inner * weight).ravel(), out[0].size).reshape(out[0].shape)
             for total, more in zip(out[1:], [slope.T @ hidden.astype(np.float32), (inner * self.before[two]).sum(axis=0), (inner * self.before[one]).sum(axis=0), slope.sum(axis=0)]):
                 total += more
         return out
@@ -299,30 +478,35 @@ def unigram_of(counts: np.ndarray) -> np.ndarray:
     return (counts + 0.1) / (counts + 0.1).sum()
 
 
-def fitted(grams: DataFrame, n_classes: int, class_counts: np.ndarray, epochs: int) -> LogBilinear:
-    """The model trained on counts of trigrams, which are written by lots of contexts and read again in each pass."""
-    spark = grams.sparkSession
+def fitted(coded: DataFrame, n_classes: int, class_counts: np.ndarray, epochs: int) -> LogBilinear:
+    """The model trained on the trigrams of coded texts, whose counts are written by lots of contexts and read again in
+    each pass, those of a cell of contexts in one row."""
+    spark = coded.sparkSession
     model, unigram, total = LogBilinear(n_classes, WIDTH), unigram_of(class_counts), class_counts.sum()
     model.bias = np.log(unigram)
     parts = max(2, n_classes * n_classes // (LOTS * CONTEXTS))
-    hashed = F.xxhash64(F.expr(f"code div {n_classes}"))
-    placed = grams.withColumns({"lot": F.pmod(hashed, F.lit(LOTS)).cast("int"), "part": F.pmod(F.shiftright(hashed, 20), F.lit(parts))})
+    hashed = F.xxhash64("id")
+    cell = F.pmod(hashed, F.lit(LOTS)) * parts + F.pmod(F.shiftright(hashed, 20), F.lit(parts))
+    cells = spark.sparkContext.broadcast(spark.range(n_classes * n_classes).orderBy("id").select(cell.cast("int").alias("cell")).toArrow()["cell"].to_numpy())
+    grams = coded.select("n_tokens", "classes").mapInArrow(gram_counter(n_classes, cells), "cell int, grams binary")
     path = scratch_path(spark, "grams")
-    dealt = placed.repartition(LOTS * parts, "lot", "part").groupBy("lot", "part", "code").agg(F.sum("n").alias("n"))
-    dealt.sortWithinPartitions("lot", "code").write.partitionBy("lot").parquet(path)
+    dealt = grams.repartition(LOTS * parts, "cell").sortWithinPartitions("cell").mapInArrow(gram_sums, "cell int, grams binary")
+    dealt.withColumn("lot", F.expr(f"cast(cell div {parts} as int)")).write.partitionBy("lot").parquet(path)
+    table = spark.read.schema("cell int, grams binary, lot int").parquet(path).select("lot", "grams") if total else None
 
     def of_lot(lot: int) -> list[np.ndarray]:
         sent = Sent(spark, (model, unigram))
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got = [(b["code"].to_numpy(), b["n"].to_numpy()) for b in batches]
-            codes, counts = (np.concatenate(x) for x in zip(*got)) if got else (np.empty(0, np.int64),) * 2
-            order = np.argsort(codes)
             own, share = sent.value
-            out = own.gradient(codes[order], counts[order], share, NOISE)
+            out = [np.zeros_like(p) for p in own.parameters()]
+            for batch in batches:
+                for data in batch["grams"]:
+                    for sums, more in zip(out, own.gradient(*grams_of(data.as_py()), share, NOISE)):
+                        sums += more
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in out], names=NAMES)
 
-        rows = spark.read.schema("code long, n long, lot int").parquet(path).where(F.col("lot") == lot).select("code", "n").mapInArrow(add, ", ".join(f"{x} binary" for x in NAMES)).collect()
+        rows = table.where(F.col("lot") == lot).select("grams").mapInArrow(add, ", ".join(f"{x} binary" for x in NAMES)).collect()
         sent.unpersist()
         return [sum((np.frombuffer(r[x]) for r in rows), np.zeros(p.size)).reshape(p.shape) for x, p in zip(NAMES, model.parameters())]
 
@@ -351,8 +535,9 @@ def tables_of(spark, model: LogBilinear) -> tuple[np.ndarray, np.ndarray, np.nda
     return far, near, norm
 
 
-def coder(parts):
-    """Of each text the classes of its tokens, -1 for words that were not sent, and those words."""
+def coder(parts, n_classes: int):
+    """Of each text the classes of its tokens, packed, and its words that were not sent, each once. Such a word's tokens
+    have the number of classes and its place among these."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, classes, inner = parts.value
@@ -363,44 +548,61 @@ def coder(parts):
             place = look_up(hashes, keys)
             hit = place >= 0
             at = place[hit]
-            rare = np.flatnonzero(~hit)
-            own = np.full(len(hashes), -1, np.int32)
+            own = np.zeros(len(hashes), np.int32)
             own[hit] = classes[at]
             # The end is always told, also where nothing was counted.
-            end = hashes == END_HASH
-            own[end] = 0
-            rare = rare[~end[rare]]
-            ends = np.searchsorted(doc[rare], np.arange(n + 1))
+            rare = np.flatnonzero(~hit & (hashes != END_HASH))
+            rare = rare[np.lexsort((hashes[rare], doc[rare]))]
+            word, of = hashes[rare], doc[rare]
+            new = np.ones(len(rare), bool)
+            new[1:] = (word[1:] != word[:-1]) | (of[1:] != of[:-1])
+            ends = np.searchsorted(of[new], np.arange(n + 1))
+            own[rare] = n_classes + np.cumsum(new) - 1 - ends[of]
             logs = np.bincount(doc[hit], np.log(counts[at] + 1.0), n)
             bounds = np.concatenate([[0], np.cumsum(sizes)])
             columns = [
                 batch["doc_id"], pa.array(sizes.astype(np.int64)), pa.array(np.bincount(doc[hit], minlength=n)), pa.array(np.asarray(logs, np.float64)),
-                pa.array(np.asarray(np.bincount(doc[hit], inner[at], n), np.float64)), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(own)),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[rare].view(np.int64))),
+                pa.array(np.asarray(np.bincount(doc[hit], inner[at], n), np.float64)), pa.array([packed(own[s:e]) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
+                pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(word[new].view(np.int64))),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_hit", "logs", "inner", "classes", "rare"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_hit", "logs", "inner", "classes", "n_rare", "rare"])
 
     return code
 
 
-CODED = "doc_id long, n_tokens long, n_hit long, logs double, inner double, classes array<int>, rare array<long>"
-
+CODED = "doc_id long, n_tokens long, n_hit long, logs double, inner double, classes binary, n_rare long, rare array<long>"
+FILLED = "doc_id long, n_tokens long, n_known long, logs double, inner double, classes binary"
+
+
+def filled(parts, n_classes: int):
+    """The coded texts with the classes and sums of the joined words; words that were never seen have class 1."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, words = parts.value  # of each class
+        for batch, own, sizes in lists_of(batches):
+            rows = len(sizes)
+            doc, n_rare = np.repeat(np.arange(rows), sizes), batch["n_rare"].to_numpy()
+            begins = np.cumsum(n_rare) - n_rare
+            found = batch["found"]
+            of_row = np.repeat(np.arange(rows), [0 if x is None else x for x in pc.list_value_length(found).to_pylist()])
+            at, n, classes = (found.flatten().field(c).to_numpy() for c in ("at", "n", "class"))
+            place = begins[of_row] + at
+            known = np.ones(n_rare.sum(), np.int32)
+            known[place] = classes
+            rare = np.flatnonzero(own >= n_classes)
+            token = begins[doc[rare]] + own[rare] - n_classes
+            own[rare] = known[token]
+            times = np.bincount(token, minlength=len(known))[place]
+            logs = np.log(n + 1.0)
+            inner = logs - np.log(np.where(words[classes] > 1, tokens[classes] + words[classes], n + 1.0))
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.RecordBatch.from_arrays([
+                batch["doc_id"], batch["n_tokens"], pa.array(batch["n_hit"].to_numpy() + np.bincount(of_row, times, rows).astype(np.int64)),
+                *(pa.array(batch[c].to_numpy() + np.bincount(of_row, times * x, rows)) for c, x in (("logs", logs), ("inner", inner))),
+                pa.array([packed(own[s:e]) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
+            ], names=[c.split()[0] for c in FILLED.split(", ")])
 
-def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The coded texts with the classes of the joined words, 1 for words that were never seen."""
-    for batch in batches:
-        out = []
-        for own, rare, words, classes in zip(*(batch[c] for c in ("classes", "rare", "words", "of_words"))):
-            codes = own.values.to_numpy().astype(np.int32)
-            if len(rare.values):
-                known = Classes(words.values.to_numpy().view(np.uint64), classes.values.to_numpy()) if words.is_valid else Classes(np.empty(0, np.uint64))
-                codes = codes.copy()
-                codes[codes < 0] = known.of(rare.values.to_numpy().view(np.uint64))
-            out.append(codes)
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in out])])
-        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(out) if out else np.empty(0, np.int32)))
-        names = [c for c in batch.schema.names if c not in ("classes", "rare", "words", "of_words")]
-        yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), lists], names=[*names, "classes"])
+    return fill
 
 
 def scorer(parts):
@@ -408,10 +610,7 @@ def scorer(parts):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (far, near, norm), unseen = parts.value
-        for batch in batches:
-            lists = batch["classes"]
-            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            own = lists.flatten().to_numpy()
+        for batch, own, sizes in lists_of(batches):
             two, one = trigrams(own, sizes)
             doc = np.repeat(np.arange(len(sizes)), sizes)
             logs = np.where(own == 1, math.log(unseen), far[two, own] + near[one, own] - norm[two, one] + math.log1p(-unseen))
@@ -450,11 +649,11 @@ def scored(
     words = counts.join(F.broadcast(single), "word")
     if n_own < distinct - 1:
         words = words.unionByName(clustered(training, own, n_classes - 2 - n_own))
-    sizes = words.groupBy("class").agg(F.sum("n").alias("tokens"), F.count("*").alias("words"))
-    sizes = cut_lineage(sizes)
-    class_counts = np.zeros(n_classes)
-    for r in sizes.collect():
-        class_counts[r["class"]] = r.tokens
+    of_class = words.groupBy("class").agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).collect()
+    class_counts, class_words = np.zeros(n_classes), np.zeros(n_classes)
+    for r in of_class:
+        class_counts[r["class"]], class_words[r["class"]] = r.tokens, r.words
+    sizes = spark.createDataFrame(of_class, "class int, tokens long, words long")
     inner = F.log(F.col("n") + 1.0) - F.log(F.when(F.col("words") > 1, F.col("tokens") + F.col("words")).otherwise(F.col("n") + 1.0))
     words = cut_lineage(words.join(F.broadcast(sizes), "class").select("word", "n", "class", inner.alias("inner")))
     # The least count that a word must have for no more than so many words to have it.
@@ -467,21 +666,16 @@ def scored(
     sent = sent.iloc[np.argsort(sent["word"].to_numpy(np.int64).view(np.uint64))]
     parts = spark.sparkContext.broadcast((
         sent["word"].to_numpy(np.int64).view(np.uint64), sent["n"].to_numpy(np.int64), sent["class"].to_numpy(np.int32), sent["inner"].to_numpy(np.float64)))
-    rows = cut_lineage(base.mapInArrow(coder(parts), CODED).withColumn("row", F.monotonically_increasing_id()))
+    rows = cut_lineage(base.mapInArrow(coder(parts, n_classes), CODED).withColumn("row", F.monotonically_increasing_id()))
     # Infrequent words: none of them is in many rows, so no key of this join is hot.
-    rest = words.where(~is_sent)
-    met = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times")).join(rest, "word")
-    more = met.groupBy("row").agg(
-        F.sum("times").alias("more"), F.sum(F.col("times") * F.log(F.col("n") + 1.0)).alias("more_logs"), F.sum(F.col("times") * F.col("inner")).alias("more_inner"),
-        F.sort_array(F.collect_list(F.struct("word", "class"))).alias("found"))
-    zero, none = F.lit(0.0), F.lit(0)
+    rest = words.where(~is_sent).select("word", "n", "class")
+    met = rows.select("row", F.posexplode("rare").alias("at", "word")).join(rest, "word")
+    more = met.groupBy("row").agg(F.collect_list(F.struct("at", "n", "class")).alias("found"))
+    joined = rows.drop("rare").join(more, "row", "left").drop("row")
+    of_classes = spark.sparkContext.broadcast((class_counts, class_words))
+    coded = cut_lineage(joined.mapInArrow(filled(of_classes, n_classes), FILLED))
     base_norm = math.log(total + distinct + 1)
-    joined = rows.join(more, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_hit") + F.coalesce("more", none)).alias("n_known"), (F.col("logs") + F.coalesce("more_logs", zero)).alias("logs"),
-        (F.col("inner") + F.coalesce("more_inner", zero)).alias("inner"), "classes", "rare", F.col("found.word").alias("words"), F.col("found.class").alias("of_words"))
-    coded = cut_lineage(joined.mapInArrow(filled, "doc_id long, n_tokens long, n_known long, logs double, inner double, classes array<int>"))
-    grams = coded.where(~held_out()).select("classes").mapInArrow(gram_counter(n_classes), "code long, n long")
-    model = fitted(grams, n_classes, class_counts, epochs)
+    model = fitted(coded.where(~held_out()), n_classes, class_counts, epochs)
     # Words never seen have the base's probability after any others; the classes that were seen share the rest.
     model.before[1], model.after[1], model.bias[1] = 0, 0, -1e9
     tables = spark.sparkContext.broadcast((tables_of(spark, model), 1 / (total + distinct + 1)))

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from metframe.llm import lm
@@ -89,3 +90,63 @@ def test_infrequent_words_are_scored_in_context(spark):
 def test_classes_grow_with_the_words():
     assert lm.class_number(100) == (lm.CLASSES, 100)
     assert lm.CLASSES < lm.class_number(369_033)[0] < lm.class_number(3_690_330)[0]
+
+
+class Given:
+    def __init__(self, value):
+        self.value = value
+
+
+def batches_of(texts, size=7):
+    return (pa.RecordBatch.from_pydict({"text": texts[i:i + size]}) for i in range(0, len(texts), size))
+
+
+@pytest.mark.parametrize("held", [lm.HELD, 500])
+def test_sums_of_neighbours_are_exact_and_take_few_bytes(monkeypatch, held):
+    monkeypatch.setattr(lm, "HELD", held)
+    monkeypatch.setattr(lm, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    often = {"once": 1, "w15": 15, "w16": 16, "w255": 255, "w256": 256} | {f"r{i}": i % 4 + 1 for i in range(60)}
+    words = rng.permutation([w for w, n in often.items() for _ in range(n)] + ["own", "two"] * 200).tolist()
+    texts = [" ".join(words[i:i + 9]) for i in range(0, len(words), 9)] + ["", "once"]
+    often["once"] += 1
+    own = lm.Classes(lm.tokens_of(["own two"])[0][:2])
+    sides = rng.choice([-1, 1], (2, 4, lm.SIDE))
+    want = {}
+    for text in texts:
+        tokens = lm.tokens_of([text])[0]
+        classes = np.concatenate([[0], own.of(tokens)])
+        for i in np.flatnonzero(classes[1:] == 1):
+            sums = want.setdefault(int(tokens[i].view(np.int64)), np.zeros(2 * lm.SIDE + 1, np.int64))
+            sums += np.concatenate([[1], sides[0][classes[i]], sides[1][classes[i + 2]]])
+    parts = pa.Table.from_batches(lm.neighbours(Given((own, sides)))(batches_of(texts)))
+    least = dict(zip(parts["n"].to_pylist(), map(len, parts["ups"].to_pylist())))
+    assert least[1] == 3 and max(n for n, size in least.items() if size <= 2 * lm.SIDE) > 15
+    got = {}
+    for w, n, signs in lm.blocks(lm.sums_of(iter(parts.sort_by("word").to_batches(10)))):
+        assert not set(w.tolist()) & set(got)
+        got |= {int(a): [int(b), *c.tolist()] for a, b, c in zip(w, n, signs)}
+    assert got == {w: sums.tolist() for w, sums in want.items()}
+    assert sorted(x[0] for x in got.values()) == sorted(often.values())
+
+
+def test_grams_are_counted_in_one_row_a_cell(monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 300)
+    monkeypatch.setattr(lm, "TOKENS", 50)
+    rng = np.random.default_rng(6)
+    lists = [rng.integers(0, 9, rng.integers(1, 40)).astype(np.int32) for _ in range(200)]
+    rows = pa.RecordBatch.from_pydict({"n_tokens": [len(x) for x in lists], "classes": [lm.packed(x) for x in lists]})
+    cells = rng.integers(0, 5, 81).astype(np.int32)
+    parts = [b for half in (rows.slice(0, 90), rows.slice(90)) for b in lm.gram_counter(9, Given(cells))(iter([half]))]
+    out = pa.Table.from_batches(lm.gram_sums(iter(pa.Table.from_batches(parts).sort_by("cell").to_batches(4))))
+    assert out["cell"].to_pylist() == sorted(set(cells.tolist()))
+    want = Counter()
+    for x in lists:
+        own = [0, 0, *x.tolist()]
+        want.update(zip(own, own[1:], own[2:]))
+    got = {}
+    for cell, data in zip(out["cell"].to_pylist(), out["grams"].to_pylist()):
+        codes, counts = lm.grams_of(data)
+        assert (np.diff(codes) > 0).all() and (cells[codes // 9] == cell).all()
+        got |= {(c // 81, c // 9 % 9, c % 9): n for c, n in zip(codes.tolist(), counts.tolist())}
+    assert got == want
