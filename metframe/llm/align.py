@@ -83,25 +83,30 @@ def near_middle(ends: np.ndarray, other: np.ndarray, low: np.ndarray, high: np.n
     too, found by bisection there; -1 if there is none. The look goes outwards in widths that double."""
     middle, found, near, far = (low + high) // 2, np.full(len(low), -1), 0, 1
     left = np.arange(len(low))
+
+    def shared(at: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = ends[at]
+        hit = other[np.minimum(np.searchsorted(other, wanted), len(other) - 1)] == wanted
+        return at[hit], own[hit]
+
     while len(left):
         lo, hi, mid = low[left], high[left], middle[left]
-        before, a = ranges(np.maximum(lo, mid - far + 1), np.minimum(hi, mid - near + 1))
-        after, b = ranges(np.maximum(lo, mid + max(near, 1)), np.minimum(hi, mid + far))
-        at, own = np.concatenate([before, after]), np.concatenate([a, b])
-        place = np.minimum(np.searchsorted(other, ends[at]), len(other) - 1)
-        hit = other[place] == ends[at]
-        at, own = at[hit], own[hit]
-        order = np.lexsort((at, np.abs(at - mid[own]), own))
-        first = order[np.flatnonzero(np.diff(own[order], prepend=-1))]
-        found[left[own[first]]] = at[first]
-        left = left[(found[left] < 0) & ((mid - far >= lo) | (mid + far < hi))]
+        before, a = shared(*ranges(np.maximum(lo, mid - far + 1), np.minimum(hi, mid - near + 1)))
+        after, b = shared(*ranges(np.maximum(lo, mid + max(near, 1)), np.minimum(hi, mid + far)))
+        down, up = np.full(len(left), -1), np.full(len(left), -1)
+        down[a] = before  # the last of each interval stays
+        up[b[::-1]] = after[::-1]  # the first
+        best = np.where((down < 0) | (up >= 0) & (up - mid < mid - down), up, down)
+        found[left] = best
+        left = left[(best < 0) & ((mid - far >= lo) | (mid + far < hi))]
         near, far = far, far * 2
     return found
 
 
 def shared_cuts(ends: np.ndarray, other: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Places in ``ends`` whose value is in ``other`` too, in order. ``last`` has the last place of each text,
-    which is shared as both sides cover the whole text."""
+    which is shared as both sides cover the whole text. Intervals stay in the order of the text, so that neighbouring
+    looks fall on neighbouring places."""
     low, high = np.concatenate([[0], last[:-1] + 1]), last
     cuts = [last]
     while len(low):
@@ -111,7 +116,7 @@ def shared_cuts(ends: np.ndarray, other: np.ndarray, last: np.ndarray) -> np.nda
         cut = at >= 0
         low, high, at = low[cut], high[cut], at[cut]
         cuts.append(at)
-        low, high = np.concatenate([low, at + 1]), np.concatenate([at, high])
+        low, high = np.stack([low, at + 1], axis=1).ravel(), np.stack([at, high], axis=1).ravel()
     return np.sort(np.concatenate(cuts))
 
 

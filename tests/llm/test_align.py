@@ -58,6 +58,16 @@ def test_cuts_are_all_common_ends(seed):
     assert align.shared_cuts(ends, other, np.array(last)).tolist() == np.flatnonzero(np.isin(ends, other)).tolist()
 
 
+def test_looks_go_along_the_text(monkeypatch):
+    """Every look into the other side's ends asks for ascending places, so that it stays near the last one."""
+    rng, asked, look = np.random.default_rng(2), [], np.searchsorted
+    ends, other = (np.unique(np.append(rng.integers(1, 9000, 4000), 9000)) for _ in range(2))
+    monkeypatch.setattr(align.np, "searchsorted", lambda a, v, *rest, **more: asked.append(np.asarray(v)) or look(a, v, *rest, **more))
+    cuts = align.shared_cuts(ends, other, np.array([len(ends) - 1]))
+    assert ends[cuts].tolist() == np.intersect1d(ends, other).tolist()
+    assert asked and all((np.diff(v) > 0).all() for v in asked)
+
+
 TEXTS = [
     None, "", " ", "one", "one", "  two  blanks ", "tab\tand\nline", "<|endoftext|> </s> <s>", "▁ mark", "\x00 zero", "é combined Å", "日本語 の 文",
     "\U0001f600\U0001f601", "x" * 3000, "ab " * 2000, "Thntblere of then, edtioner",
